@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.llm import line_dedup, quality_rules, sharding
+from orefold.llm import bpe, decontamination, line_dedup, quality_rules, sharding
 from orefold.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> bpe.Vocabulary:
+    """A vocabulary of the tokenizer files that this installation offers."""
+    import public_tokenizers
+
+    return bpe.Vocabulary(public_tokenizers.path(name))
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, vocabulary()).select("doc_id", "token_ids")
+    return bpe.digests(bpe.decode(encoded, vocabulary()))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), F.md5(F.col("text").cast("binary")).alias("kept_md5"))
@@ -23,13 +36,21 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    longest = F.coalesce(F.array_max(F.transform("matches", lambda m: m["length"])), F.lit(0)).alias("longest_match")
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), longest)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_bpe": op1_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op8_decontamination": op8_decontamination,
     "op9_sharding": op9_sharding,
 }
 
