@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.llm import bpe, decontamination, line_dedup, quality_rules, sharding
+from orefold.llm import bpe, decontamination, html_extraction, line_dedup, quality_rules, sharding
 from orefold.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,12 +46,17 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_decontamination": op8_decontamination,
     "op9_sharding": op9_sharding,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 _LINE_SQL = f"""
