@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orefold.llm._vec import Slice, byte_table, prefix_hash, slices, window_hash
+from orefold.llm.shared import map_arrow
 
 #: Bytes that decide on a cut; cuts are MEAN_CHUNK bytes apart on average.
 CUT_WINDOW = 24
@@ -211,7 +212,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
                 part = batch.slice(s.first, s.n)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), _lists(list(encoder.slice(s)))], names=[*rest, ids])
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
@@ -232,7 +233,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "token_ids", text
                 values = [codec.decode(np.asarray(x.values) if x.is_valid else np.zeros(0, np.int32)) for x in lists]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(values, pa.binary()).cast(pa.string())], names=[*rest, text])
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
 
 
 def digests(rows: DataFrame, ids: str = "token_ids", decoded: str = "decoded", key: str = "doc_id") -> DataFrame:

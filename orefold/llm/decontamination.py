@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orefold.llm._vec import Slice, Words, byte_table, prefix_hash, separators, slices, span_hash, window_hash
-from orefold.llm.shared import written
+from orefold.llm.shared import map_arrow, written
 
 DEPTH = 10
 BLOCK_BYTES = 32 << 20
@@ -191,7 +191,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
                     names = [sorted({tests.items[i] for i in items.get(r, ())}) for r in range(s.n)]
                     yield pa.RecordBatch.from_arrays([batch.column(key).slice(s.first, s.n), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array([matches.get(r, []) for r in range(s.n)], kind)], names=schema.names)
 
-        return source.mapInArrow(run, schema)
+        return map_arrow(source, run, schema)
 
     parts = [passing(block) for block in _blocks(benchmark, item, item_text, block_bytes)] or [passing([])]
     if len(parts) == 1:

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from orefold.llm.shared import map_arrow
+
 # Frequent function words of four languages.
 STOP_WORDS = {
     "en": "a an and are as at be been but by can could do for from had has have he her his i if in into is it its more no not of on one or our out said she so that the their them then there they this to up was we were what when which who will with would you your",
@@ -232,4 +234,4 @@ def extract(pages: DataFrame, html_column: str = "html", text: str = "text", rul
                 found = [main_text(x, rules) for x in part.column(html_column).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in rest), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())], names=schema.names)
 
-    return pages.mapInArrow(run, schema)
+    return map_arrow(pages, run, schema)

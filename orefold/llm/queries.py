@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.llm import bpe, decontamination, html_extraction, line_dedup, quality_rules, sharding
+from orefold.llm import bpe, decontamination, html_extraction, language_id, line_dedup, quality_rules, sharding, toxicity
 from orefold.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, vocabulary()))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", (toxicity.fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", F.transform("evidence", lambda e: e["example"]).alias("evidence"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs))
+    return found.select("doc_id", (language_id.fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), F.md5(F.col("text").cast("binary")).alias("kept_md5"))
@@ -52,6 +64,8 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op3_toxicity": op3_toxicity,
+    "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op8_decontamination": op8_decontamination,

@@ -2,11 +2,36 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, so their workers import what they run."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    target = os.path.join(tempfile.mkdtemp(prefix="orefold-"), "orefold.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
