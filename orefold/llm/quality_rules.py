@@ -59,23 +59,28 @@ def repeated_words(ws: Column) -> Column:
 
     def grams(w: Column) -> Column:
         at = lambda i: F.get(w, i)
-        return F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.xxhash64(at(i), at(i + 1), at(i + 2)).alias("g"), i.alias("i"))))
+        return F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(at(i), at(i + 1), at(i + 2)))
 
-    return F.when(F.size(ws) < 3, F.lit(0)).otherwise(let(ws, lambda w: let(grams(w), lambda o: let(starts(o), covered))))
+    def repeats(found: Column) -> Column:
+        numbered = F.sort_array(F.transform(found, lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(found)) == F.size(found), 0).otherwise(let(numbered, lambda o: let(starts(o), covered)))
+
+    return F.when(F.size(ws) < 3, F.lit(0)).otherwise(let(ws, lambda w: let(grams(w), repeats)))
 
 
 def line_fails(line: Column, rules: Rules) -> Column:
     """Whether a line is furniture; lines without a word never fail."""
-    text = F.trim(F.regexp_replace(line, SPACE + "+", " "))
-    n_words = F.size(F.split(text, " "))
-    n_symbols = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
-    separators = F.size(F.filter(F.split(text, " "), lambda w: w.isin("|", ">", "»", "·", "•", "/", "-", "–", "::")))
-    return (text != "") & (
-        (n_symbols > rules.max_symbol_share * F.length(text))
-        | ((n_words >= rules.min_navigation_words) & (separators > rules.max_navigation_share * n_words))
-        | ((n_words <= rules.max_boilerplate_words) & F.lower(text).rlike(BOILERPLATE))
-        | ((n_words < rules.min_words_unpunctuated) & ~text.rlike("[.!?:;…。！？\"')\\]]$"))
-    )
+
+    def fails(text: Column, n_words: Column) -> Column:
+        separators = F.size(F.filter(F.split(text, " "), lambda w: w.isin("|", ">", "»", "·", "•", "/", "-", "–", "::")))
+        return (text != "") & (
+            ((n_words < rules.min_words_unpunctuated) & ~text.rlike("[.!?:;…。！？\"')\\]]$"))
+            | (text.rlike(f"[{SYMBOLS}]") & (F.regexp_count(text, F.lit(f"[{SYMBOLS}]")) > rules.max_symbol_share * F.length(text)))
+            | ((n_words >= rules.min_navigation_words) & text.rlike("[|>»·•/–:-]") & (separators > rules.max_navigation_share * n_words))
+            | ((n_words <= rules.max_boilerplate_words) & F.lower(text).rlike(BOILERPLATE))
+        )
+
+    return let(F.trim(F.regexp_replace(line, SPACE + "+", " ")), lambda text: let(F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1, lambda n: fails(text, n)))
 
 
 def clean(docs: DataFrame, text: str = "text", rules: Rules = Rules(), prefix: str = "") -> DataFrame:
@@ -85,12 +90,11 @@ def clean(docs: DataFrame, text: str = "text", rules: Rules = Rules(), prefix: s
     text has no words, fails the base rule and is not kept.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(body, "\n"), lambda x: F.regexp_replace(x, SPACE + "+", "") != "")
-    bare = F.regexp_replace(body, SPACE + "+", "")
+    lines = F.filter(F.split(body, "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
     name = lambda x: prefix + x
     measured = let(
         words(body),
-        lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).cast("long").alias("n_repeat_words")),
+        lambda w: F.struct(F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"), repeated_words(w).cast("long").alias("n_repeat_words")),
     )
     judged = let(
         F.transform(lines, lambda x: F.struct(x.alias("line"), line_fails(x, rules).alias("fails"))),
@@ -103,8 +107,7 @@ def clean(docs: DataFrame, text: str = "text", rules: Rules = Rules(), prefix: s
         {
             "__measured": measured,
             "__judged": judged,
-            name("word_chars"): F.length(bare).cast("long"),
-            name("n_symbols"): (F.length(bare) - F.length(F.translate(bare, SYMBOLS, ""))).cast("long"),
+            name("n_symbols"): F.regexp_count(body, F.lit(f"[{SYMBOLS}]")).cast("long"),
             name("n_dup_lines"): let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         }
     )
@@ -114,10 +117,11 @@ def clean(docs: DataFrame, text: str = "text", rules: Rules = Rules(), prefix: s
     return out.withColumns(
         {
             name("n_words"): n,
+            name("word_chars"): F.col("__measured.word_chars"),
             name("n_repeat_words"): repeats,
             name("base_failed"): failed,
             name("lost_chars"): lost,
             name("cleaned_text"): F.col("__judged.cleaned_text"),
-            name("kept"): ~failed & (lost <= rules.max_lost * F.length(bare)),
+            name("kept"): ~failed & (lost <= rules.max_lost * F.col("__measured.word_chars")),
         }
     ).drop("__measured", "__judged")
