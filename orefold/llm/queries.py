@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.llm import bpe, decontamination, html_extraction, language_id, line_dedup, quality_rules, sharding, toxicity
+from orefold.llm import bpe, decontamination, html_extraction, language_id, line_dedup, ngram_join, quality_rules, sharding, suffix_dedup, toxicity
 from orefold.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, vocabulary()))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -48,6 +53,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.groups(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     longest = F.coalesce(F.array_max(F.transform("matches", lambda m: m["length"])), F.lit(0)).alias("longest_match")
@@ -64,10 +73,12 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_ngram_join": op7_ngram_join,
     "op8_decontamination": op8_decontamination,
     "op9_sharding": op9_sharding,
     "op10_html_extraction": op10_html_extraction,
