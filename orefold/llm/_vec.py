@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -29,7 +29,7 @@ class _Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
+            size = -(-n // (1 << 18)) << 18
             steps = np.full(size, _BASE, np.uint64)
             steps[0] = 1
             self.up = np.cumprod(steps, dtype=np.uint64)

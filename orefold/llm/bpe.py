@@ -33,7 +33,7 @@ from orefold.llm.shared import map_arrow
 CUT_WINDOW = 24
 MEAN_CHUNK = 1024
 #: Bytes of texts and of tokens that a task remembers before it starts anew.
-MEMORY_BYTES = 48 << 20
+MEMORY_BYTES = 24 << 20
 
 
 @dataclass(frozen=True)
@@ -196,21 +196,29 @@ def _with_column(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*(f for f in df.schema.fields if f.name != name), T.StructField(name, kind)])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "token_ids") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "token_ids", decoded: str | None = None) -> DataFrame:
     """docs with the token ids of the whole text, as the vocabulary's own library encodes it.
 
     A null or empty text has no ids.  A column named as ids is replaced; all
     others stay.  Strings of special tokens inside a text become those tokens.
+    With decoded, the text decoded from the ids follows in a column of that
+    name, made by the same worker.
     """
     schema = _with_column(docs, ids, T.ArrayType(T.IntegerType(), False))
-    rest = [f.name for f in schema.fields[:-1]]
+    if decoded:
+        schema = T.StructType([*(f for f in schema.fields if f.name != decoded), T.StructField(decoded, T.StringType())])
+    rest = [f.name for f in schema.fields if f.name not in (ids, decoded)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary)
         for batch in batches:
             for s in slices(batch.column(text)):
                 part = batch.slice(s.first, s.n)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), _lists(list(encoder.slice(s)))], names=[*rest, ids])
+                found = list(encoder.slice(s))
+                columns = [*(part.column(c) for c in rest), _lists(found)]
+                if decoded:
+                    columns.append(pa.array([encoder.codec.decode(x) for x in found], pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return map_arrow(docs, run, schema)
 

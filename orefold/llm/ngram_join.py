@@ -33,11 +33,13 @@ from orefold.llm.shared import map_arrow, partitions, written
 WIDTH = 5
 PERCENT = 75
 #: Sets that hold a shingle before it counts as hot, and bytes of hot shingles that are broadcast at most.
-HOT = 24
+HOT = 8
 HOT_BYTES = 32 << 20
 #: Candidate documents are found by broadcast ids up to this many bytes, by a shuffled join beyond.
 IDS_BYTES = 64 << 20
 LANES = 16
+#: Entries that a task packs at once.
+PACK = 400_000
 
 _TABLE = byte_table(1, True)
 _SEPARATORS = separators("space")
@@ -122,31 +124,46 @@ def _part(tokens: np.ndarray, n: int) -> np.ndarray:
     return ((tokens >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
-def _hot(docs: DataFrame, t: Threshold) -> np.ndarray:
-    """Shingles that stand in the hash-ordered prefixes of more than HOT sets, rarest first; the most frequent ones if they exceed HOT_BYTES.
+def _short(tokens: np.ndarray, n: int) -> np.ndarray:
+    """A shingle's part and the low half of its hash: enough to tell how frequent it is."""
+    return (_part(tokens, n) << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF))
 
-    Any choice keeps the join exact; this one keeps its lists short.
+
+def _hot(docs: DataFrame, t: Threshold, n_parts: int) -> np.ndarray:
+    """Short names of the shingles in more than HOT sets, rarest first; the most frequent ones if they exceed HOT_BYTES.
+
+    All shingles of all sets are counted.  Any choice keeps the join exact;
+    this one keeps its lists short.
     """
-    n_parts = partitions(docs.sparkSession)
+
+    def pack(tokens: list[np.ndarray]) -> pa.RecordBatch:
+        flat = np.sort(_short(np.concatenate(tokens), n_parts))
+        edges = np.searchsorted(flat, np.arange(n_parts + 1).astype(np.uint64) << np.uint64(32))
+        some, low = np.flatnonzero(np.diff(edges)), flat.astype(np.uint32)
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([low[edges[i] : edges[i + 1]].tobytes() for i in some], pa.binary())], names=["part", "tokens"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        tokens: list[np.ndarray] = []
         for batch in batches:
-            for s in slices(batch.column("text"), 8 << 20):
-                tokens = [u[: t.prefix(len(u))] for _, u in _fresh(sets_of(s, t.width), seen)]
-                if not tokens:
-                    continue
-                flat = np.sort(np.concatenate(tokens))
-                edges = np.searchsorted(_part(flat, n_parts), np.arange(n_parts + 1).astype(np.uint64))
-                some = np.flatnonzero(np.diff(edges))
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([flat[edges[i] : edges[i + 1]].tobytes() for i in some], pa.binary())], names=["part", "tokens"])
+            for s in slices(batch.column("text")):
+                tokens += [u for _, u in _fresh(sets_of(s, t.width), seen)]
+                if sum(map(len, tokens)) > PACK:
+                    yield pack(tokens)
+                    tokens = []
+        if tokens:
+            yield pack(tokens)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [np.frombuffer(x.as_py(), np.uint64) for batch in batches for x in batch.column("tokens")]
+        part, parts = 0, []
+        for batch in batches:
+            for p, x in zip(batch.column("part"), batch.column("tokens")):
+                part = p.as_py()  # all rows of a partition have one
+                parts.append(np.frombuffer(x.as_py(), np.uint32))
         if parts:
             tokens, n = np.unique(np.concatenate(parts), return_counts=True)
             much = n > HOT
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[much].astype(np.int64)), pa.array(n[much], pa.int64())], names=["token", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[much].astype(np.int64) | (part << 32)), pa.array(n[much], pa.int64())], names=["token", "n"])
 
     dealt = _dealt(map_arrow(docs, deal, "part int, tokens binary"), n_parts)
     found = map_arrow(dealt, count, "token long, n long").orderBy(F.desc("n"), "token").limit(HOT_BYTES // 8).toArrow()
@@ -160,53 +177,68 @@ def _entries(docs: DataFrame, t: Threshold, hot: np.ndarray, n_parts: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held = _Held()
         for batch in batches:
-            for s in slices(batch.column("text"), 8 << 20):
-                cold, owner, place, nodes, sizes = [], [], [], [], []
+            for s in slices(batch.column("text")):
                 warm: list[tuple] = []
                 for h, u in _fresh(sets_of(s, t.width), seen):
                     most = t.prefix(len(u))
                     if len(ranked):
-                        at = np.minimum(np.searchsorted(ranked, u), len(ranked) - 1)
-                        is_hot = ranked[at] == u
+                        names = _short(u, n_parts)
+                        at = np.minimum(np.searchsorted(ranked, names), len(ranked) - 1)
+                        is_hot = ranked[at] == names
                     else:
                         is_hot = np.zeros(len(u), bool)
                     first = u[~is_hot][:most]
-                    cold.append(first)
-                    owner.append(np.full(len(first), len(nodes), np.uint16))
-                    place.append(np.minimum(np.arange(len(first)), 65535).astype(np.uint16))
-                    nodes.append(h)
-                    sizes.append(len(u))
+                    held.add(h, len(u), first)
                     if len(first) < most:
                         rest, rank = u[is_hot], order[at[is_hot]]
                         pick = np.argsort(rank)[: most - len(first)]
                         warm += [(int(x), h, len(u), len(first)) for x in rest[pick].astype(np.int64)]
-                    if len(nodes) == 65535:
-                        yield _pack(cold, owner, place, nodes, sizes, n_parts)
-                        cold, owner, place, nodes, sizes = [], [], [], [], []
-                if nodes:
-                    yield _pack(cold, owner, place, nodes, sizes, n_parts)
+                    if held.entries > PACK or len(held.nodes) == 65535:
+                        yield held.pack(n_parts)
+                        held = _Held()
                 if warm:
                     c = list(zip(*warm))
                     yield pa.RecordBatch.from_arrays([pa.nulls(len(warm), pa.int32()).fill_null(-1), pa.nulls(len(warm), pa.binary()), *(pa.array(x, pa.int64()) for x in c)], names=["part", "packed", "token", "node", "n", "cold"])
+        if held.nodes:
+            yield held.pack(n_parts)
 
     return map_arrow(docs, run, "part int, packed binary, token long, node long, n long, cold long")
 
 
-def _pack(cold: list, owner: list, place: list, nodes: list, sizes: list, n_parts: int) -> pa.RecordBatch:
-    tokens, owner, place = np.concatenate(cold), np.concatenate(owner), np.concatenate(place)
-    order = np.argsort(tokens)
-    tokens, owner, place = tokens[order], owner[order], place[order]
-    names, n = np.array(nodes, np.int64), np.array(sizes, np.int64)
-    edges = np.searchsorted(_part(tokens, n_parts), np.arange(n_parts + 1).astype(np.uint64))
-    some, packed = np.flatnonzero(np.diff(edges)), []
-    for i in some:
-        a, b = edges[i], edges[i + 1]
-        used, at = np.unique(owner[a:b], return_inverse=True)
-        head = np.array([b - a, len(used)], np.int64)
-        packed.append(b"".join(x.tobytes() for x in (head, tokens[a:b], names[used], n[used].astype(np.int32), at.astype(np.uint16), place[a:b])))
-    empty = pa.nulls(len(some), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed, pa.binary()), empty, empty, empty, empty], names=["part", "packed", "token", "node", "n", "cold"])
+class _Held:
+    """Cold entries of some nodes, until they are packed by part."""
+
+    def __init__(self) -> None:
+        self.cold: list[np.ndarray] = []
+        self.nodes: list[int] = []
+        self.sizes: list[int] = []
+        self.entries = 0
+
+    def add(self, node: int, size: int, first: np.ndarray) -> None:
+        self.cold.append(first)
+        self.nodes.append(node)
+        self.sizes.append(size)
+        self.entries += len(first)
+
+    def pack(self, n_parts: int) -> pa.RecordBatch:
+        counts = [len(x) for x in self.cold]
+        tokens = np.concatenate(self.cold)
+        owner = np.repeat(np.arange(len(counts)), counts).astype(np.uint16)
+        place = np.minimum(np.concatenate([np.arange(n) for n in counts]), 65535).astype(np.uint16)
+        order = np.argsort(tokens)
+        tokens, owner, place = tokens[order], owner[order], place[order]
+        names, n = np.array(self.nodes, np.int64), np.array(self.sizes, np.int32)
+        edges = np.searchsorted(_part(tokens, n_parts), np.arange(n_parts + 1).astype(np.uint64))
+        some, packed = np.flatnonzero(np.diff(edges)), []
+        for i in some:
+            a, b = edges[i], edges[i + 1]
+            used, at = np.unique(owner[a:b], return_inverse=True)
+            head = np.array([b - a, len(used)], np.int64)
+            packed.append(b"".join(x.tobytes() for x in (head, tokens[a:b], names[used], n[used], at.astype(np.uint16), place[a:b])))
+        empty = pa.nulls(len(some), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(packed, pa.binary()), empty, empty, empty, empty], names=["part", "packed", "token", "node", "n", "cold"])
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -327,7 +359,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     full = nodes.filter("n > 0")
     # one row for each node; equal sets agree in all but the key
     least = written(full.groupBy("node").agg(F.min("key").alias("key"), *(F.first(c).alias(c) for c in ("n", *(f"b{i}" for i in range(LANES))))))
-    entries = written(_entries(source, t, _hot(source, t), n_parts))
+    entries = written(_entries(source, t, _hot(source, t, n_parts), n_parts))
     hot = entries.filter("part = -1").select("token", "node", "n", "cold").distinct()
     # hot lists: the sets with the fewest rare shingles and with the least name lead
     leads = hot.groupBy("token").agg(F.min(F.struct("cold", "node")).alias("x"), F.min("node").alias("y"))

@@ -22,8 +22,7 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> bpe.Vocabulary:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, vocabulary()).select("doc_id", "token_ids")
-    return bpe.digests(bpe.decode(encoded, vocabulary()))
+    return bpe.digests(bpe.encode(docs, vocabulary(), decoded="decoded"))
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
@@ -28,9 +30,29 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+#: Rows of a batch that goes to a Python worker, where the session does not set it; bounds the worker's memory.
+BATCH_ROWS = 2000
+
+
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(name) == "10000":
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+
+    def bounded(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        _give_back()
+
+    return df.mapInArrow(bounded, schema)
+
+
+def _give_back() -> None:
+    """Returns a finished task's free memory to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -36,6 +36,8 @@ ANCHOR = 200
 #: Segments of one first digit that a task sends to its bucket; more are sorted one by one at once.
 MOST_IN_TASK = 64
 IDS_BYTES = 64 << 20
+#: Segments, or single suffixes, that a task gathers before it settles what meets among them.
+HELD = 300_000
 
 _TABLE = byte_table(2, False)
 #: States of spans: repeated throughout, to be sorted one by one, or known as repeated and sorted with the open ones.
@@ -152,31 +154,39 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _first_passes(rows: DataFrame, window: int, anchor: int, n_parts: int) -> DataFrame:
     """uid and packed spans: whole ones (state 1) and those to be sorted one by one (state 2)."""
 
+    def settle(held: list[tuple[Segments, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        first, second, start, length, again = (np.concatenate([getattr(g, c) for g, _ in held]) for c in ("first", "second", "start", "length", "again"))
+        uid = np.concatenate([u for _, u in held])
+        n_first, _ = _runs(first)
+        n_same, lead = _runs(second)
+        # settled here: equal segments are repeated; of many with one digit all are sorted one by one
+        here = np.where(n_same > 1, _WHOLE, np.where((n_first > MOST_IN_TASK) | again, _OPEN, 0)).astype(np.uint8)
+        done = here > 0
+        if done.any():
+            yield _batch(None, (x := _spans(uid[done], start[done], length[done], here[done]))[1], x[0])
+        send = (here == 0) | lead & (n_same > 1) | again
+        crowd = np.flatnonzero(n_first > MOST_IN_TASK)
+        send[crowd[np.unique(first[crowd], return_index=True)[1]]] = True
+        # marks say that the task knows the digit to be shared, the segment to be repeated, its state to be told, or others of its digit to be open
+        _, inverse = np.unique(first, return_inverse=True)
+        some_open = np.bincount(inverse, here != _WHOLE)[inverse] > 0
+        mark = (n_first > 1) | again | 2 * (n_same > 1) | 4 * done | 8 * some_open
+        columns = [first, second, uid, start.astype(np.uint32), length.astype(np.uint32), mark.astype(np.uint8)]
+        yield _batch(*_deal(first[send], [c[send] for c in columns], n_parts), None)
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[Segments, np.ndarray]] = []
         for batch in batches:
             uids = batch.column("uid").to_numpy()
-            for s in slices(batch.column("text"), 4 << 20):
+            for s in slices(batch.column("text")):
                 g = segments(s, window, anchor)
-                if not len(g.row):
-                    continue
-                uid = uids[s.first + g.row]
-                n_first, _ = _runs(g.first)
-                n_same, lead = _runs(g.second)
-                # settled here: equal segments are repeated; of many with one digit all are sorted one by one
-                here = np.where(n_same > 1, _WHOLE, np.where((n_first > MOST_IN_TASK) | g.again, _OPEN, 0)).astype(np.uint8)
-                done = here > 0
-                if done.any():
-                    yield _batch(None, (x := _spans(uid[done], g.start[done], g.length[done], here[done]))[1], x[0])
-                send = (here == 0) | lead & (n_same > 1) | g.again
-                crowd = np.flatnonzero(n_first > MOST_IN_TASK)
-                crowd = crowd[np.unique(g.first[crowd], return_index=True)[1]]
-                send[crowd] = True
-                # marks say that the task knows the digit to be shared, or the segment to be repeated
-                _, inverse = np.unique(g.first, return_inverse=True)
-                some_open = np.bincount(inverse, here != _WHOLE)[inverse] > 0
-                mark = np.where(some_open, 8, 0).astype(np.uint8) | (n_first > 1).astype(np.uint8) | g.again.astype(np.uint8) | np.where(n_same > 1, 2, 0).astype(np.uint8) | np.where(done, 4, 0).astype(np.uint8)
-                columns = [g.first, g.second, uid, g.start.astype(np.uint32), g.length.astype(np.uint32), mark]
-                yield _batch(*_deal(g.first[send], [c[send] for c in columns], n_parts), None)
+                if len(g.row):
+                    held.append((g, uids[s.first + g.row]))
+                if sum(len(u) for _, u in held) > HELD:
+                    yield from settle(held)
+                    held = []
+        if held:
+            yield from settle(held)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second, uid, start, length, mark = _gather((x.as_py() for b in batches for x in b.column("packed")), _KIND)
@@ -219,49 +229,56 @@ def _triples(lists) -> np.ndarray:
 
 def _last_pass(rows: DataFrame, spans: DataFrame, window: int, n_parts: int) -> DataFrame:
     """uid and packed spans of the open spans' suffixes whose windows are equal to full depth."""
-    uid_kind = [np.uint64, np.int64, np.uint32]
+    kinds = [np.uint64, np.int64, np.uint32]
+    silent = 0xFFFFFFFF
+
+    def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        keys, uid, at, known = (np.concatenate(x) for x in zip(*held))
+        n, lead = _runs(keys)
+        _, inverse = np.unique(keys, return_inverse=True)
+        many = (n > 1) | (np.bincount(inverse, known)[inverse] > 0)
+        tell = many & ~known
+        if tell.any():
+            yield _batch(None, (x := _positions(uid[tell], at[tell]))[1], x[0])
+        send = ~many | lead
+        # a settled window goes once, twice counted, and wants no answer
+        twice = many & lead
+        k, u = np.concatenate([keys[send], keys[twice]]), np.concatenate([uid[send], uid[twice]])
+        p = np.concatenate([np.where(many[send], silent, at[send]), np.full(twice.sum(), silent)]).astype(np.uint32)
+        yield _batch(*_deal(k, [k, u, p], n_parts), None)
+
+    def open_starts(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts in open and given spans, and whether they are given."""
+        n = spans[:, 1]
+        at = np.repeat(spans[:, 0] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        at = np.unique(2 * at + ~np.repeat(spans[:, 2] == _GIVEN, n))
+        at = at[np.append(True, at[1:] // 2 != at[:-1] // 2)]
+        return at // 2, at % 2 == 0
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
             uids, packed = batch.column("uid").to_numpy(), batch.column("packed")
-            for s in slices(batch.column("text"), 4 << 20):
+            for s in slices(batch.column("text")):
                 prefix = prefix_hash(_TABLE[s.data])
-                where, row, given = [], [], []
                 for i in range(s.n):
                     spans = _triples(packed[s.first + i].as_py())
                     spans = spans[spans[:, 2] != _WHOLE]
                     if len(spans):
-                        n = spans[:, 1]
-                        at = np.repeat(spans[:, 0] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                        known = np.repeat(spans[:, 2] == _GIVEN, n)
-                        at = np.unique(2 * at + ~known)  # a start that is given counts as given
-                        at = at[np.append(True, at[1:] // 2 != at[:-1] // 2)]
-                        where.append(at // 2)
-                        given.append(at % 2 == 0)
-                        row.append(np.full(len(where[-1]), i))
-                if not where:
-                    continue
-                at, row, known = np.concatenate(where), np.concatenate(row), np.concatenate(given)
-                begin = at + s.offsets[row]
-                keys = span_hash(prefix, begin, begin + window)
-                uid = uids[s.first + row]
-                n, lead = _runs(keys)
-                _, inverse = np.unique(keys, return_inverse=True)
-                many = (n > 1) | (np.bincount(inverse, known)[inverse] > 0)
-                tell = many & ~known
-                if tell.any():
-                    yield _batch(None, (x := _positions(uid[tell], at[tell]))[1], x[0])
-                send = ~many | lead
-                # a settled window goes once, twice counted, and wants no answer
-                twice = many & lead
-                k, u, p = np.concatenate([keys[send], keys[twice]]), np.concatenate([uid[send], uid[twice]]), np.concatenate([np.where(many[send], 0xFFFFFFFF, at[send]), np.full(twice.sum(), 0xFFFFFFFF)]).astype(np.uint32)
-                yield _batch(*_deal(k, [k, u, p], n_parts), None)
+                        at, known = open_starts(spans)
+                        begin = at + s.offsets[i]
+                        held.append((span_hash(prefix, begin, begin + window), np.full(len(at), uids[s.first + i]), at, known))
+                if sum(len(x[0]) for x in held) > HELD:
+                    yield from settle(held)
+                    held = []
+        if held:
+            yield from settle(held)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, uid, at = _gather((x.as_py() for b in batches for x in b.column("packed")), uid_kind)
+        keys, uid, at = _gather((x.as_py() for b in batches for x in b.column("packed")), kinds)
         if not len(keys):
             return
-        tell = (_runs(keys)[0] > 1) & (at != 0xFFFFFFFF)
+        tell = (_runs(keys)[0] > 1) & (at != silent)
         if tell.any():
             names, packed = _positions(uid[tell], at[tell])
             yield _batch(None, packed, names)
