@@ -117,14 +117,14 @@ class Graph:
 
         Each hop joins the frontier with the edges and drops what was seen.
         """
-        hop = self._undirected().distinct()
+        hop = self._undirected().distinct().persist()
         seen = self.nodes.where(F.col("stix_id") == start).select("stix_id", F.lit(0).alias("depth"))
         frontier = seen
         for d in range(1, depth + 1):
             step = frontier.select(F.col("stix_id").alias("a")).join(hop, "a").select(F.col("b").alias("stix_id")).distinct()
-            frontier = step.join(seen, "stix_id", "left_anti").withColumn("depth", F.lit(d))
+            frontier = step.join(seen, "stix_id", "left_anti").withColumn("depth", F.lit(d)).persist()
             seen = seen.unionByName(frontier)
-        return seen.join(self.nodes.select("stix_id"), "stix_id", "left_semi")
+        return seen.join(self.nodes.select("stix_id"), "stix_id", "left_semi").persist()
 
     def subgraph(self, start: str, depth: int = 2, parity: bool = False) -> tuple[DataFrame, DataFrame]:
         """Nodes with depth, and the edges met on the way; with parity an edge counts once for each of its ends that was expanded."""
@@ -150,6 +150,7 @@ class Graph:
     def pruned_subgraph(self, start: str, depth: int = 2, most: int = 200, parity: bool = False) -> tuple[DataFrame, DataFrame]:
         """The start and the closest, then best connected nodes, at most most in all; edges between them; degrees counted anew."""
         nodes, edges = self.subgraph(start, depth, parity)
+        edges = edges.persist()
         ranked = nodes.join(self.degrees(edges), "stix_id", "left").fillna(0, ["degree"])
         order = [(F.col("stix_id") == start).desc(), F.col("depth"), F.col("degree").desc(), F.col("stix_id")]
         kept = ranked.orderBy(*order).limit(most).drop("degree")

@@ -48,8 +48,8 @@ def mentions(texts: DataFrame, terms: DataFrame) -> DataFrame:
     keyed = plain.withColumn("word", F.lower(F.regexp_extract("term", _WORD, 0)))
     words = texts.select("record_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({_WORD})"), F.lit(1)))).alias("word"))
     candidates = words.join(keyed, "word").select("record_id", "stix_id", "term").distinct()
-    found = candidates.join(texts, "record_id").where(F.col("text").rlike(_pattern(F.col("term"))))
-    other = texts.join(F.broadcast(odd), F.col("text").rlike(_pattern(F.col("term"))))
+    found = candidates.join(texts, "record_id").where(F.rlike(F.col("text"), _pattern(F.col("term"))))
+    other = texts.join(F.broadcast(odd), F.rlike(F.col("text"), _pattern(F.col("term"))))
     return found.select("record_id", "stix_id").unionByName(other.select("record_id", "stix_id")).distinct()
 
 
