@@ -23,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orefold.llm._vec import Slice, byte_table, prefix_hash, slices, span_hash, window_hash
+from orefold.llm._vec import Slice, byte_table, mix64, prefix_hash, slices, span_hash, window_hash
 from orefold.llm.shared import map_arrow, partitions, written
 
 WINDOW = 400
@@ -100,19 +101,21 @@ def segments(s: Slice, window: int = WINDOW, anchor: int = ANCHOR) -> Segments:
 
 
 def _part(keys: np.ndarray, n: int) -> np.ndarray:
-    return ((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    """Parts of even size; keys are scrambled anew, as least hashes are small ones."""
+    return ((mix64(keys) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
 def _deal(keys: np.ndarray, columns: list[np.ndarray], n: int) -> tuple[np.ndarray, list[bytes]]:
     """Rows of columns by part of their key: part numbers and, for each, the columns' bytes behind their number."""
-    order = np.argsort(keys, kind="stable")
-    edges = np.searchsorted(_part(keys[order], n), np.arange(n + 1).astype(np.uint64))
+    parts = _part(keys, n)
+    order = np.argsort(parts, kind="stable")
+    edges = np.searchsorted(parts[order], np.arange(n + 1).astype(np.uint64))
     some = np.flatnonzero(np.diff(edges))
     columns = [c[order] for c in columns]
     return some, [b"".join([np.int64(edges[i + 1] - edges[i]).tobytes(), *(c[edges[i] : edges[i + 1]].tobytes() for c in columns)]) for i in some]
 
 
-def _gather(blobs: Iterator[bytes], kinds: list) -> list[np.ndarray]:
+def _gather(blobs: list[bytes], kinds: list) -> list[np.ndarray]:
     parts = []
     for blob in blobs:
         n, o, own = int(np.frombuffer(blob, np.int64, 1)[0]), 8, []
@@ -123,24 +126,46 @@ def _gather(blobs: Iterator[bytes], kinds: list) -> list[np.ndarray]:
     return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, k) for k in kinds]
 
 
-def _spans(uid: np.ndarray, start: np.ndarray, length: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """Spans by row: row names and packed (start, length, state) triples."""
-    order = np.lexsort((start, uid))
-    triples = np.stack([start[order], length[order], state[order]], 1).astype(np.uint32)
-    names, first = np.unique(uid[order], return_index=True)
-    edges = np.append(first, len(uid))
-    return names, [triples[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+_ROWS = "part int, told boolean, packed binary"
+_KIND = [np.uint64, np.uint64, np.int64, np.uint32, np.uint32, np.uint8]
+_SPAN = [np.int64, np.uint32, np.uint32, np.uint8]
 
 
-_ROWS = "part int, packed binary, uid long"
-_KIND = [np.uint64, np.uint64, np.int64, np.uint32, np.uint32, np.uint8]
+def _batch(told: bool, dealt: tuple[np.ndarray, list[bytes]]) -> pa.RecordBatch:
+    part, packed = dealt
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(np.full(len(packed), told)), pa.array(packed, pa.binary())], names=["part", "told", "packed"])
+
+
+def _told(spans: tuple[np.ndarray, ...], n: int) -> pa.RecordBatch:
+    """Spans (uid, start, length, state) on their way to the part of their row."""
+    return _batch(True, _deal(spans[0].astype(np.uint64), [c.astype(k) for c, k in zip(spans, _SPAN)], n))
 
 
-def _batch(part, packed: list[bytes], uid) -> pa.RecordBatch:
-    n = len(packed)
-    part = pa.array(part, pa.int32()) if part is not None else pa.array(np.full(n, -1, np.int32))
-    uid = pa.array(uid, pa.int64()) if uid is not None else pa.nulls(n, pa.int64())
-    return pa.RecordBatch.from_arrays([part, pa.array(packed, pa.binary()), uid], names=["part", "packed", "uid"])
+def _sorted_buckets(rows: DataFrame, deal, sort, n: int) -> DataFrame:
+    """uid and packed spans, a row for each uid: what deal tells at once, and what sort finds in the buckets that deal fills."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs: list[bytes] = []
+        for batch in batches:
+            told = batch.column("told")
+            if batch.filter(told).num_rows:
+                yield batch.filter(told)
+            blobs += batch.filter(pc.invert(told)).column("packed").to_pylist()
+        yield from sort(blobs)
+
+    def by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uid, start, length, state = _gather([x.as_py() for batch in batches for x in batch.column("packed")], _SPAN)
+        order = np.lexsort((start, uid))
+        triples = np.stack([start[order], length[order], state[order].astype(np.uint32)], 1)
+        names, first = np.unique(uid[order], return_index=True)
+        edges = np.append(first, len(uid))
+        for i in range(0, len(names), 1000):
+            packed = [triples[a:b].tobytes() for a, b in zip(edges[i : i + 1000], edges[i + 1 : i + 1001])]
+            yield pa.RecordBatch.from_arrays([pa.array(names[i : i + 1000]), pa.array(packed, pa.binary())], names=["uid", "packed"])
+
+    for run in (deal, search):
+        rows = map_arrow(rows, run, _ROWS).repartitionById(n, F.col("part"))
+    return map_arrow(rows, by_row, "uid long, packed binary")
 
 
 def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +188,7 @@ def _first_passes(rows: DataFrame, window: int, anchor: int, n_parts: int) -> Da
         here = np.where(n_same > 1, _WHOLE, np.where((n_first > MOST_IN_TASK) | again, _OPEN, 0)).astype(np.uint8)
         done = here > 0
         if done.any():
-            yield _batch(None, (x := _spans(uid[done], start[done], length[done], here[done]))[1], x[0])
+            yield _told((uid[done], start[done], length[done], here[done]), n_parts)
         send = (here == 0) | lead & (n_same > 1) | again
         crowd = np.flatnonzero(n_first > MOST_IN_TASK)
         send[crowd[np.unique(first[crowd], return_index=True)[1]]] = True
@@ -172,7 +197,7 @@ def _first_passes(rows: DataFrame, window: int, anchor: int, n_parts: int) -> Da
         some_open = np.bincount(inverse, here != _WHOLE)[inverse] > 0
         mark = (n_first > 1) | again | 2 * (n_same > 1) | 4 * done | 8 * some_open
         columns = [first, second, uid, start.astype(np.uint32), length.astype(np.uint32), mark.astype(np.uint8)]
-        yield _batch(*_deal(first[send], [c[send] for c in columns], n_parts), None)
+        yield _batch(False, _deal(first[send], [c[send] for c in columns], n_parts))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[Segments, np.ndarray]] = []
@@ -188,8 +213,8 @@ def _first_passes(rows: DataFrame, window: int, anchor: int, n_parts: int) -> Da
         if held:
             yield from settle(held)
 
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second, uid, start, length, mark = _gather((x.as_py() for b in batches for x in b.column("packed")), _KIND)
+    def sort(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        first, second, uid, start, length, mark = _gather(blobs, _KIND)
         if not len(first):
             return
         n_first, _ = _runs(first)
@@ -201,30 +226,21 @@ def _first_passes(rows: DataFrame, window: int, anchor: int, n_parts: int) -> Da
         state = np.where(whole, _WHOLE, np.where(shared, _OPEN, 0))
         tell = np.where(whole, (mark & 2) == 0, shared & ((mark & 4) == 0))
         if tell.any():
-            names, packed = _spans(uid[tell], start[tell], length[tell], state[tell])
-            yield _batch(None, packed, names)
+            yield _told((uid[tell], start[tell], length[tell], state[tell]), n_parts)
         # where a digit has open segments too, one of each kind of repeated ones is sorted with them
         _, inverse = np.unique(first, return_inverse=True)
         mixed = np.bincount(inverse, ~whole | ((mark & 8) > 0))[inverse] > 0
         given = np.flatnonzero(mixed & whole)
         if len(given):
             given = given[np.unique(second[given], return_index=True)[1]]
-            names, packed = _spans(uid[given], start[given], length[given], np.full(len(given), _GIVEN))
-            yield _batch(None, packed, names)
-
-    dealt = written(map_arrow(rows, deal, _ROWS))
-    sorted_ = map_arrow(dealt.filter("part >= 0").select("part", "packed").repartitionById(n_parts, F.col("part")), sort, _ROWS)
-    return dealt.filter("part < 0").unionByName(sorted_).select("uid", "packed")
-
+            yield _told((uid[given], start[given], length[given], np.full(len(given), _GIVEN)), n_parts)
 
-def _by_row(spans: DataFrame) -> DataFrame:
-    """One row for each uid; what it collects is bounded by the row's own text."""
-    return spans.groupBy("uid").agg(F.collect_list("packed").alias("packed"))
+    return _sorted_buckets(rows, deal, sort, n_parts)
 
 
-def _triples(lists) -> np.ndarray:
-    flat = b"".join(lists) if lists else b""
-    return np.frombuffer(flat, np.uint32).reshape(-1, 3).astype(np.int64)
+def _triples(packed: bytes | None) -> np.ndarray:
+    """Starts, lengths and states of a row's spans."""
+    return np.frombuffer(packed or b"", np.uint32).reshape(-1, 3).astype(np.int64)
 
 
 def _last_pass(rows: DataFrame, spans: DataFrame, window: int, n_parts: int) -> DataFrame:
@@ -239,13 +255,13 @@ def _last_pass(rows: DataFrame, spans: DataFrame, window: int, n_parts: int) ->
         many = (n > 1) | (np.bincount(inverse, known)[inverse] > 0)
         tell = many & ~known
         if tell.any():
-            yield _batch(None, (x := _positions(uid[tell], at[tell]))[1], x[0])
+            yield _told(_positions(uid[tell], at[tell]), n_parts)
         send = ~many | lead
         # a settled window goes once, twice counted, and wants no answer
         twice = many & lead
         k, u = np.concatenate([keys[send], keys[twice]]), np.concatenate([uid[send], uid[twice]])
         p = np.concatenate([np.where(many[send], silent, at[send]), np.full(twice.sum(), silent)]).astype(np.uint32)
-        yield _batch(*_deal(k, [k, u, p], n_parts), None)
+        yield _batch(False, _deal(k, [k, u, p], n_parts))
 
     def open_starts(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts in open and given spans, and whether they are given."""
@@ -274,28 +290,25 @@ def _last_pass(rows: DataFrame, spans: DataFrame, window: int, n_parts: int) ->
         if held:
             yield from settle(held)
 
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, uid, at = _gather((x.as_py() for b in batches for x in b.column("packed")), kinds)
+    def sort(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        keys, uid, at = _gather(blobs, kinds)
         if not len(keys):
             return
         tell = (_runs(keys)[0] > 1) & (at != silent)
         if tell.any():
-            names, packed = _positions(uid[tell], at[tell])
-            yield _batch(None, packed, names)
+            yield _told(_positions(uid[tell], at[tell]), n_parts)
 
-    dealt = written(map_arrow(rows.join(_by_row(spans), "uid").select("uid", "text", "packed"), deal, _ROWS))
-    sorted_ = map_arrow(dealt.filter("part >= 0").select("part", "packed").repartitionById(n_parts, F.col("part")), sort, _ROWS)
-    return dealt.filter("part < 0").unionByName(sorted_).select("uid", "packed")
+    return _sorted_buckets(rows.join(spans, "uid").select("uid", "text", "packed"), deal, sort, n_parts)
 
 
-def _positions(uid: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+def _positions(uid: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
     """Single window starts by row, runs of them as one span."""
     order = np.lexsort((at, uid))
     uid, at = uid[order], at[order].astype(np.int64)
     fresh = np.append(True, (uid[1:] != uid[:-1]) | (at[1:] != at[:-1] + 1))
     k = np.flatnonzero(fresh)
     length = np.diff(np.append(k, len(at)))
-    return _spans(uid[k], at[k], length, np.full(len(k), _WHOLE))
+    return uid[k], at[k], length, np.full(len(k), _WHOLE)
 
 
 def removed_spans(starts: np.ndarray, lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -323,11 +336,12 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     n_parts = partitions(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("uid"))
     spans = written(_first_passes(rows.filter(F.octet_length("text") >= window).select("uid", "text"), window, anchor, n_parts))
-    marked = written(spans.select("uid").distinct())
+    marked = spans.select("uid")
     small = marked.count() * 16 <= IDS_BYTES
     ids = F.broadcast(marked) if small else marked
     some, rest = rows.join(ids, "uid", "left_semi"), rows.join(ids, "uid", "left_anti")
-    found = spans.unionByName(written(_last_pass(some.select("uid", "text"), spans, window, n_parts)))
+    last = written(_last_pass(some.select("uid", "text"), spans, window, n_parts)).withColumnRenamed("packed", "more")
+    found = spans.join(last, "uid", "left").select("uid", F.concat("packed", F.coalesce("more", F.lit(b""))).alias("packed"))
     kind = docs.schema[key].dataType
     schema = T.StructType([T.StructField(key, kind), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())])
 
@@ -347,7 +361,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
                     count.append(len(a))
                 yield pa.RecordBatch.from_arrays([batch.column("key").slice(s.first, s.n), pa.array(np.diff(s.offsets), pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(kept, pa.binary())], names=schema.names)
 
-    changed = map_arrow(some.join(_by_row(found), "uid").select("key", "text", "packed"), cut, schema)
+    changed = map_arrow(some.join(found, "uid").select("key", "text", "packed"), cut, schema)
     size = F.octet_length("text").cast("long")
     same = rest.select(F.col("key").alias(key), size.alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"))
     return changed.unionByName(same)
