@@ -38,6 +38,7 @@ def load(spark: SparkSession, d: str) -> Graph:
         F.when(F.col("phase_no").isNull(), F.array().cast("array<string>")).otherwise(F.array(F.element_at(chain, F.col("phase_no") + 1))).alias("kill_chain_phases"),
         F.when((F.col("type") == "attack-pattern") & (key.cast("int") < 700), F.concat(F.lit("T"), (1000 + key.cast("int")).cast("string"))).alias("attack_id"),
         F.when(F.col("type") == "intrusion-set", F.array(F.concat(F.lit("Group "), key), F.concat(F.lit("x"), key))).otherwise(F.array().cast("array<string>")).alias("aliases"),
+        F.when(F.col("type") == "attack-pattern", F.concat(F.lit("Seen with CVE-"), (2000 + key.cast("int") % 26).cast("string"), F.lit("-"), (1000 + key.cast("int") % 90).cast("string"), F.lit("."))).otherwise("").alias("description"),
     )
     return Graph(nodes, view(spark, d, "v_edges"))
 
