@@ -43,4 +43,6 @@ def test_nulls_repeats_and_clashing_columns(spark, library):
     d = spark.createDataFrame([(1, None, "x"), (1, "", "y"), (1, "hi there", "z"), (None, "hi there", None)], "doc_id long, text string, token_ids string")
     out = bpe.decode(bpe.encode(d, queries.vocabulary()), queries.vocabulary()).collect()
     assert sorted((len(r.token_ids), r.decoded) for r in out) == [(0, ""), (0, ""), (2, "hi there"), (2, "hi there")]
+    both = bpe.encode(d, queries.vocabulary(), decoded="decoded").collect()
+    assert sorted((len(r.token_ids), r.decoded) for r in both) == sorted((len(r.token_ids), r.decoded) for r in out)
     assert bpe.encode(d.limit(0), queries.vocabulary()).count() == 0
