@@ -85,7 +85,7 @@ def _names(attributes: str) -> set[str]:
 def blocks_of(page: str) -> list[_Block]:
     """The text blocks of a page outside furniture, in page order."""
     blocks: list[_Block] = []
-    stack: list[tuple[str, int]] = []  # open elements and what they mean for the article
+    stack: list[tuple[str, int]] = []  # open elements, and the most that they and those around them mean for the article
     skip = None  # the depth at which furniture began
     links, heading = 0, False
     block: _Block | None = None
@@ -96,7 +96,7 @@ def blocks_of(page: str) -> list[_Block]:
         if stop > at and skip is None:
             text = html.unescape(page[at:stop])
             if block is None:
-                block = _Block(max((x[1] for x in stack), default=0), heading)
+                block = _Block(stack[-1][1] if stack else 0, heading)
                 blocks.append(block)
             block.pieces.append(text)
             if links:
@@ -143,7 +143,7 @@ def blocks_of(page: str) -> list[_Block]:
             del stack[skip:]  # an element that was never closed
             skip = None
         names = _names(attributes) if attributes else set()
-        inside = max((x[1] for x in stack), default=0)
+        inside = stack[-1][1] if stack else 0
         rank = 2 if name in ("article", "main") else 1 if names & ARTICLE_NAMES else 0
         if name == "p" and stack and stack[-1][0] == "p":
             stack.pop()
@@ -159,7 +159,7 @@ def blocks_of(page: str) -> list[_Block]:
                 skip = len(stack)
                 block = None
         if name != "p" or skip == len(stack):
-            stack.append((name, 0 if skip is not None else rank))
+            stack.append((name, inside if skip is not None else max(inside, rank)))
     return [b for b in blocks if b.text()]
 
 
