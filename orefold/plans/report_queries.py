@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orefold.operators.graph import Graph
-from orefold.plans import reports
+from orefold.plans import feed_reports, reports, search_queries
 from orefold.plans.graph_queries import _VIEWS, all_nodes, load
 from orefold.plans.text_queries import META, meta
 
@@ -67,3 +67,46 @@ def _(spark, d):
     event = F.map_filter(F.create_map(F.lit("action"), F.col("event_type"), F.lit("process_name"), F.when(F.col("event_id") % 2 == 0, "cmd.exe")), lambda k, v: v.isNotNull())
     t = F.concat(F.lit("T"), (1000 + F.col("user_id") % 700).cast("string"))
     return e.select("event_id", reports.search_query(event, F.lit("wineventlog")).alias("spl"), reports.kusto_query(event).alias("kql"), reports.correlation_query(t, F.array(F.lit("a"), F.lit("b"))).alias("correlation"), reports.rule_yaml(t, F.col("event_type"), event).alias("rule"))
+
+
+def log_events(spark, d):
+    """Security events made of the driver's events: the technique follows the user, the source the kind of event."""
+    e = spark.read.parquet(f"{d}/events.parquet")
+    k = F.col("user_id") % 40
+    n = lambda c: c.cast("string")
+    event = F.create_map(F.lit("action"), F.col("event_type"), F.lit("event_id"), n(F.col("event_id") % 50), F.lit("label"), F.lit("bad"))
+    return e.select(F.concat(F.lit("T"), n(1000 + k)).alias("technique_id"), F.concat(F.lit("Technique "), n(k)).alias("technique"), F.when(k % 2 == 0, "execution").otherwise("impact").alias("tactic"), F.when(k % 3 == 0, "high").otherwise("low").alias("severity"), F.col("event_type").alias("source"), F.concat(F.lit("st:"), "event_type").alias("sourcetype"), event.alias("event"))
+
+
+_LOGS = "WITH l AS (SELECT DISTINCT 'T' || CAST(1000 + user_id % 40 AS VARCHAR) AS t, event_type AS s FROM events), m AS (SELECT t, count(*) AS n FROM l GROUP BY t HAVING count(*) >= 2) "
+
+
+@add("R26_R27_R28_R33_log_pairs", _LOGS + "SELECT k AS kind, count(*) AS n FROM (SELECT unnest(['log_analysis', 'triage', 'spl_query', 'kql_query', 'sigma_write']) AS k FROM l UNION ALL SELECT unnest(['log_correlation', 'correlation_search']) FROM m) GROUP BY k")
+def _(spark, d):
+    return feed_reports.log_pairs(log_events(spark, d)).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@add("R41_P07_simulator_rows", "SELECT 'T' || CAST(1000 + user_id % 40 AS VARCHAR) AS technique_id, event_type AS source, '{\"action\":\"' || event_type || '\",\"event_id\":\"' || CAST(event_id % 50 AS VARCHAR) || '\"}' AS event FROM events")
+def _(spark, d):
+    return feed_reports.simulator_rows(log_events(spark, d))
+
+
+@add("R37_response_actions", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN '- Escalate to incident response' || chr(10) ELSE '' END || CASE WHEN event_id % 3 = 0 THEN '- Segment the affected hosts' || chr(10) ELSE '' END || '- Preserve the logs' || chr(10) || '- Document the findings' AS steps FROM events")
+def _(spark, d):
+    tactic, severity = F.when(F.col("event_id") % 3 == 0, "lateral-movement").otherwise("none"), F.when(F.col("event_id") % 2 == 0, "HIGH").otherwise("low")
+    return spark.read.parquet(f"{d}/events.parquet").select("event_id", feed_reports.response_actions(tactic, severity).alias("steps"))
+
+
+@add("R21_R22_technique_pairs", _VIEWS + "SELECT k AS kind, count(*) AS n FROM (SELECT unnest(['description', 'tactic']) AS k FROM n WHERE attack_id IS NOT NULL) GROUP BY k")
+def _(spark, d):
+    return feed_reports.technique_pairs(load(spark, d).nodes).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@add("R23_group_pairs")
+def _(spark, d):
+    return feed_reports.group_pairs(load(spark, d))
+
+
+@add("R38_R40_search_pairs", "SELECT k AS kind, count(*) AS n FROM (SELECT unnest(['spl_query', 'spl_explain']) AS k FROM part) GROUP BY k")
+def _(spark, d):
+    return feed_reports.search_pairs(search_queries.queries(spark, d).withColumn("cron_schedule", F.lit("*/5 * * * *"))).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
