@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orefold.operators.graph import Graph
+from orefold.operators.graph import KILL_CHAIN, Graph
 from orefold.plans import feed_reports, reports, search_queries
-from orefold.plans.graph_queries import _VIEWS, all_nodes, load
-from orefold.plans.text_queries import META, meta
+from orefold.plans.graph_queries import _CHAIN, _VIEWS, all_nodes, load
+from orefold.plans.text_queries import META, _checks_sql, meta
 
 Q, SQL = {}, {}
 
@@ -110,3 +110,28 @@ def _(spark, d):
 @add("R38_R40_search_pairs", "SELECT k AS kind, count(*) AS n FROM (SELECT unnest(['spl_query', 'spl_explain']) AS k FROM part) GROUP BY k")
 def _(spark, d):
     return feed_reports.search_pairs(search_queries.queries(spark, d).withColumn("cron_schedule", F.lit("*/5 * * * *"))).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+# SQL of the graph reports; t holds phases and their titles, few(x, k) is the first k distinct names.
+_TITLES = "[" + ", ".join(f"'{' '.join(w.capitalize() for w in p.split('-'))}'" for p in KILL_CHAIN) + "]"
+_G = _VIEWS.rstrip() + f", t AS (SELECT unnest({_CHAIN}) AS phase, unnest({_TITLES}) AS title, unnest(range({len(KILL_CHAIN)})) AS o), p AS (SELECT stix_id AS tech, name, phases[1] AS phase FROM n WHERE type = 'attack-pattern') "
+
+
+def _few(column, most):
+    return f"array_to_string(list_slice(list_sort(list(DISTINCT {column})), 1, {most}), ', ')"
+
+
+def _choice(key, texts):
+    return f"CASE CAST(('0x' || md5({key}))::UHUGEINT % {len(texts)} AS INT) " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(texts)) + " END"
+
+
+_NL = " || chr(10) || "
+SQL["R01_actor_techniques"] = _G + f""", u AS (SELECT src AS actor, p.* FROM e JOIN p ON tech = dst JOIN n a ON a.stix_id = src AND a.type = 'intrusion-set' WHERE rel_type = 'uses'), c AS (SELECT actor, count(*) AS n FROM u GROUP BY 1), b AS (SELECT actor, phase, count(*) AS m, {_few('name', 6)} AS few, {_few('name', 1000)} AS al FROM u GROUP BY 1, 2)
+SELECT {_choice('n.name', ["'What techniques does ' || n.name || ' use?'", "'Describe the techniques of ' || n.name || '.'"])} AS user_message, substring(n.name || ' uses ' || c.n || ' techniques.'{_NL}'Also known as: ' || array_to_string(n.aliases, ', '){_NL}x, 1, 2000) AS assistant_message FROM (SELECT actor, string_agg(title || ': ' || few, chr(10) ORDER BY b.phase) AS x FROM b JOIN t USING (phase) GROUP BY 1) JOIN c USING (actor) JOIN n ON n.stix_id = actor WHERE c.n >= 2
+UNION ALL SELECT 'Which ' || lower(title) || ' techniques does ' || name || ' use?', substring(name || ' uses:'{_NL}al, 1, 2000) FROM b JOIN t USING (phase) JOIN n ON stix_id = actor WHERE m >= 2"""
+SQL["R03_attribution"] = _G + f"SELECT 'Which threat actors use ' || p.name || '?' AS user_message, count(*) || ' known actors.'{_NL}{_few('a.name', 10)} AS assistant_message FROM e JOIN p ON tech = dst JOIN n a ON a.stix_id = src AND a.type = 'intrusion-set' WHERE rel_type = 'uses' GROUP BY tech, p.name UNION ALL SELECT 'Which threat actors are behind ' || c.name || '?', count(*) || ' known actors.'{_NL}{_few('a.name', 10)} FROM e JOIN n c ON c.stix_id = src AND c.type = 'campaign' JOIN n a ON a.stix_id = dst AND a.type = 'intrusion-set' WHERE rel_type = 'attributed-to' GROUP BY c.stix_id, c.name"
+SQL["R05_kill_chains"] = _G + f", u AS (SELECT src AS actor, p.* FROM e JOIN p ON tech = dst JOIN n a ON a.stix_id = src AND a.type = 'intrusion-set' WHERE rel_type = 'uses'), b AS (SELECT actor, phase, o, title, {_few('u.name', 4)} AS few FROM u JOIN t USING (phase) GROUP BY 1, 2, 3, 4), k AS (SELECT *, row_number() OVER (PARTITION BY actor ORDER BY o) AS i FROM b) SELECT {_choice('n.name', ["'Walk through an attack by ' || n.name || '.'", "'Describe the kill chain of ' || n.name || '.'"])} AS user_message, substring('A typical operation of ' || n.name || ':'{_NL}x, 1, 2000) AS assistant_message FROM (SELECT actor, count(*) AS c, string_agg(i || '. ' || title || ': ' || few, chr(10) ORDER BY i) AS x FROM k GROUP BY 1) JOIN n ON n.stix_id = actor WHERE c >= 2"
+SQL["R07_mitigations"] = _G + f", m AS (SELECT DISTINCT dst AS tech, src AS mitigation FROM e WHERE rel_type = 'mitigates'), c AS (SELECT actor, mitigation, count(DISTINCT tech) AS covered FROM ut JOIN m USING (tech) GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY actor ORDER BY covered DESC, mitigation) AS k FROM c) SELECT 'How can ' || p.name || ' be mitigated?' AS user_message, {_few('a.name', 10)} AS assistant_message FROM m JOIN p USING (tech) JOIN n a ON a.stix_id = mitigation GROUP BY tech, p.name UNION ALL SELECT 'How do we defend against ' || n.name || '?', substring(x, 1, 2000) FROM (SELECT actor, string_agg(name || ' (' || covered || ' techniques)', chr(10) ORDER BY k) AS x FROM r JOIN n ON stix_id = mitigation WHERE k <= 10 GROUP BY 1) JOIN n ON n.stix_id = actor"
+_PART = "coalesce(chr(10) || '{title}: ' || {x}, '')"
+SQL["R12_technique_overviews"] = _G + ", " + ", ".join(f"{a} AS (SELECT {near} AS tech, {_few('o.name', 8)} AS x FROM e JOIN n o ON o.stix_id = {far} AND o.type IN ({types}) WHERE rel_type = '{rel}' GROUP BY 1)" for a, near, far, types, rel in (("sb", "dst", "src", "'attack-pattern'", "subtechnique-of"), ("ac", "dst", "src", "'intrusion-set'", "uses"), ("sw", "dst", "src", "'malware', 'tool'", "uses"), ("mi", "dst", "src", "'course-of-action'", "mitigates"))) + f" SELECT {_choice('p.tech', [chr(39) + 'Give an overview of ' + chr(39) + ' || p.name || ' + chr(39) + '.' + chr(39), chr(39) + 'What is ' + chr(39) + ' || p.name || ' + chr(39) + '?' + chr(39), chr(39) + 'Explain ' + chr(39) + ' || p.name || ' + chr(39) + '.' + chr(39)])} AS user_message, substring(p.name || chr(10) || 'Tactic: ' || title || " + " || ".join(_PART.format(title=t, x=f"{a}.x") for t, a in (("Subtechniques", "sb"), ("Actors", "ac"), ("Software", "sw"), ("Mitigations", "mi"))) + ", 1, 2000) AS assistant_message FROM p JOIN t USING (phase) LEFT JOIN sb USING (tech) LEFT JOIN ac USING (tech) LEFT JOIN sw USING (tech) LEFT JOIN mi USING (tech)"
+SQL["N14_errors_json"] = _checks_sql() + "SELECT id, validation_status = 'pass' AS clean, len(list_filter(string_split(checks, ','), lambda x: x <> '')) AS n FROM a"

@@ -343,7 +343,8 @@ def _(spark, d):
 
 @add("N14_errors_json")
 def _(spark, d):
-    return validate.validate(meta(spark, d)).select("id", validate.errors_json(F.col("validation_errors")).alias("validation_errors"))
+    j = validate.errors_json(F.col("validation_errors"))
+    return validate.validate(meta(spark, d)).select("id", j.isNull().alias("clean"), F.coalesce(F.json_array_length(j), F.lit(0)).cast("long").alias("n"))
 
 
 @add("A25_N15_mean_review_score", "SELECT l_orderkey, l_linenumber, (l_linenumber % 6 + coalesce(CASE WHEN l_quantity % 2 = 0 THEN 5 END, 3) + 3 + 4 + 5) / 5.0 AS score FROM lineitem")
