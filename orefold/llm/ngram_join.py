@@ -121,7 +121,8 @@ def _dealt(rows: DataFrame, n: int) -> DataFrame:
 
 
 def _part(tokens: np.ndarray, n: int) -> np.ndarray:
-    return ((tokens >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    """Parts of even size, in the order of scrambled hashes, as prefixes hold small ones."""
+    return ((mix64(tokens) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
 def _short(tokens: np.ndarray, n: int) -> np.ndarray:
@@ -227,10 +228,11 @@ class _Held:
         tokens = np.concatenate(self.cold)
         owner = np.repeat(np.arange(len(counts)), counts).astype(np.uint16)
         place = np.minimum(np.concatenate([np.arange(n) for n in counts]), 65535).astype(np.uint16)
-        order = np.argsort(tokens)
-        tokens, owner, place = tokens[order], owner[order], place[order]
+        parts = _part(tokens, n_parts)
+        order = np.argsort(parts, kind="stable")
+        parts, tokens, owner, place = parts[order], tokens[order], owner[order], place[order]
         names, n = np.array(self.nodes, np.int64), np.array(self.sizes, np.int32)
-        edges = np.searchsorted(_part(tokens, n_parts), np.arange(n_parts + 1).astype(np.uint64))
+        edges = np.searchsorted(parts, np.arange(n_parts + 1).astype(np.uint64))
         some, packed = np.flatnonzero(np.diff(edges)), []
         for i in some:
             a, b = edges[i], edges[i + 1]
@@ -376,9 +378,13 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     rest = _labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb").filter("la <> lb").select("a", "b")
     split = _labelled(hot, labels, "node", "label")
     open_lists = split.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
-    wide = written(split.join(open_lists, "token").join(shape.drop("n"), "node"))
+    still = written(split.join(open_lists, "token"))
+    held = still.groupBy("node").agg(F.collect_set("token").alias("tokens"))
+    wide = written(still.join(held, "node").join(shape.drop("n"), "node"))
     l, r = wide.alias("l"), wide.alias("r")
-    between = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.label") != F.col("r.label")) & _may_link("l", "r", t)).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+    # a pair that shares several open lists is met in the first of them only
+    first_met = F.array_min(F.array_intersect("l.tokens", "r.tokens")) == F.col("l.token")
+    between = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.label") != F.col("r.label")) & _may_link("l", "r", t) & first_met).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
     rest = written(rest.unionByName(between).distinct().join(first, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = written(links.unionByName(_verified(source, full, rest, t)))
