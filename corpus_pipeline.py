@@ -42,8 +42,7 @@ def remove_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded and decoded again."""
-    encoded = bpe.encode(docs.select("doc_id", "text"), vocabulary()).select("doc_id", "token_ids")
-    return bpe.digests(bpe.decode(encoded, vocabulary()))
+    return bpe.digests(bpe.encode(docs.select("doc_id", "text"), vocabulary(), decoded="decoded"))
 
 
 STAGES: list[tuple[str, Stage]] = [
