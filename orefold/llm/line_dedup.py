@@ -43,7 +43,9 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     estimated = lines.groupBy("line_key").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(SKETCH_K))).alias("estimate"))
     sure = estimated.filter(F.col("estimate") > min_sites * (1 + NEAR))
     near = estimated.filter(F.col("estimate").between(min_sites * (1 - NEAR), min_sites * (1 + NEAR)))
-    exact = lines.join(near, "line_key", "left_semi").groupBy("line_key").agg(F.count_distinct("site").alias("n_sites")).filter(F.col("n_sites") >= min_sites)
+    # a frequent line shrinks to its sites before the join, so no key brings many rows
+    pairs = lines.groupBy("line_key", "site").agg(F.count(F.lit(1)).alias("n"))
+    exact = pairs.join(near, "line_key", "left_semi").groupBy("line_key").agg(F.count(F.lit(1)).alias("n_sites")).filter(F.col("n_sites") >= min_sites)
     return sure.select("line_key", F.col("estimate").alias("n_sites")).unionByName(exact)
 
 
