@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,8 @@ _SEPARATORS = separators("alnum")
 
 MATCH = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("doc_word", T.IntegerType()), T.StructField("item_word", T.IntegerType()), T.StructField("length", T.IntegerType())])
 
+SPAN = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+
 
 def _words(texts: list[str | None]) -> tuple[Words, np.ndarray]:
     s = next(slices(pa.array(texts, pa.string()), 1 << 62), Slice(0, np.zeros(0, np.uint8), np.zeros(1, np.int64)))
@@ -125,16 +127,28 @@ class Shard:
         return tuple(np.concatenate(x) for x in out)
 
 
-def _judge(s: Slice, tests: Suffixes, depth: int) -> tuple[np.ndarray, np.ndarray, dict[int, list[int]], dict[int, list[dict]]]:
-    """For each row: its words, hit words; for rows with hits: item numbers and longest matches."""
+def _judge(s: Slice, tests: Suffixes, depth: int) -> tuple[np.ndarray, np.ndarray, dict[int, list[int]], dict[int, list[dict]], dict[int, list[dict]]]:
+    """For each row: its words, hit words; for rows with hits: item numbers, longest matches and runs of hit words."""
     shard = Shard(s, tests, depth)
     w = shard.words
     at, test, width = shard.hits(tests)
     edge = np.zeros(len(w.hashes) + 1, np.int64)
     np.add.at(edge, at, 1)
     np.add.at(edge, at + width, -1)
-    covered = np.concatenate([[0], np.cumsum(np.cumsum(edge[:-1]) > 0)])
+    hit = np.cumsum(edge[:-1]) > 0
+    covered = np.concatenate([[0], np.cumsum(hit)])
     n_hit = covered[w.first[1:]] - covered[w.first[:-1]]
+    spans: dict[int, list[dict]] = {}
+    if len(at):
+        opens, shuts = hit.copy(), hit.copy()
+        inner = w.first[(w.first > 0) & (w.first < len(hit))]
+        same = np.ones(len(hit), bool)
+        same[inner] = False  # a document's first word continues no run
+        opens[1:] &= ~(hit[:-1] & same[1:])
+        shuts[:-1] &= ~(hit[1:] & same[1:])
+        for a, b in zip(np.flatnonzero(opens).tolist(), np.flatnonzero(shuts).tolist()):
+            r = int(shard.row[a])
+            spans.setdefault(r, []).append({"a": a - int(w.first[r]), "b": b + 1 - int(w.first[r])})
     items: dict[int, list[int]] = {}
     matches: dict[int, list[dict]] = {}
     if len(at):
@@ -151,7 +165,7 @@ def _judge(s: Slice, tests: Suffixes, depth: int) -> tuple[np.ndarray, np.ndarra
         for b, e in zip(begin.tolist(), end.tolist()):
             r = int(shard.row[a[b]])
             matches.setdefault(r, []).append({"item_id": tests.items[i[b]], "doc_word": int(a[b] - w.first[r]), "item_word": int(t[b] - tests.first[i[b]]), "length": int(a[e] + n[e] - a[b])})
-    return np.diff(w.first), n_hit, items, matches
+    return np.diff(w.first), n_hit, items, matches, spans
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Iterator[list[tuple[object, str | None]]]:
@@ -168,34 +182,42 @@ def _blocks(benchmark: DataFrame, item: str, text: str, block_bytes: int) -> Ite
         yield block
 
 
+def _union(spans: Column) -> Column:
+    """How many words the spans cover together."""
+    start = F.struct(F.lit(0).alias("reach"), F.lit(0).alias("total"))
+    step = lambda acc, x: F.struct(F.greatest(acc["reach"], x["b"]).alias("reach"), (acc["total"] + F.greatest(F.lit(0), x["b"] - F.greatest(acc["reach"], x["a"]))).alias("total"))
+    return F.aggregate(F.array_sort(spans), start, step)["total"]
+
+
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", depth: int = DEPTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """key, n_words, n_hit, item_ids and matches of every document.
 
     A word is hit if a window of depth consecutive item words that covers it
     occurs in the document; an item of fewer words is one window.  matches holds
     the longest verbatim matches with their places, counted in words.  Null or
-    empty texts have no words; null or empty items match nothing.  Items with equal ids count
-    once.  With several blocks n_hit counts a word once for each block that hits
-    it, at most n_words; contaminated() is exact whatever the blocks.
+    empty texts have no words; null or empty items match nothing.  Items with
+    equal ids count once.  Several blocks give one row for each key, so keys must
+    then be unique; one block gives a row for each row of docs.
     """
-    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("matches", T.ArrayType(MATCH))])
+    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("item_ids", T.ArrayType(T.StringType())), T.StructField("matches", T.ArrayType(MATCH)), T.StructField("spans", T.ArrayType(SPAN))])
     source = docs.select(key, text)
 
     def passing(rows: list[tuple[object, str | None]]) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tests = Suffixes.build(rows, depth)
             kind = pa.list_(pa.struct([("item_id", pa.string()), ("doc_word", pa.int32()), ("item_word", pa.int32()), ("length", pa.int32())]))
+            runs = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
             for batch in batches:
                 for s in slices(batch.column(text)):
-                    n_words, n_hit, items, matches = _judge(s, tests, depth)
+                    n_words, n_hit, items, matches, spans = _judge(s, tests, depth)
                     names = [sorted({tests.items[i] for i in items.get(r, ())}) for r in range(s.n)]
-                    yield pa.RecordBatch.from_arrays([batch.column(key).slice(s.first, s.n), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array([matches.get(r, []) for r in range(s.n)], kind)], names=schema.names)
+                    yield pa.RecordBatch.from_arrays([batch.column(key).slice(s.first, s.n), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array([matches.get(r, []) for r in range(s.n)], kind), pa.array([spans.get(r, []) for r in range(s.n)], runs)], names=schema.names)
 
         return map_arrow(source, run, schema)
 
     parts = [passing(block) for block in _blocks(benchmark, item, item_text, block_bytes)] or [passing([])]
     if len(parts) == 1:
-        return parts[0]
+        return parts[0].drop("spans")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -204,7 +226,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
         .groupBy(key)
         .agg(
             F.max("n_words").alias("n_words"),
-            F.least(F.sum("n_hit"), F.max("n_words")).alias("n_hit"),
+            _union(F.flatten(F.collect_list("spans"))).cast("long").alias("n_hit"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
             F.flatten(F.collect_list("matches")).alias("matches"),
         )
