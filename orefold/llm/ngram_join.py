@@ -365,7 +365,8 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     hot = entries.filter("part = -1").select("token", "node", "n", "cold").distinct()
     # hot lists: the sets with the fewest rare shingles and with the least name lead
     leads = hot.groupBy("token").agg(F.min(F.struct("cold", "node")).alias("x"), F.min("node").alias("y"))
-    leads = leads.select("token", F.explode(F.array_distinct(F.array("x.node", "y"))).alias("lead"))
+    # written, so that both sides of the joins on hot shingles can be split
+    leads = written(leads.select("token", F.explode(F.array_distinct(F.array("x.node", "y"))).alias("lead")))
     led = hot.join(leads, "token").filter("node <> lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
     pairs = _cold_pairs(entries, t, n_parts).unionByName(led).distinct()
     shape = least.drop("key")
@@ -377,13 +378,14 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     labels = written(components(links))
     rest = _labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb").filter("la <> lb").select("a", "b")
     split = _labelled(hot, labels, "node", "label")
-    open_lists = split.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
+    open_lists = written(split.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token"))
     still = written(split.join(open_lists, "token"))
     held = still.groupBy("node").agg(F.collect_set("token").alias("tokens"))
-    wide = written(still.join(held, "node").join(shape.drop("n"), "node"))
+    before = F.filter("tokens", lambda x: x < F.col("token"))
+    wide = written(still.join(held, "node").withColumn("before", before).drop("tokens").join(shape.drop("n"), "node"))
     l, r = wide.alias("l"), wide.alias("r")
     # a pair that shares several open lists is met in the first of them only
-    first_met = F.array_min(F.array_intersect("l.tokens", "r.tokens")) == F.col("l.token")
+    first_met = ~F.arrays_overlap("l.before", "r.before")
     between = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.label") != F.col("r.label")) & _may_link("l", "r", t) & first_met).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
     rest = written(rest.unionByName(between).distinct().join(first, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
