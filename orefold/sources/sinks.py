@@ -18,9 +18,9 @@ def export_jsonl(records: DataFrame, path: str) -> None:
     with_messages(records).select(F.to_json(F.struct("messages")).alias("value")).write.mode("overwrite").text(path)
 
 
-def export_parquet(records: DataFrame, path: str, split: str | None = None) -> None:
-    out = with_messages(records) if split is None else records.select(F.col(split), *with_messages(records).columns) if "messages" in records.columns else with_messages(records)
-    out.write.mode("overwrite").parquet(path)
+def export_parquet(records: DataFrame, path: str, split: str = "train") -> None:
+    """Messages as Parquet in the split's folder."""
+    with_messages(records).write.mode("overwrite").parquet(f"{path}/{split}")
 
 
 def export_splits(df: DataFrame, path: str) -> dict[str, int]:

@@ -65,6 +65,13 @@ def test_kev_actions_and_sinks(spark, tmp_path):
     df = spark.createDataFrame([("ü", "b")], "user_message string, assistant_message string")
     sinks.export_jsonl(df, str(tmp_path / "out"))
     assert "ü" in spark.read.text(str(tmp_path / "out")).first().value
+    sinks.export_parquet(df, str(tmp_path / "parquet"))
+    assert spark.read.parquet(str(tmp_path / "parquet" / "train")).first().messages[1].content == "b"
+    assert sinks.export_splits(df.withColumn("split", F.lit("train")), str(tmp_path / "splits")) == {"train": 1}
+    stamped = sinks.stamp_exported(spark.createDataFrame([(1, None), (2, None)], "id int, exported_at timestamp"), spark.createDataFrame([(1,)], "id int"), "2024-01-01")
+    assert [r.exported_at is not None for r in stamped.orderBy("id").collect()] == [True, False]
+    assert sinks.history_row(spark, "2024-01-01", {"a": 2}, {"a": 1.0}, "p").first().record_count == 2
+    assert '"n":1' in sinks.manifest(df, "user_message")
     assert sinks.newest(["b1", "b3", "b2"], 2) == (["b3", "b2"], ["b1"])
     t = spark.createDataFrame([(1, "x"), (2, None)], "id int, domain string")
     assert [r.id for r in sinks.delete_where(t, "domain = 'x'").collect()] == [2]
