@@ -58,8 +58,7 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    longest = F.coalesce(F.array_max(F.transform("matches", lambda m: m["length"])), F.lit(0)).alias("longest_match")
-    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), longest)
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +101,52 @@ b AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost_chars <= 0.5 * word_chars AS kept, lost_chars FROM b
 """.replace("BOILERPLATE", quality_rules.BOILERPLATE)
 
+_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_LEAK_SQL = rf"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bi AS (SELECT item, w, least({decontamination.DEPTH}, len(w)) AS k, unnest(range(1, len(w) - least({decontamination.DEPTH}, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS x FROM bi), ks AS (SELECT DISTINCT k FROM win),
+d AS (SELECT doc_id, regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+dw AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+dl AS (SELECT doc_id, i, list(x) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {decontamination.DEPTH - 1} FOLLOWING) AS l FROM dw),
+h AS (SELECT doc_id, i, k, item FROM (SELECT doc_id, i, k, array_to_string(l[1:k], ' ') AS x FROM dl, ks WHERE len(l) >= k) JOIN win USING (k, x)),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM h)) GROUP BY 1),
+s AS (SELECT doc_id, count(DISTINCT item) AS n_items, array_to_string(list_sort(list(DISTINCT item)), ',') AS items FROM h GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+_NEAR_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex({_FOLD}, '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents),
+dw AS (SELECT doc_id, len(w) AS m, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+g AS (SELECT doc_id, m, list(x) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {ngram_join.WIDTH - 1} FOLLOWING) AS l, i FROM dw),
+s AS (SELECT DISTINCT doc_id, array_to_string(l, ' ') AS x FROM g WHERE len(l) = {ngram_join.WIDTH} OR (m < {ngram_join.WIDTH} AND i = 1)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+k AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {ngram_join.PERCENT} * (x.n + y.n - c)),
+e AS (SELECT a, b FROM k UNION ALL SELECT b, a FROM k),
+r AS (SELECT doc_id, doc_id AS o FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.o)
+SELECT r.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(o) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
+_W = suffix_dedup.WINDOW
+_SUFFIX_SQL = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+p AS (SELECT doc_id, h, unnest(range(1, n - {_W} + 2)) AS i FROM d WHERE n >= {_W}),
+w AS (SELECT doc_id, i, md5_number(substr(h, 2 * i - 1, {2 * _W})) AS x FROM p),
+u AS (SELECT doc_id, i FROM w WHERE x IN (SELECT x FROM w GROUP BY x HAVING count(*) > 1)),
+f AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= {_W} THEN 0 ELSE 1 END AS fresh FROM u),
+g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM f),
+s AS (SELECT doc_id, k, min(i) AS a, max(i) + {_W} AS b FROM g GROUP BY 1, 2),
+t AS (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS before, b FROM s),
+q AS (SELECT t.doc_id, string_agg(substr(h, 2 * before - 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) - 1) AS kept, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM t JOIN d USING (doc_id) GROUP BY 1)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN q USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_suffix_dedup": _SUFFIX_SQL,
+    "op7_ngram_join": _NEAR_SQL,
+    "op8_decontamination": _LEAK_SQL,
     "op5_line_dedup": _LINE_SQL + "SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, md5(CASE WHEN d.text IS NOT NULL THEN g.kept END) AS kept_md5 FROM documents d LEFT JOIN g USING (doc_id)",
     "op6_quality_rules": _QUALITY_SQL,
 }
