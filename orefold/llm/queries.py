@@ -143,10 +143,29 @@ q AS (SELECT t.doc_id, string_agg(substr(h, 2 * before - 1, 2 * (a - before)), '
 SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN q USING (doc_id)
 """
 
+_CRC_STEP = "CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END"
+
+
+def _shard_sql(name: str, n: int) -> str:
+    """The shard of the least -ln(u), u drawn by md5."""
+    return f"{name} AS (SELECT doc_id, arg_min(i, -ln((CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '#' || CAST(i AS VARCHAR)), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)) AS s FROM documents, range({n}) t(i) GROUP BY doc_id)"
+
+
+_SHARD_SQL = f"""
+WITH t AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k: {_CRC_STEP})) AS crc),
+d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, CAST(length(h) // 2 + 1 AS BIGINT) AS size, list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)) AS x FROM d),
+c AS (SELECT doc_id, size, xor(4294967295, list_reduce(list_prepend(4294967295, x), lambda c, y: xor(c >> 8, crc[(xor(c, y) & 255) + 1]))) AS text_crc32 FROM b, t),
+{_shard_sql("s", sharding.SHARDS)}, {_shard_sql("g", sharding.SHARDS + 1)},
+k AS (SELECT c.*, s.s AS shard, g.s AS grown_shard, CAST('0x' || substr(md5('slot#' || CAST(doc_id AS VARCHAR) || '#' || CAST(size AS VARCHAR) || '#' || CAST(text_crc32 AS VARCHAR)), 1, 6) AS INT) % {sharding.SLOT_BUCKETS} AS bucket FROM c JOIN s USING (doc_id) JOIN g USING (doc_id))
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard, row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, size, text_crc32) - 1 AS slot, CAST(grown_shard AS INT) AS grown_shard FROM k
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_suffix_dedup": _SUFFIX_SQL,
     "op7_ngram_join": _NEAR_SQL,
     "op8_decontamination": _LEAK_SQL,
+    "op9_sharding": _SHARD_SQL,
     "op5_line_dedup": _LINE_SQL + "SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, md5(CASE WHEN d.text IS NOT NULL THEN g.kept END) AS kept_md5 FROM documents d LEFT JOIN g USING (doc_id)",
     "op6_quality_rules": _QUALITY_SQL,
 }

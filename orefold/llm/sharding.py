@@ -33,6 +33,12 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     return F.array_min(F.array(*ranked))["shard"]
 
 
+def _bucket() -> Column:
+    """A record's slot bucket, by its key, size and checksum, so no hot key fills one."""
+    digits = F.substring(F.md5(F.concat_ws("#", F.lit("slot"), F.col("key").cast("string"), "size", "text_crc32").cast("binary")), 1, 6)
+    return (F.conv(digits, 16, 10).cast("int") % SLOT_BUCKETS).cast("int")
+
+
 def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", weights: Sequence[float] = (1.0,) * SHARDS) -> DataFrame:
     """docs' key with size, text_crc32, shard, slot and grown_shard.
 
@@ -49,7 +55,7 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", weights: Seq
         F.col(key).alias("key"),
         size.alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
-    ).withColumns({"shard": rendezvous(F.col("key"), weights), "grown_shard": rendezvous(F.col("key"), grown), "bucket": F.pmod(F.xxhash64("key", "size", "text_crc32"), F.lit(SLOT_BUCKETS)).cast("int")})
+    ).withColumns({"shard": rendezvous(F.col("key"), weights), "grown_shard": rendezvous(F.col("key"), grown), "bucket": _bucket()})
     counts = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
