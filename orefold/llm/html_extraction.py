@@ -1,6 +1,8 @@
 """HTML extraction by two-pass block rules.
 
-Pass one judges each text block by stop-word density, length and link density.
+Pass one judges each text block by stop-word density, length and link density; by
+length and link density alone where stop words cannot tell, on a page of which no
+block reaches the upper density and in blocks of another script than the lists'.
 Pass two gives blocks that are too short to judge the label of their nearest
 decided neighbours.  Page structure narrows what is judged: furniture elements and
 elements whose class, id or role name furniture are left out, and where a page
@@ -9,6 +11,7 @@ marks its article, blocks outside do not count.
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 from collections.abc import Iterator
@@ -48,6 +51,9 @@ _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none|visibility\s*:\s*hidden""", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"\w+")
+_LETTER = re.compile(r"[^\W\d_]")
+#: Letters of other scripts than Latin.
+_OTHER = re.compile(r"[^\W\d_\u0000-\u024f\u1e00-\u1eff]")
 
 
 @dataclass(frozen=True)
@@ -69,9 +75,25 @@ class _Block:
     linked: int = 0
     label: str = ""
 
-    def text(self) -> str:
+    @functools.cached_property
+    def _text(self) -> str:
         return " ".join("".join(self.pieces).split())
 
+    def text(self) -> str:
+        """Of a block that is complete."""
+        return self._text
+
+    @functools.cached_property
+    def density(self) -> float:
+        words = _WORD.findall(self.text().lower())
+        return sum(w in _STOP for w in words) / max(1, len(words))
+
+    @functools.cached_property
+    def latin(self) -> bool:
+        """Whether half of the letters or more are Latin."""
+        text = self.text()
+        return text.isascii() or not _OTHER.search(text) or 2 * len(_OTHER.findall(text)) <= len(_LETTER.findall(text))
+
 
 def _names(attributes: str) -> set[str]:
     found = set()
@@ -163,16 +185,17 @@ def blocks_of(page: str) -> list[_Block]:
     return [b for b in blocks if b.text()]
 
 
-def _judge(block: _Block, rules: Rules) -> str:
-    """good, bad, or short where the block cannot tell."""
+def _judge(block: _Block, rules: Rules, listed: bool) -> str:
+    """good, bad, or short where the block cannot tell; listed: stop words tell on this page."""
     text = block.text()
     solid = max(1, len(text.replace(" ", "")))
     if block.linked > rules.max_links * solid or (("©" in text) and len(text) < rules.long):
         return "bad"
     if len(text) < rules.short:
         return "short"
-    words = _WORD.findall(text.lower())
-    density = sum(w in _STOP for w in words) / max(1, len(words))
+    if not listed or not block.latin:
+        return "good"
+    density = block.density
     if density >= rules.stop_high or (density >= rules.stop_low and len(text) >= rules.long):
         return "good"
     return "short" if block.article or density >= rules.stop_low else "bad"
@@ -212,8 +235,11 @@ def main_text(page: str | None, rules: Rules = Rules()) -> str:
         inner = [b for b in blocks if b.article == best]
         if best == 2 or sum(len(b.text()) for b in inner) * 2 > sum(len(b.text()) for b in blocks):
             blocks = inner
+    listed = any(len(b.text()) >= rules.short and b.density >= rules.stop_high for b in blocks)
     for b in blocks:
-        b.label = _judge(b, rules)
+        b.label = _judge(b, rules, listed)
+    if not listed and all(b.label != "good" for b in blocks):
+        blocks = [b for b in blocks if b.label == "short"]  # nothing good to follow: link lists must not decide
     _inherit(blocks)
     return " ".join(b.text() for b in blocks if b.label == "good")
 

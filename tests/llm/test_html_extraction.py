@@ -33,3 +33,17 @@ def test_broken_and_odd_pages(spark):
     df = spark.createDataFrame([(1, None, "u", 3), (1, f"<p>{LONG}</p>", "u", 4)], "page_id long, html string, text string, n_chars int")
     assert sorted((r.text, r.n_chars) for r in h.extract(df).collect()) == [("", 0), (LONG, len(LONG))]
     assert h.extract(df.limit(0)).count() == 0
+
+
+def test_unlisted_languages_and_tables_without_an_article_are_kept():
+    russian = "Утром старый рыбак вышел на берег и долго смотрел на море, потому что лодка его сына ещё не вернулась домой."
+    polish = "Stary rybak wyszedł rankiem nad brzeg morza, ponieważ łódka jego syna jeszcze nie wróciła z nocnego połowu ryb."
+    chinese = "清晨，老渔夫走到海边，久久地望着大海，因为他儿子的小船还没有回来。" * 3
+    table = "1999 34.5 12.8 77.1 2000 35.9 13.0 78.4 2001 36.2 13.3 79.9 2002 37.8 14.1 81.0 2003 38.8 14.9"
+    links = "<div><a href=1>Раздел первый</a> <a href=2>Раздел второй</a></div>"
+    for text in (russian, polish, chinese, table):
+        assert h.main_text(f"<html><body><div>{links}<p>{text}</p><p>Да.</p></div></body></html>") == f"{text} Да."
+    assert h.main_text(f"<div>{links}<p>清晨，老渔夫走到海边。</p></div>") == "清晨，老渔夫走到海边。"
+    # an English notice beside it does not make another script bad
+    assert h.main_text(f"<div><p>{LONG}</p><p>{russian}</p></div>") == f"{LONG} {russian}"
+    assert h.main_text(f"<div>{links}</div>") == ""
