@@ -1,11 +1,12 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine.
 
 Examples are a bounded sample of the labelled rows (MAX_EXAMPLES of each class);
-terms are whole words and word beginnings, kept if they tell the classes apart
-in the sample, and weighted by their document frequency in all documents.  The
-examples are held in an inverted index whose lists have block maxima: blocks of
-examples are scored in the order of their upper bounds until no other block can
-reach the k nearest, so the neighbours are exact.  Votes weighted by closeness
+terms are whole words and word beginnings, the MAX_TERMS that tell the classes
+apart best in the sample and the best one of each example that has none of them,
+and weighted by their document frequency in all documents.  The examples are held
+in an inverted index whose lists have block maxima: after the blocks with the
+largest upper bounds, all others that can still reach the k nearest are scored, so
+the neighbours are exact over these terms.  Votes weighted by closeness
 are calibrated on leave-one-out votes; neighbours are given as evidence.
 """
 
@@ -23,13 +24,13 @@ from pyspark.sql import types as T
 from orefold.llm._vec import Slice, Words, byte_table, prefix_hash, separators, slices, span_hash
 from orefold.llm.shared import map_arrow
 
-#: Bounds of what is learned from: examples of each class, and terms.
+#: Bounds of what is learned from: examples of each class, and terms (more only so that each example has one).
 MAX_EXAMPLES = 1500
 MAX_TERMS = 4096
-#: Smallest chi-squared of a term; beyond chance among a million terms.
-MIN_CHI2 = 30.0
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks that are scored before the others are held against the nearest so far.
+LEAD = 4
 #: Bytes of the word beginnings that are terms beside the words.
 BEGINNINGS = (4, 5, 6)
 #: Weight of the vote of documents without evidence.
@@ -96,25 +97,34 @@ class Index:
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples with the largest positive cosines, ties by position."""
         bounds = weights @ self.block_max[terms]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
         best = np.zeros(0, np.float64)
         where = np.zeros(0, np.int64)
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            bound = bounds[block]
-            if bound <= 0 or (len(best) == k and bound < best[-1] - 1e-6):
+        for blocks in (order[:LEAD], order[LEAD:]):
+            if len(best) == k:
+                blocks = blocks[bounds[blocks] >= best[-1] - 1e-6]
+            if not len(blocks):
                 break
-            scores = np.zeros(BLOCK)
-            for term, weight in zip(terms.tolist(), weights.tolist()):
-                a, b = self.start[term, block], self.start[term, block + 1]
-                if b > a:
-                    scores[self.posting[a:b] - block * BLOCK] += weight * self.weight[a:b]
+            scores = self._scores(terms, weights, blocks)
             found = np.flatnonzero(scores > 0)
-            at = found + block * BLOCK
-            found = found[at != without]
-            best, where = np.concatenate([best, scores[found]]), np.concatenate([where, found + block * BLOCK])
+            found = found[found != without]
+            best, where = np.concatenate([best, scores[found]]), np.concatenate([where, found])
             keep = np.lexsort((where, -best))[:k]
             best, where = best[keep], where[keep]
         return where, best
 
+    def _scores(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """The cosines of all examples in the blocks, 0 elsewhere."""
+        lists = self.start[terms]
+        first = lists[:, blocks].ravel()
+        n = lists[:, blocks + 1].ravel() - first
+        weights = np.repeat(weights, len(blocks))
+        some = n > 0
+        first, n, weights = first[some], n[some], weights[some]
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.bincount(self.posting[at], np.repeat(weights, n) * self.weight[at], len(self.labels))
+
 
 @dataclass
 class Model:
@@ -215,9 +225,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     n = n_pos + n_neg
     a, b, c, d = pos, neg, n_pos - pos, n_neg - neg
     chi2 = n * (a * d - b * c) ** 2 / np.maximum(1e-9, (a + b) * (c + d) * n_pos * n_neg)
-    best = np.argsort(-chi2, kind="stable")[:MAX_TERMS]
-    best = np.sort(best[chi2[best] >= MIN_CHI2])
-    terms = names[best]
+    taken = np.zeros(len(names), bool)
+    taken[np.argsort(-chi2, kind="stable")[:MAX_TERMS]] = True
+    edges = np.concatenate([[0], np.cumsum([len(x) for x in own])])
+    for a, b in zip(edges, edges[1:]):
+        at = inverse[a:b]
+        if len(at) and not taken[at].any():
+            taken[at[np.argmax(chi2[at])]] = True
+    terms = names[taken]
     model = Model(terms, np.zeros(len(terms)), None, share)
     if not len(terms):
         return model

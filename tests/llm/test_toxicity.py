@@ -42,3 +42,26 @@ def test_empty_labels_and_odd_texts(spark):
     half = spark.createDataFrame([(i, 1) for i in range(5)] + [(1, None), (None, 1)], "doc_id long, toxic int")
     assert {r.predicted for r in toxicity.score(docs, toxicity.fit(docs, half)).collect()} == {1}
     assert toxicity.score(docs.limit(0), toxicity.fit(docs, none)).count() == 0
+
+
+def test_rare_toxic_words_count_and_every_example_is_indexed(spark):
+    rng = np.random.default_rng(4)
+    plain = [f"plain{i}" for i in range(30)]
+    text = lambda *more: " ".join([*rng.choice(plain, 6), *more])
+    rows = [(i, text(), 0) for i in range(400)] + [(400 + i, text(f"{chr(97 + i % 10) * 3}vile"), 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = docs.select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels)
+    used = labels.where(toxicity.fold(toxicity.F.col("doc_id")) != 0).count()
+    assert model.index is not None and len(model.index.example_ids) == used
+    new = spark.createDataFrame([(i, text(f"{chr(97 + i) * 3}vile")) for i in range(10)], "doc_id long, text string")
+    out = toxicity.score(new, model).collect()
+    assert all(r.predicted == 1 and r.evidence for r in out)
+
+
+def test_an_example_without_a_leading_term_is_indexed(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_TERMS", 2)
+    docs = spark.createDataFrame([(i, f"word{i} other{i}", i % 2) for i in range(50)], "doc_id long, text string, toxic int")
+    labels = docs.select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels)
+    assert len(model.index.example_ids) == labels.where(toxicity.fold(toxicity.F.col("doc_id")) != 0).count()
