@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 DETECTION_DOMAINS = ("siem_queries", "sigma_rules")
 LEAST_NAME = 4
 _WORD = r"[A-Za-z0-9_]+"
+#: Most words by which texts and terms meet.
+PHRASE = 3
+#: Terms up to this number are broadcast.
+FEW_TERMS = 200_000
 
 
 def listed(records: DataFrame, column: str, name: str) -> DataFrame:
@@ -35,19 +39,37 @@ def _pattern(term: Column) -> Column:
     return F.concat(F.lit("(?i)\\b\\Q"), term, F.lit("\\E\\b"))
 
 
+def _words(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(f"({_WORD})"), F.lit(1)), F.lower)
+
+
+def _phrases(words: Column, n: int) -> Column:
+    """Each n words that follow one another."""
+    if n == 1:
+        return words
+    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.concat_ws(" ", F.slice(words, i, n)))).otherwise(F.array().cast("array<string>"))
+
+
 def mentions(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """record_id and stix_id where a term stands in the text as a word, case aside.
 
     Instead of testing every pair, texts and terms meet on words: a term that
-    begins and ends in word characters is found by its first word, and the
-    exact pattern then decides.  Terms with other edges, few in practice, are
+    begins and ends in word characters is found by its first words, PHRASE at
+    most, so terms that share their first word do not meet every text with it;
+    the exact pattern then decides.  Terms with other edges, few in practice, are
     tested against all texts in the same way as a nested loop.
     """
     plain = terms.where(F.col("term").rlike(rf"^\w") & F.col("term").rlike(r"\w$"))
     odd = terms.join(plain.select("term").distinct(), "term", "left_anti")
-    keyed = plain.withColumn("word", F.lower(F.regexp_extract("term", _WORD, 0)))
-    words = texts.select("record_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({_WORD})"), F.lit(1)))).alias("word"))
-    candidates = words.join(keyed, "word").select("record_id", "stix_id", "term").distinct()
+    first = F.slice(_words(F.col("term")), 1, PHRASE)
+    keyed = plain.select("stix_id", "term", F.concat_ws(" ", first).alias("word"), F.size(first).alias("n"))
+    sizes = {r["n"]: r["count"] for r in keyed.groupBy("n").count().collect()}
+    lengths = sorted(sizes) or [1]
+    each = texts.select("record_id", _words(F.col("text")).alias("words"))
+    words = each.select("record_id", F.explode(F.array_distinct(F.flatten(F.array(*(_phrases(F.col("words"), n) for n in lengths))))).alias("word"))
+    keyed = keyed.drop("n")
+    # few terms go to the texts, so the phrases of all texts need not be shuffled
+    candidates = words.join(F.broadcast(keyed) if sum(sizes.values()) <= FEW_TERMS else keyed, "word").select("record_id", "stix_id", "term").distinct()
     found = candidates.join(texts, "record_id").where(F.rlike(F.col("text"), _pattern(F.col("term"))))
     other = texts.join(F.broadcast(odd), F.rlike(F.col("text"), _pattern(F.col("term"))))
     return found.select("record_id", "stix_id").unionByName(other.select("record_id", "stix_id")).distinct()

@@ -278,10 +278,28 @@ _DOCS = "SELECT doc_id, ' ' || text || ' ' || CASE WHEN doc_id % 3 = 0 THEN 'by
 @add("J08_J09_J16_mentions", f", dc AS ({_DOCS}), tm AS (SELECT stix_id, term FROM (SELECT stix_id, unnest([name] || aliases) AS term FROM n WHERE type = 'intrusion-set' AND length(stix_id) <= 17) WHERE length(term) >= 4) SELECT DISTINCT doc_id AS record_id, stix_id FROM dc JOIN tm ON contains(lower(t), lower(term)) AND regexp_matches(t, '(?i)\\b' || regexp_escape(term) || '\\b')")
 def _(spark, d):
     g = load(spark, d)
-    actors = Graph(g.nodes.where("length(stix_id) <= 17"), g.edges)
+    return linking.mentions(_texts(spark, d), linking.actor_names(g.nodes.where("length(stix_id) <= 17")))
+
+
+def _texts(spark, d) -> DataFrame:
     tail = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("by GROUP "), (F.col("doc_id") % 40).cast("string"))).otherwise(F.concat(F.lit("subgroup "), F.col("doc_id").cast("string")))
-    docs = spark.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").alias("record_id"), F.concat(F.lit(" "), "text", F.lit(" "), tail, F.lit(".")).alias("text"))
-    return linking.mentions(docs, linking.actor_names(actors.nodes))
+    return spark.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").alias("record_id"), F.concat(F.lit(" "), "text", F.lit(" "), tail, F.lit(".")).alias("text"))
+
+
+@add("J08_J09_mentions_of_all_actors")
+def _(spark, d):
+    """Without the id subset of J08_J09_J16_mentions, whose SQL tests every pair; every actor below the number of documents is named once more."""
+    named = F.concat("text", F.lit(" And Group "), F.col("record_id").cast("string"), F.lit("."))
+    return linking.mentions(_texts(spark, d).select("record_id", named.alias("text")), linking.actor_names(load(spark, d).nodes))
+
+
+@add("J16_mentions_of_software")
+def _(spark, d):
+    """The malware and tools that texts name."""
+    named = F.concat("text", F.lit(" It ran supplier#"), F.lpad(F.col("record_id").cast("string"), 9, "0"), F.lit("."))
+    nodes = load(spark, d).nodes
+    names = linking.actor_names(nodes, "malware").unionByName(linking.actor_names(nodes, "tool"))
+    return linking.mentions(_texts(spark, d).select("record_id", named.alias("text")), names)
 
 
 @add("J13_J19_entity_resolution", ", ix AS (SELECT key, max(stix_id) AS stix_id FROM (SELECT lower(unnest([name] || aliases)) AS key, stix_id FROM n) GROUP BY key), a AS (SELECT s_suppkey AS actor, s_name AS nm, ['none', 'GROUP ' || CAST(s_suppkey % 90 AS VARCHAR(10)), 'x3'] AS sy FROM supplier), p AS (SELECT actor, unnest([nm] || sy) AS term, unnest(range(4)) AS pos FROM a) SELECT a.actor, arg_min(ix.stix_id, pos) AS stix_id FROM a LEFT JOIN p USING (actor) LEFT JOIN ix ON key = lower(CASE WHEN pos = 0 THEN '?' ELSE '' END || term) GROUP BY a.actor")
