@@ -266,6 +266,22 @@ def _(spark, d):
     return found.join(rows.select(F.col("id").alias("record_id"), "domain"), "record_id").select("stix_id", F.col("record_id").alias("id"), "domain", "link_type")
 
 
+@add("J01_records_of_all_objects")
+def _(spark, d):
+    """Without the id subset of J01_J02_records_of_objects."""
+    rows = records_with_ids(spark, d)
+    found = linking.link(rows, all_nodes(spark, d))
+    return found.join(rows.select(F.col("id").alias("record_id"), "domain"), "record_id").select("stix_id", F.col("record_id").alias("id"), "domain", "link_type")
+
+
+@add("J02_objects_of_records")
+def _(spark, d):
+    """The linked objects of each record."""
+    nodes = all_nodes(spark, d)
+    found = linking.link(records_with_ids(spark, d), nodes)
+    return found.join(nodes.select("stix_id", "type", "name"), "stix_id").select("record_id", "stix_id", "type", "name", "link_type", "confidence")
+
+
 @add("J03_A03_U03_merged_stats", "SELECT name, coalesce(max(n) FILTER (WHERE k = 'o'), 0) AS object_count, coalesce(max(n) FILTER (WHERE k = 'r'), 0) AS relationship_count, coalesce(max(n) FILTER (WHERE k = 'l'), 0) AS link_count FROM (SELECT 'o' AS k, type AS name, count(*) AS n FROM (SELECT type FROM n UNION ALL SELECT 'vulnerability' FROM vn) GROUP BY 2 UNION ALL SELECT 'r', rel_type, count(*) FROM e GROUP BY 2 UNION ALL SELECT 'l', CASE WHEN stix_id LIKE 'vuln%' THEN 'vulnerability' ELSE split_part(stix_id, '--', 1) END, count(*) FROM ln GROUP BY 2) GROUP BY name", _LINK_HEAD)
 def _(spark, d):
     nodes = all_nodes(spark, d)

@@ -39,3 +39,15 @@ def test_mentions_of_long_terms(spark):
     texts = spark.createDataFrame([(1, "a b c d e f"), (2, "A-B c D"), (3, "a b c x"), (4, "a b")], "record_id int, text string")
     terms = spark.createDataFrame([("p", "b c d e"), ("q", "a-b C"), ("r", "a b"), ("s", "x")], "stix_id string, term string")
     assert rows(linking.mentions(texts, terms)) == [(1, "p"), (1, "r"), (2, "q"), (3, "r"), (3, "s"), (4, "r")]
+
+
+def test_records_of_all_objects_and_objects_of_records(spark):
+    records = graph_queries.records_with_ids(spark, SF)
+    nodes = {r.stix_id: r for r in graph_queries.all_nodes(spark, SF).collect()}
+    links = linking.link(records, graph_queries.all_nodes(spark, SF)).collect()
+    domain = {r.id: r.domain for r in records.collect()}
+    got = run(spark, "J01_records_of_all_objects")
+    assert got == sorted((x.stix_id, x.record_id, domain[x.record_id], x.link_type) for x in links)
+    assert {s.split("--")[0] for s, *_ in got} >= {"attack-pattern", "vulnerability"}
+    got = run(spark, "J02_objects_of_records")
+    assert got == sorted((x.record_id, x.stix_id, nodes[x.stix_id].type, nodes[x.stix_id].name, x.link_type, x.confidence) for x in links)
