@@ -165,15 +165,21 @@ def _(spark, d):
     return load(spark, d).campaigns().drop("phases")
 
 
-def _campaign_graph(spark, d) -> Graph:
+def _campaign_graph(spark, d, some: str = "true") -> Graph:
     """The graph with actors' techniques given to their campaigns, as the driver's campaigns have none."""
     g = load(spark, d)
-    own = g.path(g.of_type("campaign").where("stix_id IN ('campaign--1', 'campaign--2')"), [("attributed-to", "intrusion-set"), ("uses", "attack-pattern")])
+    own = g.path(g.of_type("campaign").where(some), [("attributed-to", "intrusion-set"), ("uses", "attack-pattern")])
     return Graph(g.nodes, own.select(F.col("start").alias("src"), F.col("stix_id").alias("dst"), F.lit("uses").alias("rel_type")))
 
 
 @add("G18_G21_N13_O05_W12_campaign_techniques", f", c AS (SELECT DISTINCT e1.src AS stix_id, ut.tech AS other_id FROM e e1 JOIN ut ON ut.actor = e1.dst WHERE e1.rel_type = 'attributed-to' AND e1.src IN ('campaign--1', 'campaign--2')) SELECT c.stix_id, other_id, name AS other_name, phases[1] AS phase, CAST(row_number() OVER (PARTITION BY c.stix_id ORDER BY list_position({_CHAIN}, phases[1]), other_id) AS INT) AS position FROM c JOIN n ON n.stix_id = other_id")
 def _(spark, d):
+    return _campaign_graph(spark, d, "stix_id IN ('campaign--1', 'campaign--2')").campaign_techniques()
+
+
+@add("G18_G21_N13_O05_W12_techniques_of_all_campaigns")
+def _(spark, d):
+    """Without the two campaigns of G18_G21_N13_O05_W12_campaign_techniques."""
     return _campaign_graph(spark, d).campaign_techniques()
 
 
@@ -191,6 +197,12 @@ def _(spark, d):
     return Graph(g.nodes, g.edges.where("dst < 'attack-pattern--2' OR rel_type <> 'uses'")).shared_actors()
 
 
+@add("J26_U04_shared_actors_of_all_techniques")
+def _(spark, d):
+    """Without the id subset of J26_U04_shared_actors."""
+    return load(spark, d).shared_actors()
+
+
 @add("J27_relational_division", ", w AS (SELECT actor AS grp, tech FROM (SELECT actor, tech, row_number() OVER (PARTITION BY actor ORDER BY tech) AS k FROM ut) WHERE k <= 2), z AS (SELECT grp, count(*) AS n FROM w GROUP BY 1) SELECT w.grp AS \"group\", ut.actor FROM w JOIN ut USING (tech) JOIN z ON z.grp = w.grp GROUP BY 1, 2, n HAVING count(*) = n")
 def _(spark, d):
     g = load(spark, d)

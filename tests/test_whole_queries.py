@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections import Counter
 
 import __spark_entry__
 from orefold.operators import linking
+from orefold.operators.graph import KILL_CHAIN
 from orefold.plans import graph_queries
 from orefold.plans.views import view
 
@@ -51,3 +54,24 @@ def test_records_of_all_objects_and_objects_of_records(spark):
     assert {s.split("--")[0] for s, *_ in got} >= {"attack-pattern", "vulnerability"}
     got = run(spark, "J02_objects_of_records")
     assert got == sorted((x.record_id, x.stix_id, nodes[x.stix_id].type, nodes[x.stix_id].name, x.link_type, x.confidence) for x in links)
+
+
+def test_shared_actors_of_all_techniques_and_techniques_of_all_campaigns(spark):
+    uses, own = {}, {}
+    for e in view(spark, SF, "v_edges").collect():
+        if e.rel_type == "uses" and e.src.startswith("intrusion-set"):
+            uses.setdefault(e.src, set()).add(e.dst)
+        if e.rel_type == "attributed-to":
+            own.setdefault(e.src, set()).add(e.dst)
+    nodes = {r.stix_id: r for r in graph_queries.load(spark, SF).nodes.collect()}
+    uses = {a: {t for t in ts if t in nodes} for a, ts in uses.items() if a in nodes}
+    count = Counter(p for ts in uses.values() for p in itertools.combinations(sorted(ts), 2))
+    got = run(spark, "J26_U04_shared_actors_of_all_techniques")
+    assert got == sorted((*p, n) for p, n in count.items()) and any(a > "attack-pattern--2" for a, *_ in got)
+    got = run(spark, "G18_G21_N13_O05_W12_techniques_of_all_campaigns")
+    want = []
+    for c, actors in own.items():
+        phase = lambda t: nodes[t].kill_chain_phases[0]
+        used = sorted({t for a in actors for t in uses.get(a, ())}, key=lambda t: (KILL_CHAIN.index(phase(t)), t))
+        want += [(c, t, nodes[t].name, phase(t), i) for i, t in enumerate(used, 1)]
+    assert got == sorted(want) and len({c for c, *_ in got}) > 2
