@@ -75,3 +75,10 @@ def test_shared_actors_of_all_techniques_and_techniques_of_all_campaigns(spark):
         used = sorted({t for a in actors for t in uses.get(a, ())}, key=lambda t: (KILL_CHAIN.index(phase(t)), t))
         want += [(c, t, nodes[t].name, phase(t), i) for i, t in enumerate(used, 1)]
     assert got == sorted(want) and len({c for c, *_ in got}) > 2
+
+
+def test_rules_of_all_parts(spark, tmp_path):
+    keys = [1, 7999, 8000, 9000, 19999]
+    spark.createDataFrame([(k, k % 50) for k in keys], "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    got = rows(__spark_entry__.queries()["F24_F25_F26_rules_of_all_parts"](spark, str(tmp_path)))
+    assert [r[:2] for r in got] == [(k, f"T{1000 + k % 9000}") for k in keys]
