@@ -1,6 +1,7 @@
 """Language ID: sparse multinomial logistic regression on character n-grams.
 
-Features are TF-IDF weights of hashed character 1- to 3-grams.  Weights are
+Features are TF-IDF weights of hashed character 1- to 3-grams, with document
+frequencies from all documents.  Weights are
 learned by follow-the-regularised-leader with elastic-net penalties on a bounded
 sample of labelled texts, and scores are calibrated by a temperature on texts
 held out of that sample.
@@ -21,9 +22,8 @@ from pyspark.sql import types as T
 
 from orefold.llm.shared import map_arrow
 
-#: Bounds of what is learned from: texts of each language, and languages, the most frequent first.
+#: Bound of what is learned from: texts of each language.
 MAX_TEXTS = 800
-MAX_LANGUAGES = 200
 BUCKETS = 1 << 14
 ORDERS = 3
 UNKNOWN = "und"
@@ -128,16 +128,15 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     such rows nothing is learned and every prediction is und.
     """
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.coalesce(fold(F.col(key)) != 0, F.lit(True))).select(F.col(lang).cast("string").alias("l"), F.col(text).alias("t"), F.xxhash64(F.col(key).cast("string"), F.lit(23)).alias("h"))
-    totals = known.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(MAX_LANGUAGES).collect()
+    totals = known.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()
     languages = sorted(r["l"] for r in totals)
     empty = Model([], np.zeros(0), np.zeros((0, 0)), np.zeros(0))
     if not languages:
         return empty
     # a hash threshold for each language keeps about most rows of it, wherever they are
-    share = {r["l"]: min(1.0, 1.2 * most / r["n"]) for r in totals}
-    limit = F.create_map(*(x for k, v in share.items() for x in (F.lit(k), F.lit(v))))
-    drawn = (F.shiftrightunsigned("h", 11).cast("double") / float(1 << 53)) < F.coalesce(limit[F.col("l")], F.lit(0.0))
-    rows = known.filter(drawn).select("l", "t", "h").orderBy("h", "t").limit(2 * most * len(languages)).collect()
+    share = docs.sparkSession.createDataFrame([(r["l"], min(1.0, 1.2 * most / r["n"])) for r in totals], "l string, share double")
+    drawn = (F.shiftrightunsigned("h", 11).cast("double") / float(1 << 53)) < F.col("share")
+    rows = known.join(F.broadcast(share), "l").filter(drawn).select("l", "t", "h").orderBy("h", "t").limit(2 * most * len(languages)).collect()
     number = {x: i for i, x in enumerate(languages)}
     taken: dict[str, int] = {}
     raw = []
@@ -148,8 +147,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
             raw.append((*features, number[r["l"]]))
     if not raw:
         return empty
-    df = np.bincount(np.concatenate([x[0] for x in raw]), minlength=ORDERS * BUCKETS)
-    model = Model(languages, np.log((1 + len(raw)) / (1 + df)) + 1, np.zeros((ORDERS * BUCKETS, len(languages))), np.zeros(len(languages)))
+    model = Model(languages, _idf(docs, text), np.zeros((ORDERS * BUCKETS, len(languages))), np.zeros(len(languages)))
     rows = [(found, model.vector(counts, found), y) for found, counts, y in raw]
     held = rows[::5] if len(rows) >= 50 else []
     _train(model, [x for i, x in enumerate(rows) if not held or i % 5])
@@ -166,6 +164,28 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     return model
 
 
+def _idf(docs: DataFrame, text: str) -> np.ndarray:
+    """Inverse document frequencies of the features over all documents with a letter."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(ORDERS * BUCKETS + 1, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                features = counts_of(x.as_py())
+                if features is not None:
+                    found[features[0]] += 1
+                    found[-1] += 1
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(found[some], pa.int64())], names=["term", "n"])
+
+    # as many rows to the driver as there are features
+    rows = map_arrow(docs.select(text), count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    df = np.zeros(ORDERS * BUCKETS + 1)
+    for r in rows:
+        df[r["term"]] = r["n"]
+    return np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+
+
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """docs with the predicted language and its probability from the whole text.
 

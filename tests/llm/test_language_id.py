@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from orefold.llm import language_id, queries
 
 
@@ -27,3 +28,21 @@ def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "words", None)], "doc_id long, text string, lang string")
     assert language_id.predict(docs, language_id.fit(docs)).first().lang_pred == "und"
     assert language_id.predict(docs.limit(0), language_id.fit(docs.limit(0))).count() == 0
+
+
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(6)
+    words = [" ".join("".join(chr(c) for c in rng.integers(97, 123, 8)) for _ in range(4)) for _ in range(205)]
+    texts = [(w, f"l{i:03d}") for i, w in enumerate(words) for _ in range(9 if i < 200 else 6)]
+    docs = spark.createDataFrame([(k, *x) for k, x in enumerate(texts)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert len(model.languages) == 205
+    assert [model.predict(words[i])[0] for i in range(200, 205)] == [f"l{i:03d}" for i in range(200, 205)]
+
+
+def test_document_frequencies_come_from_all_documents(spark):
+    rows = [(i, "der die das" if i % 2 else "the of and", "de" if i % 2 else "en") for i in range(40)] + [(100 + i, f"qu zz {chr(97 + i % 26)}", None) for i in range(60)] + [(200, None, "en"), (201, "12", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = [language_id.counts_of(t)[0] for _, t, _ in rows[:100]]
+    df = np.bincount(np.concatenate(found), minlength=language_id.ORDERS * language_id.BUCKETS)
+    assert np.allclose(language_id.fit(docs).idf, np.log(101 / (1 + df)) + 1)
