@@ -1,10 +1,12 @@
-"""Benchmark decontamination over suffix arrays of the training text.
+"""Benchmark decontamination by sorted window hashes of the training text.
 
-Training texts are indexed shard by shard (a slice of rows of bounded bytes): a
-sparse suffix array holds the word positions that can start a match, ordered by
-their first DEPTH words through prefix doubling.  Every benchmark suffix is
-binary-searched in every shard; a hit yields the longest verbatim match and its
-places.  Shards hold whole documents, so nothing is shuffled.
+Training texts are indexed shard by shard (a slice of rows of bounded bytes): the
+word positions that can start a match are sorted by the 64-bit hash of their first
+DEPTH words, or of as many as a shorter benchmark item has.  The windows of the
+benchmark are binary-searched in every shard for equal keys; hits on a diagonal are
+joined to the longest verbatim matches, with their places.  Suffixes are not
+ordered by their words: a hit needs one equal window, and equal keys find it.
+Shards hold whole documents, so nothing is shuffled.
 
 The benchmark is broadcast in blocks of a bounded size; a larger benchmark takes
 more passes, whose results are merged by document.
@@ -79,7 +81,7 @@ def _within(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """A sparse suffix array over the words of a slice of documents."""
+    """Positions in the words of a slice of documents, sorted by the hashes of their windows."""
 
     def __init__(self, s: Slice, tests: Suffixes, depth: int = DEPTH) -> None:
         self.words = w = Words(s, _SEPARATORS, _TABLE)
@@ -97,7 +99,7 @@ class Shard:
         self.order: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def sorted_by(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the suffixes' first width words in order, and their positions."""
+        """Hashes of the windows of width words in order, and their positions."""
         if width not in self.order:
             at = self.at[self.at + width <= self.stop[self.at]] if len(self.at) else self.at
             keys = span_hash(self.prefix, at, at + width)
