@@ -2,7 +2,11 @@
 
 Everything works on slices of Arrow batches of a bounded number of bytes, so a
 worker's memory follows the slice size (or the longest single text), not the
-partition.  Hashes are 64 bits; texts are treated as UTF-8 bytes.
+partition.  Texts are treated as UTF-8 bytes.
+
+Two kinds of rolling hashes: quick ones modulo 2**64, which only place cuts and
+anchors, as structured strings can collide there whatever the base; and those
+modulo the prime 2**61 - 1, by which equality is judged.
 """
 
 from __future__ import annotations
@@ -42,7 +46,7 @@ _POWERS = _Powers()
 
 
 def byte_table(seed: int, fold_case: bool) -> np.ndarray:
-    """A random 64-bit value per byte; A-Z share those of a-z if fold_case."""
+    """A random 64-bit value per byte, for prefix_hash; A-Z share those of a-z if fold_case."""
     table = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(2 * seed + 1))
     if fold_case:
         table[65:91] = table[97:123]
@@ -83,6 +87,119 @@ def window_hash(prefix: np.ndarray, width: int) -> np.ndarray:
     return mix64((prefix[width:] - prefix[:n]) * down[:n])
 
 
+PRIME = np.uint64((1 << 61) - 1)
+_BASE61 = 0x1B7E151628AED2A6
+
+
+#: Values that are worked on at once, so that they stay in a core's cache.
+_RUN = 1 << 14
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, for x below 2**64."""
+    x = (x >> np.uint64(61)) + (x & PRIME)
+    return np.minimum(x, x - PRIME)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    low = np.uint64((1 << 31) - 1)
+    a1, a0, b1, b0 = a >> np.uint64(31), a & low, b >> np.uint64(31), b & low
+    middle = a0 * b1
+    middle += a1 * b0
+    out = a1 * b1
+    out += out
+    out += middle >> np.uint64(30)
+    middle &= np.uint64((1 << 30) - 1)
+    middle <<= np.uint64(31)
+    out += middle
+    out += a0 * b0
+    return _folded(out)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, for a and b below it; b may be a single value."""
+    if len(a) <= _RUN:
+        return _product(a, b)
+    out = np.empty(len(a), np.uint64)
+    for i in range(0, len(a), _RUN):
+        out[i : i + _RUN] = _product(a[i : i + _RUN], b if len(b) == 1 else b[i : i + _RUN])
+    return out
+
+
+class _Powers61:
+    """Powers of a base and of its inverse modulo the prime, doubled on demand."""
+
+    def __init__(self) -> None:
+        p = int(PRIME)
+        self.steps = _BASE61 % p, pow(_BASE61, -1, p)
+        self.up, self.down = (np.ones(1, np.uint64) for _ in range(2))
+
+    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.up) < n:
+            have = len(self.up)
+            more = (np.array([pow(step, have, int(PRIME))], np.uint64) for step in self.steps)
+            self.up, self.down = (np.concatenate([x, _times(x, y)]) for x, y in zip((self.up, self.down), more))
+        return self.up[:n], self.down[:n]
+
+
+_POWERS61 = _Powers61()
+
+
+def prefix61(values: np.ndarray) -> np.ndarray:
+    """P of which span61 reads the hash of any span of values; values are below the prime, or 16-bit codes below 2**12."""
+    n = len(values)
+    up, _ = _POWERS61.get(n + 1)
+    out = np.zeros(n + 1, np.uint64)
+    codes = values.dtype == np.uint16
+    shift, carry = np.uint64(31 if codes else 32), np.uint64(0)
+    low, top = np.uint64((1 << int(shift)) - 1), np.uint64(61) - shift
+    for i in range(0, n, _RUN):
+        power, value = up[i : min(n, i + _RUN)], values[i : i + _RUN]
+        # sums of halves stay below 2**58
+        if codes:
+            value = value.astype(np.uint64)
+            high, rest = np.cumsum(value * (power >> shift)), np.cumsum(value * (power & low))
+        else:
+            term = _product(value, power)
+            high, rest = np.cumsum(term >> shift), np.cumsum(term & low)
+        rest += high >> top
+        high &= np.uint64((1 << int(top)) - 1)
+        high <<= shift
+        rest += high
+        rest += carry
+        rest = _folded(rest)
+        out[i + 1 : i + 1 + len(rest)] = rest
+        carry = rest[-1]
+    return out
+
+
+def span61(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Scrambled hashes of spans; equal spans of one length have equal ones."""
+    _, down = _POWERS61.get(len(prefix))
+    return mix64(_times(_folded(prefix[ends] + PRIME - prefix[starts]), down[starts]))
+
+
+def window61(prefix: np.ndarray, width: int) -> np.ndarray:
+    """The hashes of all spans of one width."""
+    n = len(prefix) - width
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    _, down = _POWERS61.get(len(prefix))
+    out = np.empty(n, np.uint64)
+    for i in range(0, n, _RUN):
+        j = min(n, i + _RUN)
+        out[i:j] = mix64(_product(_folded(prefix[i + width : j + width] + PRIME - prefix[i:j]), down[i:j]))
+    return out
+
+
+def byte_codes(seed: int, fold_case: bool) -> np.ndarray:
+    """A code below 2**12 per byte, for prefix61; A-Z share those of a-z if fold_case."""
+    codes = np.random.default_rng(seed).permutation(1 << 12)[:256].astype(np.uint16)
+    if fold_case:
+        codes[65:91] = codes[97:123]
+    return codes
+
+
 class Slice:
     """Some rows of a batch: their number range, bytes and offsets."""
 
@@ -131,7 +248,7 @@ def separators(pattern: str) -> np.ndarray:
 class Words:
     """Word spans of a slice; word hashes fold A-Z; row i has the words first[i] to first[i + 1]."""
 
-    def __init__(self, s: Slice, separator: np.ndarray, table: np.ndarray) -> None:
+    def __init__(self, s: Slice, separator: np.ndarray, codes: np.ndarray) -> None:
         data, n = s.data, len(s.data)
         inside = ~separator[data]
         edge = np.zeros(n + 1, bool)
@@ -147,16 +264,16 @@ class Words:
             after[:-1] = ~inside[1:]
         self.ends = np.flatnonzero(inside & (after | edge[1:])) + 1
         self.first = np.searchsorted(self.starts, s.offsets)
-        self.hashes = span_hash(prefix_hash(table[data]), self.starts, self.ends)
-
+        self.hashes = span61(prefix61(codes[data]), self.starts, self.ends)
 
-_SEQ = 0xD6E8FEB86659FD93
+    def sequence(self) -> np.ndarray:
+        """Of which span61 and window61 read the hashes of spans of words."""
+        return prefix61(self.hashes >> np.uint64(3))
 
 
 def gram_hashes(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all spans of width words of the slice, and whether a span lies in one row."""
-    prefix = prefix_hash(words.hashes)
-    grams = window_hash(prefix, width)
+    grams = window61(words.sequence(), width)
     row = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
     same = row[: len(grams)] == row[width - 1 : width - 1 + len(grams)] if len(grams) else np.zeros(0, bool)
     return grams, same

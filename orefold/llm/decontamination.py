@@ -23,13 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orefold.llm._vec import Slice, Words, byte_table, prefix_hash, separators, slices, span_hash, window_hash
+from orefold.llm._vec import Slice, Words, byte_codes, prefix_hash, separators, slices, span_hash, window_hash
 from orefold.llm.shared import map_arrow, written
 
 DEPTH = 10
 BLOCK_BYTES = 32 << 20
 
-_TABLE = byte_table(8, True)
+_CODES = byte_codes(8, True)
 _SEPARATORS = separators("alnum")
 
 MATCH = T.StructType([T.StructField("item_id", T.StringType()), T.StructField("doc_word", T.IntegerType()), T.StructField("item_word", T.IntegerType()), T.StructField("length", T.IntegerType())])
@@ -39,7 +39,7 @@ SPAN = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.I
 
 def _words(texts: list[str | None]) -> tuple[Words, np.ndarray]:
     s = next(slices(pa.array(texts, pa.string()), 1 << 62), Slice(0, np.zeros(0, np.uint8), np.zeros(1, np.int64)))
-    w = Words(s, _SEPARATORS, _TABLE)
+    w = Words(s, _SEPARATORS, _CODES)
     return w, np.diff(w.first)
 
 
@@ -84,7 +84,7 @@ class Shard:
     """Positions in the words of a slice of documents, sorted by the hashes of their windows."""
 
     def __init__(self, s: Slice, tests: Suffixes, depth: int = DEPTH) -> None:
-        self.words = w = Words(s, _SEPARATORS, _TABLE)
+        self.words = w = Words(s, _SEPARATORS, _CODES)
         self.prefix = prefix_hash(w.hashes)
         n = len(w.hashes)
         self.row = np.repeat(np.arange(s.n), np.diff(w.first))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm._vec import Slice, Words, byte_table, gram_hashes, mix64, prefix_hash, separators, slices, span_hash
+from orefold.llm._vec import Slice, Words, byte_codes, gram_hashes, mix64, separators, slices, span61
 from orefold.llm.components import components
 from orefold.llm.shared import map_arrow, partitions, written
 
@@ -41,7 +41,7 @@ LANES = 16
 #: Entries that a task packs at once.
 PACK = 400_000
 
-_TABLE = byte_table(1, True)
+_CODES = byte_codes(1, True)
 _SEPARATORS = separators("space")
 
 
@@ -66,15 +66,15 @@ class Threshold:
 
 def sets_of(s: Slice, width: int = WIDTH) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each row; short texts have one, of all their words; empty ones none."""
-    w = Words(s, _SEPARATORS, _TABLE)
+    w = Words(s, _SEPARATORS, _CODES)
     grams, _ = gram_hashes(w, width)
-    prefix = prefix_hash(w.hashes)
+    prefix = w.sequence()
     out = []
     for a, b in zip(w.first.tolist(), w.first[1:].tolist()):
         if b - a >= width:
             out.append(np.unique(grams[a : b - width + 1]))
         elif b > a:
-            out.append(span_hash(prefix, np.array([a]), np.array([b])) ^ np.uint64(b - a))
+            out.append(span61(prefix, np.array([a]), np.array([b])) ^ np.uint64(b - a))
         else:
             out.append(np.zeros(0, np.uint64))
     return out

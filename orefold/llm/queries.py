@@ -27,7 +27,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.dedup(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passage_words")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +129,7 @@ r AS (SELECT doc_id, doc_id AS o FROM d UNION SELECT r.doc_id, e.b FROM r JOIN e
 SELECT r.doc_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_shingles, min(o) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
-_W = suffix_dedup.WINDOW
+_W, _P = suffix_dedup.WINDOW, suffix_dedup.PASSAGE_WORDS
 _SUFFIX_SQL = f"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
 p AS (SELECT doc_id, h, unnest(range(1, n - {_W} + 2)) AS i FROM d WHERE n >= {_W}),
@@ -139,8 +139,12 @@ f AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY
 g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM f),
 s AS (SELECT doc_id, k, min(i) AS a, max(i) + {_W} AS b FROM g GROUP BY 1, 2),
 t AS (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 1) AS before, b FROM s),
-q AS (SELECT t.doc_id, string_agg(substr(h, 2 * before - 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) - 1) AS kept, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM t JOIN d USING (doc_id) GROUP BY 1)
-SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN q USING (doc_id)
+q AS (SELECT t.doc_id, string_agg(substr(h, 2 * before - 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) - 1) AS kept, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM t JOIN d USING (doc_id) GROUP BY 1),
+ws AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS w FROM documents),
+wi AS (SELECT doc_id, w, unnest(range(1, len(w) - {_P} + 2)) AS i FROM ws WHERE len(w) >= {_P}),
+wx AS (SELECT doc_id, i, md5_number(array_to_string(w[i:i + {_P - 1}], ' ')) AS x FROM wi),
+wp AS (SELECT doc_id, count(DISTINCT j) AS n_passage_words FROM (SELECT doc_id, unnest(range(i, i + {_P})) AS j FROM wx WHERE x IN (SELECT x FROM wx GROUP BY x HAVING count(*) > 1)) GROUP BY 1)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256, coalesce(n_passage_words, 0) AS n_passage_words FROM d LEFT JOIN q USING (doc_id) LEFT JOIN wp USING (doc_id)
 """
 
 _CRC_STEP = "CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END"

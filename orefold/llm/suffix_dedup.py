@@ -10,7 +10,13 @@ have equal digits, and runs of suffixes with one digit, about a hundred bytes
 long, travel as one segment.  The second digit is the hash of all the text that a segment's
 windows span: segments equal there are repeated throughout.  Only suffixes of segments
 that share the first digit but not the second are sorted one by one, by their
-windows' full 64-bit hashes.
+windows' full hashes.
+
+Passages of some number of words that repeat are found in the same passes, as
+suffixes of word sequences beside those of bytes (a view of their own).
+
+Equality is judged by 96 bits or more: by both digits of a segment, and by two
+independent hashes of a single window, one of them modulo a prime.
 
 Every pass first settles what meets inside a task, so a string that stands in a
 third of all rows reaches a bucket once a task.
@@ -28,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orefold.llm._vec import Slice, byte_table, mix64, prefix_hash, slices, span_hash, window_hash
+from orefold.llm._vec import Slice, Words, byte_codes, byte_table, mix64, prefix61, prefix_hash, separators, slices, span61, span_hash, window61
 from orefold.llm.shared import map_arrow, partitions, written
 
 WINDOW = 400
@@ -40,7 +46,11 @@ IDS_BYTES = 64 << 20
 #: Segments, or single suffixes, that a task gathers before it settles what meets among them.
 HELD = 300_000
 
-_TABLE = byte_table(2, False)
+#: Words of the windows of the second view, and of their first digit's strings.
+PASSAGE_WORDS = 50
+
+_CODES, _TABLE = byte_codes(2, False), byte_table(2, False)
+_SEPARATORS = separators("space")
 #: States of spans: repeated throughout, to be sorted one by one, or known as repeated and sorted with the open ones.
 _WHOLE, _OPEN, _GIVEN = 1, 2, 3
 
@@ -54,6 +64,31 @@ def _sliding(x: np.ndarray, width: int, better) -> np.ndarray:
     return better(x[: len(x) - (width - have)], x[width - have :]) if have < width else x
 
 
+@dataclass(frozen=True)
+class View:
+    """Windows over bytes (number 0) or words (number 1), and the length of their first digit's strings."""
+
+    number: int
+    window: int
+    anchor: int
+
+    def read(self, s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the hashes of spans are read of, each row's first item, and values for a second hash."""
+        if not self.number:
+            return prefix61(_CODES[s.data]), s.offsets, _TABLE[s.data]
+        words = Words(s, _SEPARATORS, _CODES)
+        return words.sequence(), words.first, words.hashes
+
+    @property
+    def salt(self) -> np.uint64:
+        """Keeps the views' hashes apart."""
+        return np.uint64(self.number * 0xA24BAED4963EE407)
+
+
+#: The view's place in a span's state and in a segment's mark.
+_VIEW = 4
+
+
 @dataclass
 class Segments:
     """Runs of window starts with one first digit; start counts inside the row."""
@@ -64,16 +99,18 @@ class Segments:
     first: np.ndarray
     second: np.ndarray
     again: np.ndarray  # the digit's string stands twice inside the segment
+    view: np.ndarray
 
 
-def segments(s: Slice, window: int = WINDOW, anchor: int = ANCHOR) -> Segments:
-    begin, end = s.offsets[:-1], s.offsets[1:]
+def segments(s: Slice, view: View) -> Segments:
+    prefix, offsets, _ = view.read(s)
+    window, anchor = view.window, view.anchor
+    begin, end = offsets[:-1], offsets[1:]
     long = end - begin >= window
     none = np.zeros(0, np.int64)
     if not long.any():
-        return Segments(none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(bool))
-    prefix = prefix_hash(_TABLE[s.data])
-    strings = window_hash(prefix, anchor)
+        return Segments(none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(bool), none.astype(np.uint8))
+    strings = window61(prefix, anchor)
     width = window - anchor + 1
     least = _sliding(strings, width, np.minimum)
     inside = np.zeros(len(least) + 1, np.int32)
@@ -96,8 +133,8 @@ def segments(s: Slice, window: int = WINDOW, anchor: int = ANCHOR) -> Segments:
         again = (twice[i] >= start) & (twice[i] <= last + width - 1)
     else:
         again = np.zeros(len(start), bool)
-    row = np.searchsorted(s.offsets, start, "right") - 1
-    return Segments(row, start - s.offsets[row], last - start + 1, least[start], span_hash(prefix, start, last + window), again)
+    row = np.searchsorted(offsets, start, "right") - 1
+    return Segments(row, start - offsets[row], last - start + 1, least[start] ^ view.salt, span61(prefix, start, last + window) ^ view.salt, again, np.full(len(start), view.number, np.uint8))
 
 
 def _part(keys: np.ndarray, n: int) -> np.ndarray:
@@ -105,30 +142,37 @@ def _part(keys: np.ndarray, n: int) -> np.ndarray:
     return ((mix64(keys) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
-def _deal(keys: np.ndarray, columns: list[np.ndarray], n: int) -> tuple[np.ndarray, list[bytes]]:
-    """Rows of columns by part of their key: part numbers and, for each, the columns' bytes behind their number."""
+def _deal(keys: np.ndarray, uid: np.ndarray, columns: list[np.ndarray], n: int) -> tuple[np.ndarray, list[bytes]]:
+    """Rows by part of their key: part numbers and, for each, numbers of rows and of uids, the uids, and the columns' bytes."""
     parts = _part(keys, n)
     order = np.argsort(parts, kind="stable")
     edges = np.searchsorted(parts[order], np.arange(n + 1).astype(np.uint64))
-    some = np.flatnonzero(np.diff(edges))
-    columns = [c[order] for c in columns]
-    return some, [b"".join([np.int64(edges[i + 1] - edges[i]).tobytes(), *(c[edges[i] : edges[i + 1]].tobytes() for c in columns)]) for i in some]
+    some, packed = np.flatnonzero(np.diff(edges)), []
+    uid, columns = uid[order], [c[order] for c in columns]
+    for i in some:
+        a, b = edges[i], edges[i + 1]
+        names, at = np.unique(uid[a:b], return_inverse=True)
+        packed.append(b"".join([np.array([b - a, len(names)], np.int64).tobytes(), names.tobytes(), at.astype(np.uint32).tobytes(), *(c[a:b].tobytes() for c in columns)]))
+    return some, packed
 
 
 def _gather(blobs: list[bytes], kinds: list) -> list[np.ndarray]:
+    """uid and the columns of all blobs."""
     parts = []
     for blob in blobs:
-        n, o, own = int(np.frombuffer(blob, np.int64, 1)[0]), 8, []
+        n, m = np.frombuffer(blob, np.int64, 2).tolist()
+        o = 16 + 8 * m + 4 * n
+        own = [np.frombuffer(blob, np.int64, m, 16)[np.frombuffer(blob, np.uint32, n, 16 + 8 * m)]]
         for kind in kinds:
             own.append(np.frombuffer(blob, kind, n, o))
             o += n * np.dtype(kind).itemsize
         parts.append(own)
-    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, k) for k in kinds]
+    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, k) for k in (np.int64, *kinds)]
 
 
 _ROWS = "part int, told boolean, packed binary"
-_KIND = [np.uint64, np.uint64, np.int64, np.uint32, np.uint32, np.uint8]
-_SPAN = [np.int64, np.uint32, np.uint32, np.uint8]
+_KIND = [np.uint64, np.uint64, np.uint32, np.uint32, np.uint8]
+_SPAN = [np.uint32, np.uint32, np.uint8]
 
 
 def _batch(told: bool, dealt: tuple[np.ndarray, list[bytes]]) -> pa.RecordBatch:
@@ -138,7 +182,7 @@ def _batch(told: bool, dealt: tuple[np.ndarray, list[bytes]]) -> pa.RecordBatch:
 
 def _told(spans: tuple[np.ndarray, ...], n: int) -> pa.RecordBatch:
     """Spans (uid, start, length, state) on their way to the part of their row."""
-    return _batch(True, _deal(spans[0].astype(np.uint64), [c.astype(k) for c, k in zip(spans, _SPAN)], n))
+    return _batch(True, _deal(spans[0].astype(np.uint64), spans[0], [c.astype(k) for c, k in zip(spans[1:], _SPAN)], n))
 
 
 def _sorted_buckets(rows: DataFrame, deal, sort, n: int) -> DataFrame:
@@ -176,37 +220,47 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return counts[inverse], lead
 
 
-def _first_passes(rows: DataFrame, window: int, anchor: int, n_parts: int) -> DataFrame:
+def _kinds(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A number for each pair of values, the same for equal pairs only."""
+    order = np.lexsort((y, x))
+    fresh = np.append(True, (x[order[1:]] != x[order[:-1]]) | (y[order[1:]] != y[order[:-1]]))
+    out = np.empty(len(x), np.int64)
+    out[order] = np.cumsum(fresh) - 1
+    return out
+
+
+def _first_passes(rows: DataFrame, views: list[View], n_parts: int) -> DataFrame:
     """uid and packed spans: whole ones (state 1) and those to be sorted one by one (state 2)."""
 
     def settle(held: list[tuple[Segments, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        first, second, start, length, again = (np.concatenate([getattr(g, c) for g, _ in held]) for c in ("first", "second", "start", "length", "again"))
+        first, second, start, length, again, view = (np.concatenate([getattr(g, c) for g, _ in held]) for c in ("first", "second", "start", "length", "again", "view"))
         uid = np.concatenate([u for _, u in held])
         n_first, _ = _runs(first)
-        n_same, lead = _runs(second)
+        n_same, lead = _runs(_kinds(first, second))
         # settled here: equal segments are repeated; of many with one digit all are sorted one by one
         here = np.where(n_same > 1, _WHOLE, np.where((n_first > MOST_IN_TASK) | again, _OPEN, 0)).astype(np.uint8)
         done = here > 0
         if done.any():
-            yield _told((uid[done], start[done], length[done], here[done]), n_parts)
+            yield _told((uid[done], start[done], length[done], (here | view << _VIEW)[done]), n_parts)
         send = (here == 0) | lead & (n_same > 1) | again
         crowd = np.flatnonzero(n_first > MOST_IN_TASK)
         send[crowd[np.unique(first[crowd], return_index=True)[1]]] = True
         # marks say that the task knows the digit to be shared, the segment to be repeated, its state to be told, or others of its digit to be open
         _, inverse = np.unique(first, return_inverse=True)
         some_open = np.bincount(inverse, here != _WHOLE)[inverse] > 0
-        mark = (n_first > 1) | again | 2 * (n_same > 1) | 4 * done | 8 * some_open
-        columns = [first, second, uid, start.astype(np.uint32), length.astype(np.uint32), mark.astype(np.uint8)]
-        yield _batch(False, _deal(first[send], [c[send] for c in columns], n_parts))
+        mark = (n_first > 1) | again | 2 * (n_same > 1) | 4 * done | 8 * some_open | view << _VIEW
+        columns = [first, second, start.astype(np.uint32), length.astype(np.uint32), mark.astype(np.uint8)]
+        yield _batch(False, _deal(first[send], uid[send], [c[send] for c in columns], n_parts))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[Segments, np.ndarray]] = []
         for batch in batches:
             uids = batch.column("uid").to_numpy()
             for s in slices(batch.column("text")):
-                g = segments(s, window, anchor)
-                if len(g.row):
-                    held.append((g, uids[s.first + g.row]))
+                for view in views:
+                    g = segments(s, view)
+                    if len(g.row):
+                        held.append((g, uids[s.first + g.row]))
                 if sum(len(u) for _, u in held) > HELD:
                     yield from settle(held)
                     held = []
@@ -214,16 +268,18 @@ def _first_passes(rows: DataFrame, window: int, anchor: int, n_parts: int) -> Da
             yield from settle(held)
 
     def sort(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        first, second, uid, start, length, mark = _gather(blobs, _KIND)
+        uid, first, second, start, length, mark = _gather(blobs, _KIND)
         if not len(first):
             return
+        view = mark >> _VIEW << _VIEW
         n_first, _ = _runs(first)
         _, inverse = np.unique(first, return_inverse=True)
         shared = (n_first > 1) | (np.bincount(inverse, (mark & 1) > 0)[inverse] > 0)
-        n_same, _ = _runs(second)
-        _, inverse = np.unique(second, return_inverse=True)
+        same = _kinds(first, second)
+        n_same, _ = _runs(same)
+        _, inverse = np.unique(same, return_inverse=True)
         whole = (n_same > 1) | (np.bincount(inverse, (mark & 2) > 0)[inverse] > 0)
-        state = np.where(whole, _WHOLE, np.where(shared, _OPEN, 0))
+        state = np.where(whole, _WHOLE, np.where(shared, _OPEN, 0)).astype(np.uint8) | view
         tell = np.where(whole, (mark & 2) == 0, shared & ((mark & 4) == 0))
         if tell.any():
             yield _told((uid[tell], start[tell], length[tell], state[tell]), n_parts)
@@ -232,8 +288,8 @@ def _first_passes(rows: DataFrame, window: int, anchor: int, n_parts: int) -> Da
         mixed = np.bincount(inverse, ~whole | ((mark & 8) > 0))[inverse] > 0
         given = np.flatnonzero(mixed & whole)
         if len(given):
-            given = given[np.unique(second[given], return_index=True)[1]]
-            yield _told((uid[given], start[given], length[given], np.full(len(given), _GIVEN)), n_parts)
+            given = given[np.unique(same[given], return_index=True)[1]]
+            yield _told((uid[given], start[given], length[given], _GIVEN | view[given]), n_parts)
 
     return _sorted_buckets(rows, deal, sort, n_parts)
 
@@ -243,31 +299,31 @@ def _triples(packed: bytes | None) -> np.ndarray:
     return np.frombuffer(packed or b"", np.uint32).reshape(-1, 3).astype(np.int64)
 
 
-def _last_pass(rows: DataFrame, spans: DataFrame, window: int, n_parts: int) -> DataFrame:
+def _last_pass(rows: DataFrame, spans: DataFrame, views: list[View], n_parts: int) -> DataFrame:
     """uid and packed spans of the open spans' suffixes whose windows are equal to full depth."""
-    kinds = [np.uint64, np.int64, np.uint32]
-    silent = 0xFFFFFFFF
+    kinds = [np.uint64, np.uint32, np.uint32]
+    silent, in_words = 0xFFFFFFFF, 1 << 31
 
     def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        keys, uid, at, known = (np.concatenate(x) for x in zip(*held))
-        n, lead = _runs(keys)
-        _, inverse = np.unique(keys, return_inverse=True)
-        many = (n > 1) | (np.bincount(inverse, known)[inverse] > 0)
+        keys, more, uid, at, known = (np.concatenate(x) for x in zip(*held))
+        same = _kinds(keys, more)
+        n, lead = _runs(same)
+        many = (n > 1) | (np.bincount(same, known)[same] > 0)
         tell = many & ~known
         if tell.any():
             yield _told(_positions(uid[tell], at[tell]), n_parts)
         send = ~many | lead
         # a settled window goes once, twice counted, and wants no answer
         twice = many & lead
-        k, u = np.concatenate([keys[send], keys[twice]]), np.concatenate([uid[send], uid[twice]])
+        k, m, u = (np.concatenate([x[send], x[twice]]) for x in (keys, more, uid))
         p = np.concatenate([np.where(many[send], silent, at[send]), np.full(twice.sum(), silent)]).astype(np.uint32)
-        yield _batch(False, _deal(k, [k, u, p], n_parts))
+        yield _batch(False, _deal(k, u, [k, m, p], n_parts))
 
     def open_starts(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts in open and given spans, and whether they are given."""
         n = spans[:, 1]
         at = np.repeat(spans[:, 0] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        at = np.unique(2 * at + ~np.repeat(spans[:, 2] == _GIVEN, n))
+        at = np.unique(2 * at + ~np.repeat(spans[:, 2] % (1 << _VIEW) == _GIVEN, n))
         at = at[np.append(True, at[1:] // 2 != at[:-1] // 2)]
         return at // 2, at % 2 == 0
 
@@ -276,14 +332,19 @@ def _last_pass(rows: DataFrame, spans: DataFrame, window: int, n_parts: int) ->
         for batch in batches:
             uids, packed = batch.column("uid").to_numpy(), batch.column("packed")
             for s in slices(batch.column("text")):
-                prefix = prefix_hash(_TABLE[s.data])
-                for i in range(s.n):
-                    spans = _triples(packed[s.first + i].as_py())
-                    spans = spans[spans[:, 2] != _WHOLE]
-                    if len(spans):
-                        at, known = open_starts(spans)
-                        begin = at + s.offsets[i]
-                        held.append((span_hash(prefix, begin, begin + window), np.full(len(at), uids[s.first + i]), at, known))
+                own = [_triples(packed[s.first + i].as_py()) for i in range(s.n)]
+                for view in views:
+                    wanted = [x[(x[:, 2] >> _VIEW == view.number) & (x[:, 2] % (1 << _VIEW) != _WHOLE)] for x in own]
+                    if not any(map(len, wanted)):
+                        continue
+                    prefix, offsets, values = view.read(s)
+                    second = prefix_hash(values)
+                    for i, x in enumerate(wanted):
+                        if len(x):
+                            at, known = open_starts(x)
+                            begin = at + offsets[i]
+                            end = begin + view.window
+                            held.append((span61(prefix, begin, end) ^ view.salt, (span_hash(second, begin, end) >> np.uint64(32)).astype(np.uint32), np.full(len(at), uids[s.first + i]), at + view.number * in_words, known))
                 if sum(len(x[0]) for x in held) > HELD:
                     yield from settle(held)
                     held = []
@@ -291,24 +352,24 @@ def _last_pass(rows: DataFrame, spans: DataFrame, window: int, n_parts: int) ->
             yield from settle(held)
 
     def sort(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        keys, uid, at = _gather(blobs, kinds)
+        uid, keys, more, at = _gather(blobs, kinds)
         if not len(keys):
             return
-        tell = (_runs(keys)[0] > 1) & (at != silent)
+        tell = (_runs(_kinds(keys, more))[0] > 1) & (at != silent)
         if tell.any():
-            yield _told(_positions(uid[tell], at[tell]), n_parts)
+            yield _told(_positions(uid[tell], at[tell].astype(np.int64)), n_parts)
 
     return _sorted_buckets(rows.join(spans, "uid").select("uid", "text", "packed"), deal, sort, n_parts)
 
 
 def _positions(uid: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Single window starts by row, runs of them as one span."""
+    """Single window starts by row, runs of them as one span; the starts' highest bit is the view."""
     order = np.lexsort((at, uid))
-    uid, at = uid[order], at[order].astype(np.int64)
+    uid, at = uid[order], at[order]
     fresh = np.append(True, (uid[1:] != uid[:-1]) | (at[1:] != at[:-1] + 1))
     k = np.flatnonzero(fresh)
     length = np.diff(np.append(k, len(at)))
-    return uid[k], at[k], length, np.full(len(k), _WHOLE)
+    return uid[k], at[k] % (1 << 31), length, _WHOLE | at[k] >> 31 << _VIEW
 
 
 def removed_spans(starts: np.ndarray, lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -323,35 +384,44 @@ def removed_spans(starts: np.ndarray, lengths: np.ndarray, window: int) -> tuple
     return a[k], reach[np.append(k[1:], len(a)) - 1]
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """key, n_bytes, n_removed, n_spans and kept, the bytes outside repeated windows.
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR, passage_words: int = PASSAGE_WORDS) -> DataFrame:
+    """key, n_bytes, n_removed, n_spans, kept, the bytes outside repeated windows, and n_passage_words.
+
+    n_passage_words counts the words in passages of passage_words words, however
+    many bytes they have, that start anywhere else too; nothing is removed for
+    them.  Words are runs of anything but ASCII white space.
 
     A window is repeated if it starts anywhere else in any row, its own included;
     windows never cross rows.  Null or empty texts keep nothing of nothing.  Rows
     that repeat, keys included, count as several texts.  kept may cut
     characters, so it is binary.
     """
-    if not 0 < anchor <= window:
-        raise ValueError("anchor must lie in the window")
+    if not 0 < anchor <= window or passage_words < 1:
+        raise ValueError("anchor must lie in the window, and passages have words")
+    views = [View(0, window, anchor), View(1, passage_words, -(-passage_words // 2))]
     n_parts = partitions(docs.sparkSession)
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("uid"))
-    spans = written(_first_passes(rows.filter(F.octet_length("text") >= window).select("uid", "text"), window, anchor, n_parts))
+    long = F.octet_length("text") >= min(window, 2 * passage_words - 1)
+    spans = written(_first_passes(rows.filter(long).select("uid", "text"), views, n_parts))
     marked = spans.select("uid")
     small = marked.count() * 16 <= IDS_BYTES
     ids = F.broadcast(marked) if small else marked
     some, rest = rows.join(ids, "uid", "left_semi"), rows.join(ids, "uid", "left_anti")
-    last = written(_last_pass(some.select("uid", "text"), spans, window, n_parts)).withColumnRenamed("packed", "more")
+    last = written(_last_pass(some.select("uid", "text"), spans, views, n_parts)).withColumnRenamed("packed", "more")
     found = spans.join(last, "uid", "left").select("uid", F.concat("packed", F.coalesce("more", F.lit(b""))).alias("packed"))
     kind = docs.schema[key].dataType
-    schema = T.StructType([T.StructField(key, kind), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())])
+    schema = T.StructType([T.StructField(key, kind), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType()), T.StructField("n_passage_words", T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packed = batch.column("packed")
             for s in slices(batch.column("text")):
-                removed, count, kept = [], [], []
+                removed, count, kept, words = [], [], [], []
                 for i in range(s.n):
                     spans = _triples(packed[s.first + i].as_py())
+                    x = spans[spans[:, 2] == _WHOLE | 1 << _VIEW]
+                    a, b = removed_spans(x[:, 0], x[:, 1], passage_words)
+                    words.append(int((b - a).sum()))
                     spans = spans[spans[:, 2] == _WHOLE]
                     a, b = removed_spans(spans[:, 0], spans[:, 1], window)
                     body = s.text(i)
@@ -359,9 +429,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
                     kept.append(b"".join(body[x:y] for x, y in zip(edges[::2], edges[1::2])))
                     removed.append(len(body) - len(kept[-1]))
                     count.append(len(a))
-                yield pa.RecordBatch.from_arrays([batch.column("key").slice(s.first, s.n), pa.array(np.diff(s.offsets), pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(kept, pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(s.first, s.n), pa.array(np.diff(s.offsets), pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(kept, pa.binary()), pa.array(words, pa.int64())], names=schema.names)
 
     changed = map_arrow(some.join(found, "uid").select("key", "text", "packed"), cut, schema)
     size = F.octet_length("text").cast("long")
-    same = rest.select(F.col("key").alias(key), size.alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"))
+    same = rest.select(F.col("key").alias(key), size.alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"), F.lit(0).cast("long").alias("n_passage_words"))
     return changed.unionByName(same)

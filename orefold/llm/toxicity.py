@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orefold.llm._vec import Slice, Words, byte_table, prefix_hash, separators, slices, span_hash
+from orefold.llm._vec import Slice, Words, byte_codes, prefix61, separators, slices, span61
 from orefold.llm.shared import map_arrow
 
 #: Bounds of what is learned from: examples of each class, and terms (more only so that each example has one).
@@ -36,7 +36,7 @@ BEGINNINGS = (4, 5, 6)
 #: Weight of the vote of documents without evidence.
 PRIOR_WEIGHT = 0.05
 
-_TABLE = byte_table(3, True)
+_CODES = byte_codes(3, True)
 _SEPARATORS = separators("alnum")
 
 
@@ -46,13 +46,13 @@ def fold(key: Column) -> Column:
 
 def terms_of(s: Slice) -> tuple[np.ndarray, np.ndarray]:
     """Term hashes of a slice's words and their rows."""
-    w = Words(s, _SEPARATORS, _TABLE)
-    prefix = prefix_hash(_TABLE[s.data])
+    w = Words(s, _SEPARATORS, _CODES)
+    prefix = prefix61(_CODES[s.data])
     row = np.repeat(np.arange(s.n), np.diff(w.first))
     hashes, rows = [w.hashes], [row]
     for n in BEGINNINGS:
         longer = w.ends - w.starts > n
-        hashes.append(span_hash(prefix, w.starts[longer], w.starts[longer] + n) ^ np.uint64(n))
+        hashes.append(span61(prefix, w.starts[longer], w.starts[longer] + n) ^ np.uint64(n))
         rows.append(row[longer])
     return np.concatenate(hashes), np.concatenate(rows)
 
