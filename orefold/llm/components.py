@@ -24,19 +24,17 @@ def _small(e: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def _state(e: DataFrame) -> tuple:
-    return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _is_star(e: DataFrame) -> bool:
+    """Whether every node has one parent, and no parent has one."""
+    if not e.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        return False
+    return e.select("b").distinct().join(e.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
     """node and label, the least node of its component, for all nodes of links (a, b); both long."""
-    e = written(links.filter("a <> b").select("a", "b"))
-    before = _state(e)
-    while True:
+    e = written(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while not _is_star(e):
         e = written(_small(_large(e)))
-        after = _state(e)
-        if after == before:
-            break
-        before = after
     labels = e.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())

@@ -5,15 +5,18 @@ Nodes are joined by a prefix index: in a global order of shingles, rare ones
 first, two sets at the threshold share a shingle among their first ones.
 
 Skipping works at two levels.  Index level: lists are kept in the order of set
-sizes with each entry's position, and entries whose sizes or positions rule out
-the overlap are skipped in blocks; bitmaps rule out most other pairs before any
-set is read.  Answer level: a set first meets the sets most similar to it; the
-answers of sets it is linked to are its own for the purpose of groups, so pairs
-inside one group are never compared, only those between groups are.
+sizes with each entry's position, and an entry leaves its list, with all that
+follow, as soon as sizes or its position rule out the overlap; bitmaps rule out
+most other pairs before any set is read.  Answer level: each set first meets, of
+the candidates named before it, the one most similar by their bitmaps; the answers
+of a set it is linked to are its own for the purpose of groups, so pairs inside
+one group are never compared, only those between groups are.
 
 Shingles in more sets than HOT are put last in the order; lists of such
-shingles are not paired out but answered through a leading set, and exactly
-compared where that leaves several groups.
+shingles are not paired out but answered through a leading set.  Where that leaves
+several groups in a list, its sets are dealt by size and by their bitmaps' distance
+from the leading set: linked sets differ in both by a bounded amount, so only
+neighbouring cells are compared.
 """
 
 from __future__ import annotations
@@ -92,18 +95,18 @@ def lanes(u: np.ndarray) -> np.ndarray:
 
 
 def _nodes(docs: DataFrame, t: Threshold) -> DataFrame:
-    """key, node, n and the bitmap of every row."""
-    names = ["key", "node", "n", *(f"b{i}" for i in range(LANES))]
+    """key, uid, node, n and the bitmap of every row."""
+    names = ["key", "uid", "node", "n", *(f"b{i}" for i in range(LANES))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in slices(batch.column("text")):
                 found = sets_of(s, t.width)
                 bits = np.array([lanes(u) for u in found]).reshape(s.n, LANES)
-                yield pa.RecordBatch.from_arrays([batch.column("key").slice(s.first, s.n), pa.array([digest(u) for u in found], pa.int64()), pa.array([len(u) for u in found], pa.int64()), *(pa.array(bits[:, i]) for i in range(LANES))], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(s.first, s.n), batch.column("uid").slice(s.first, s.n), pa.array([digest(u) for u in found], pa.int64()), pa.array([len(u) for u in found], pa.int64()), *(pa.array(bits[:, i]) for i in range(LANES))], names=names)
 
     kind = docs.schema["key"].dataType.simpleString()
-    return map_arrow(docs, run, f"key {kind}, node long, n long, " + ", ".join(f"b{i} long" for i in range(LANES)))
+    return map_arrow(docs, run, f"key {kind}, uid long, node long, n long, " + ", ".join(f"b{i} long" for i in range(LANES)))
 
 
 def _fresh(found: list[np.ndarray], seen: set[int]) -> Iterator[tuple[int, np.ndarray]]:
@@ -269,11 +272,12 @@ def _list_pairs(t: Threshold, tokens: np.ndarray, node: np.ndarray, size: np.nda
     end = np.repeat(begin + length, length)
     alive = np.flatnonzero(np.repeat(length, length) > 1)
     out, step = [], 1
-    # entry i meets entry i + step while sizes allow it: beyond that the rest of the list is skipped
+    # entry i meets entry i + step while sizes and its own position allow it: both only get worse, so the rest of the list is skipped
     while len(alive):
         alive = alive[alive + step < end[alive]]
         other = alive + step
-        near = 100 * size[alive] >= t.percent * size[other]
+        n, m = size[alive], size[other]
+        near = (100 * n >= t.percent * m) & (n - place[alive] >= t.overlap(n, m))
         alive, other = alive[near], other[near]
         n, m = size[alive], size[other]
         left = np.minimum(n - place[alive], m - place[other])
@@ -346,59 +350,93 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> Data
     return rows.join(own, node, "left").withColumn(label, F.coalesce("__label", F.col(node))).drop("__label")
 
 
-def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: Threshold = Threshold()) -> DataFrame:
-    """key, n_shingles and component_id, the least key that links reach, for every row of docs.
+def _width(t: Threshold, grade: Column) -> Column:
+    """At least as wide as distances differ of linked sets of which the larger is of that size class.
 
-    Null or empty texts have no shingles and are linked with nothing.  Rows with
-    equal texts are linked; so are rows with equal keys only if their sets are.
-    Rows with a null key link nothing and have a null component_id unless a row of
-    an equal set has a key.
+    Distances of bitmaps obey the triangle inequality, and linked sets of n and m
+    members differ in (100 - percent) / (100 + percent) * (n + m) members at most.
     """
-    t, spark = threshold, docs.sparkSession
-    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    return F.lit(2 * (100 - t.percent) / (100 + t.percent)) * F.pow(F.lit(100 / t.percent), grade + 1) + 1
+
+
+def _between(still: DataFrame, leads: DataFrame, t: Threshold) -> DataFrame:
+    """Pairs of nodes of one open list and of different groups that sizes and bitmaps allow."""
+    far = still.alias("l").join(leads.alias("r"), F.col("l.token") == F.col("r.token")).select("l.*", _differing("l", "r").alias("far"))
+    grade = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / t.percent)) + F.lit(1e-9)).cast("int")
+    graded = written(far.withColumn("grade", grade))
+    own = graded.withColumn("cell_grade", F.col("grade")).withColumn("cell", F.floor(F.col("far") / _width(t, F.col("grade"))).cast("int"))
+    up = graded.withColumn("cell_grade", F.explode(F.array(F.col("grade"), F.col("grade") + 1)))
+    near = F.floor(F.col("far") / _width(t, F.col("cell_grade"))).cast("int")
+    up = up.withColumn("cell", F.explode(F.array(near - 1, near, near + 1)))
+    l, r = own.alias("l"), up.alias("r")
+    once = (F.col("l.grade") > F.col("r.grade")) | ((F.col("l.grade") == F.col("r.grade")) & (F.col("l.node") < F.col("r.node")))
+    # a pair that shares several open lists is met in the first of them only
+    first_met = ~F.arrays_overlap("l.before", "r.before")
+    met = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.cell_grade") == F.col("r.cell_grade")) & (F.col("l.cell") == F.col("r.cell")) & once & (F.col("l.label") != F.col("r.label")) & _may_link("l", "r", t) & first_met)
+    return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
+
+
+def _grouped(docs: DataFrame, key: str, text: str, t: Threshold) -> DataFrame:
+    """key, uid, n and component_id of every row."""
+    spark = docs.sparkSession
+    source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("uid"))
     n_parts = partitions(spark)
     nodes = written(_nodes(source, t))
     full = nodes.filter("n > 0")
     # one row for each node; equal sets agree in all but the key
     least = written(full.groupBy("node").agg(F.min("key").alias("key"), *(F.first(c).alias(c) for c in ("n", *(f"b{i}" for i in range(LANES))))))
+    shape = least.drop("key")
     entries = written(_entries(source, t, _hot(source, t, n_parts), n_parts))
-    hot = entries.filter("part = -1").select("token", "node", "n", "cold").distinct()
+    # hot entries carry their sets' bitmaps, so pairs with a leading set need no join by its name
+    hot = written(entries.filter("part = -1").select("token", "node", "cold").distinct().join(shape, "node"))
     # hot lists: the sets with the fewest rare shingles and with the least name lead
     leads = hot.groupBy("token").agg(F.min(F.struct("cold", "node")).alias("x"), F.min("node").alias("y"))
     # written, so that both sides of the joins on hot shingles can be split
-    leads = written(leads.select("token", F.explode(F.array_distinct(F.array("x.node", "y"))).alias("lead")))
-    led = hot.join(leads, "token").filter("node <> lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b"))
-    pairs = _cold_pairs(entries, t, n_parts).unionByName(led).distinct()
-    shape = least.drop("key")
-    left, right = shape.alias("l"), shape.alias("r")
-    pairs = written(pairs.join(left, F.col("a") == F.col("l.node")).join(right, F.col("b") == F.col("r.node")).filter(_may_link("l", "r", t)).select("a", "b"))
-    # first each set with its least partner, then whatever lies between the groups found
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    leads = written(leads.select("token", F.explode(F.array_distinct(F.array("x.node", "y"))).alias("node"), (F.col("node") == F.col("y")).alias("main")).join(shape, "node"))
+    gap = _differing("l", "r").alias("gap")
+    ends = (F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"), gap)
+    led = hot.alias("l").join(leads.alias("r"), F.col("l.token") == F.col("r.token")).filter(F.col("l.node") != F.col("r.node")).filter(_may_link("l", "r", t)).select(*ends)
+    cold = _cold_pairs(entries, t, n_parts).distinct()
+    cold = cold.join(shape.alias("l"), F.col("a") == F.col("l.node")).join(shape.alias("r"), F.col("b") == F.col("r.node")).filter(_may_link("l", "r", t)).select(*ends)
+    pairs = written(cold.unionByName(led).distinct())
+    # first each set with the most similar partner of those named before it, then whatever lies between the groups found
+    first = written(pairs.groupBy("b").agg(F.min(F.struct("gap", "a")).alias("best")).select("best.a", "b"))
     links = written(_verified(source, full, first, t))
     labels = written(components(links))
-    rest = _labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb").filter("la <> lb").select("a", "b")
+    rest = _labelled(_labelled(pairs.select("a", "b"), labels, "a", "la"), labels, "b", "lb").filter("la <> lb").select("a", "b")
     split = _labelled(hot, labels, "node", "label")
     open_lists = written(split.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token"))
     still = written(split.join(open_lists, "token"))
     held = still.groupBy("node").agg(F.collect_set("token").alias("tokens"))
     before = F.filter("tokens", lambda x: x < F.col("token"))
-    wide = written(still.join(held, "node").withColumn("before", before).drop("tokens").join(shape.drop("n"), "node"))
-    l, r = wide.alias("l"), wide.alias("r")
-    # a pair that shares several open lists is met in the first of them only
-    first_met = ~F.arrays_overlap("l.before", "r.before")
-    between = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.node") < F.col("r.node")) & (F.col("l.label") != F.col("r.label")) & _may_link("l", "r", t) & first_met).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-    rest = written(rest.unionByName(between).distinct().join(first, ["a", "b"], "left_anti"))
+    wide = still.join(held, "node").withColumn("before", before).drop("tokens")
+    rest = written(rest.unionByName(_between(wide, leads.filter("main"), t)).distinct().join(first, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = written(links.unionByName(_verified(source, full, rest, t)))
         labels = written(components(links))
     named = _labelled(least.select("node", "key"), labels, "node", "label")
     best = named.groupBy("label").agg(F.min("key").alias("component_id"))
     of_node = written(named.join(best, "label").select("node", "component_id"))
-    out = nodes.select("key", "node", "n").join(of_node, "node", "left")
-    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
+    out = nodes.select("key", "uid", "node", "n").join(of_node, "node", "left")
+    return out.select("key", "uid", "n", F.when(F.col("n") == 0, F.col("key")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: Threshold = Threshold()) -> DataFrame:
+    """key, n_shingles and component_id, the least key that links reach, for every row of docs.
+
+    Null or empty texts have no shingles and are linked with nothing.  Rows with
+    equal texts are linked; so are rows with equal keys only if their sets are.
+    Rows with a null key link nothing and have a null component_id unless a row of
+    an equal set has a key.
+    """
+    return _grouped(docs, key, text, threshold).select(F.col("key").alias(key), F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: Threshold = Threshold()) -> DataFrame:
-    """The rows of docs, with their columns, that have the least key of their group; rows of null keys stay."""
-    gone = groups(docs, key, text, threshold).filter(F.col("component_id") != F.col(key)).select(F.col(key).alias("__key")).distinct()
-    return docs.join(gone, F.col(key) == F.col("__key"), "left_anti")
+    """The rows of docs, with their columns, that have the least key of their group; rows of null keys stay.
+
+    Rows are told apart by key and text: of rows with one key, those go whose
+    own set is linked to a smaller key.  Rows that agree in both stay or go together.
+    """
+    gone = _grouped(docs, key, text, threshold).filter(F.col("component_id") != F.col("key")).select(F.col("uid").alias("__uid")).distinct()
+    return docs.join(gone, F.xxhash64(F.col(key), F.col(text)) == F.col("__uid"), "left_anti")

@@ -80,3 +80,30 @@ def test_empty_null_keys_and_keep_one(spark):
     kept = ngram_join.keep_one(spark.createDataFrame(rows, schema))
     assert kept.columns == ["doc_id", "text", "n", "node"]
     assert sorted(r.n for r in kept.collect()) == [1, 3, 4, 5]
+    # rows of one key are told apart by their texts; whole repeats stay or go together
+    twice = [(1, "a b c d e f", 1, ""), (2, "a b c d e F", 2, ""), (2, "other words of the second row here", 3, ""), (2, "a b c d e F", 4, ""), (1, "a b c d e f", 5, "")]
+    assert sorted(r.n for r in ngram_join.keep_one(spark.createDataFrame(twice, schema)).collect()) == [1, 3, 5]
+
+
+def test_structured_words_are_no_link(spark):
+    """Words that collide for any base in polynomials modulo 2**64."""
+    a = "a"
+    for _ in range(11):
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    check(spark, [(1, f"p q r s {a}"), (2, f"p q r s {b}"), (3, f"P q r s {a}")])
+
+
+def test_long_texts(spark):
+    long = [f"w{i % 9973}x{i % 31}" for i in range(200_000)]
+    check(spark, [(1, " ".join(long)), (2, " ".join(long[:190_000])), (3, " ".join(long[:100_000])), (4, "x " * 100_000)])
+
+
+def test_open_lists_of_many_groups(spark):
+    """Sets that share one hot passage and are near one another without links, beside groups that are linked."""
+    random.seed(6)
+    word = lambda: random.choice("klmnopq") + str(random.randrange(900))
+    passage, docs = [word() for _ in range(40)], []
+    for i in range(200):
+        docs.append((i, " ".join(passage + [word() for _ in range(random.choice([3, 6, 9, 12, 20, 40, 90]))])))
+    check(spark, docs)
