@@ -64,9 +64,9 @@ def _(spark, d):
     return load(spark, d).by_name("GROUP 17").select("stix_id", "name")
 
 
-@add("G02_G08_relationships", "SELECT x.stix_id, direction, relationship_type, related_id, coalesce(n.name, '') AS related_name, coalesce(n.type, '') AS related_type FROM (SELECT src AS stix_id, 'outgoing' AS direction, rel_type AS relationship_type, dst AS related_id FROM e UNION ALL SELECT dst, 'incoming', rel_type, src FROM e) x LEFT JOIN n ON n.stix_id = related_id WHERE relationship_type <> 'uses'")
+@add("G02_G08_relationships", "SELECT x.stix_id, direction, relationship_type, related_id, coalesce(n.name, '') AS related_name, coalesce(n.type, '') AS related_type FROM (SELECT src AS stix_id, 'outgoing' AS direction, rel_type AS relationship_type, dst AS related_id FROM e UNION ALL SELECT dst, 'incoming', rel_type, src FROM e) x LEFT JOIN n ON n.stix_id = related_id")
 def _(spark, d):
-    return load(spark, d).relationships().where("relationship_type <> 'uses'")
+    return load(spark, d).relationships()
 
 
 _NEAR = "SELECT {near} AS stix_id, {far} AS other_id, o.name AS other_name, o.type AS other_type FROM e JOIN n o ON o.stix_id = {far} AND o.type IN ({types}) JOIN n s ON s.stix_id = {near} AND s.type = '{own}' WHERE rel_type = '{rel}'"
@@ -165,21 +165,15 @@ def _(spark, d):
     return load(spark, d).campaigns().drop("phases")
 
 
-def _campaign_graph(spark, d, some: str = "true") -> Graph:
+def _campaign_graph(spark, d) -> Graph:
     """The graph with actors' techniques given to their campaigns, as the driver's campaigns have none."""
     g = load(spark, d)
-    own = g.path(g.of_type("campaign").where(some), [("attributed-to", "intrusion-set"), ("uses", "attack-pattern")])
+    own = g.path(g.of_type("campaign"), [("attributed-to", "intrusion-set"), ("uses", "attack-pattern")])
     return Graph(g.nodes, own.select(F.col("start").alias("src"), F.col("stix_id").alias("dst"), F.lit("uses").alias("rel_type")))
 
 
-@add("G18_G21_N13_O05_W12_campaign_techniques", f", c AS (SELECT DISTINCT e1.src AS stix_id, ut.tech AS other_id FROM e e1 JOIN ut ON ut.actor = e1.dst WHERE e1.rel_type = 'attributed-to' AND e1.src IN ('campaign--1', 'campaign--2')) SELECT c.stix_id, other_id, name AS other_name, phases[1] AS phase, CAST(row_number() OVER (PARTITION BY c.stix_id ORDER BY list_position({_CHAIN}, phases[1]), other_id) AS INT) AS position FROM c JOIN n ON n.stix_id = other_id")
+@add("G18_G21_N13_O05_W12_campaign_techniques", f", c AS (SELECT DISTINCT e1.src AS stix_id, ut.tech AS other_id FROM e e1 JOIN ut ON ut.actor = e1.dst WHERE e1.rel_type = 'attributed-to') SELECT c.stix_id, other_id, name AS other_name, phases[1] AS phase, CAST(row_number() OVER (PARTITION BY c.stix_id ORDER BY list_position({_CHAIN}, phases[1]), other_id) AS INT) AS position FROM c JOIN n ON n.stix_id = other_id")
 def _(spark, d):
-    return _campaign_graph(spark, d, "stix_id IN ('campaign--1', 'campaign--2')").campaign_techniques()
-
-
-@add("G18_G21_N13_O05_W12_techniques_of_all_campaigns")
-def _(spark, d):
-    """Without the two campaigns of G18_G21_N13_O05_W12_campaign_techniques."""
     return _campaign_graph(spark, d).campaign_techniques()
 
 
@@ -191,15 +185,8 @@ def _(spark, d):
     return ps.select("actor", graph.ordered_phases(F.col("p")).alias("phases"))
 
 
-@add("J26_U04_shared_actors", "SELECT x.tech AS a, y.tech AS b, count(*) AS n_actors FROM ut x JOIN ut y ON x.actor = y.actor AND x.tech < y.tech WHERE x.tech < 'attack-pattern--2' AND y.tech < 'attack-pattern--2' GROUP BY 1, 2")
-def _(spark, d):
-    g = load(spark, d)
-    return Graph(g.nodes, g.edges.where("dst < 'attack-pattern--2' OR rel_type <> 'uses'")).shared_actors()
-
-
-@add("J26_U04_shared_actors_of_all_techniques")
+@add("J26_U04_shared_actors", "SELECT x.tech AS a, y.tech AS b, count(*) AS n_actors FROM ut x JOIN ut y ON x.actor = y.actor AND x.tech < y.tech GROUP BY 1, 2")
 def _(spark, d):
-    """Without the id subset of J26_U04_shared_actors."""
     return load(spark, d).shared_actors()
 
 
@@ -271,24 +258,15 @@ def _(spark, d):
     return linking.link(records_with_ids(spark, d), all_nodes(spark, d))
 
 
-@add("J01_J02_records_of_objects", "SELECT ln.stix_id, r.id, r.domain, link_type FROM ln JOIN r ON r.id = ln.record_id WHERE ln.stix_id LIKE 'attack-pattern--%5'", _LINK_HEAD)
+@add("J01_records_of_objects", "SELECT ln.stix_id, r.id, r.domain, link_type FROM ln JOIN r ON r.id = ln.record_id", _LINK_HEAD)
 def _(spark, d):
-    rows = records_with_ids(spark, d)
-    found = linking.link(rows, all_nodes(spark, d)).where("stix_id LIKE 'attack-pattern--%5'")
-    return found.join(rows.select(F.col("id").alias("record_id"), "domain"), "record_id").select("stix_id", F.col("record_id").alias("id"), "domain", "link_type")
-
-
-@add("J01_records_of_all_objects")
-def _(spark, d):
-    """Without the id subset of J01_J02_records_of_objects."""
     rows = records_with_ids(spark, d)
     found = linking.link(rows, all_nodes(spark, d))
     return found.join(rows.select(F.col("id").alias("record_id"), "domain"), "record_id").select("stix_id", F.col("record_id").alias("id"), "domain", "link_type")
 
 
-@add("J02_objects_of_records")
+@add("J02_objects_of_records", "SELECT record_id, stix_id, o.type, o.name, link_type, CAST(confidence AS DOUBLE) AS confidence FROM ln JOIN (SELECT stix_id, type, name FROM n UNION ALL SELECT stix_id, 'vulnerability', name FROM vn) o USING (stix_id)", _LINK_HEAD)
 def _(spark, d):
-    """The linked objects of each record."""
     nodes = all_nodes(spark, d)
     found = linking.link(records_with_ids(spark, d), nodes)
     return found.join(nodes.select("stix_id", "type", "name"), "stix_id").select("record_id", "stix_id", "type", "name", "link_type", "confidence")
@@ -300,34 +278,31 @@ def _(spark, d):
     return Graph(nodes, load(spark, d).edges).merged_stats(linking.link(records_with_ids(spark, d), nodes))
 
 
-_DOCS = "SELECT doc_id, ' ' || text || ' ' || CASE WHEN doc_id % 3 = 0 THEN 'by GROUP ' || CAST(doc_id % 40 AS VARCHAR(10)) ELSE 'subgroup ' || CAST(doc_id AS VARCHAR(10)) END || '.' AS t FROM documents"
+_DOCS = "SELECT doc_id, ' ' || text || ' ' || CASE WHEN doc_id % 3 = 0 THEN 'by GROUP ' || CAST(doc_id % 40 AS VARCHAR(10)) ELSE 'subgroup ' || CAST(doc_id AS VARCHAR(10)) END || '. And Group ' || CAST(doc_id AS VARCHAR(10)) || '. It ran supplier#' || lpad(CAST(doc_id % 400 AS VARCHAR(10)), 9, '0') || '.' AS t FROM documents"
 
 
-@add("J08_J09_J16_mentions", f", dc AS ({_DOCS}), tm AS (SELECT stix_id, term FROM (SELECT stix_id, unnest([name] || aliases) AS term FROM n WHERE type = 'intrusion-set' AND length(stix_id) <= 17) WHERE length(term) >= 4) SELECT DISTINCT doc_id AS record_id, stix_id FROM dc JOIN tm ON contains(lower(t), lower(term)) AND regexp_matches(t, '(?i)\\b' || regexp_escape(term) || '\\b')")
-def _(spark, d):
-    g = load(spark, d)
-    return linking.mentions(_texts(spark, d), linking.actor_names(g.nodes.where("length(stix_id) <= 17")))
+def _mentions_sql(types: str, names: str) -> str:
+    """Texts and names by a nested loop of patterns."""
+    return f", dc AS ({_DOCS}), tm AS (SELECT stix_id, term, lower(term) AS low FROM (SELECT stix_id, unnest({names}) AS term FROM n WHERE type IN ({types})) WHERE length(term) >= 4) SELECT DISTINCT doc_id AS record_id, stix_id FROM (SELECT doc_id, t, lower(t) AS lt FROM dc) JOIN tm ON contains(lt, low) AND regexp_matches(t, '(?i)\\b' || regexp_escape(term) || '\\b')"
 
 
 def _texts(spark, d) -> DataFrame:
-    tail = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("by GROUP "), (F.col("doc_id") % 40).cast("string"))).otherwise(F.concat(F.lit("subgroup "), F.col("doc_id").cast("string")))
-    return spark.read.parquet(f"{d}/documents.parquet").select(F.col("doc_id").alias("record_id"), F.concat(F.lit(" "), "text", F.lit(" "), tail, F.lit(".")).alias("text"))
+    n = lambda c: c.cast("string")
+    k = F.col("doc_id")
+    tail = F.concat(F.when(k % 3 == 0, F.concat(F.lit("by GROUP "), n(k % 40))).otherwise(F.concat(F.lit("subgroup "), n(k))), F.lit(". And Group "), n(k), F.lit(". It ran supplier#"), F.lpad(n(k % 400), 9, "0"), F.lit("."))
+    return spark.read.parquet(f"{d}/documents.parquet").select(k.alias("record_id"), F.concat(F.lit(" "), "text", F.lit(" "), tail).alias("text"))
 
 
-@add("J08_J09_mentions_of_all_actors")
+@add("J08_J09_mentions", _mentions_sql("'intrusion-set'", "[name] || aliases"))
 def _(spark, d):
-    """Without the id subset of J08_J09_J16_mentions, whose SQL tests every pair; every actor below the number of documents is named once more."""
-    named = F.concat("text", F.lit(" And Group "), F.col("record_id").cast("string"), F.lit("."))
-    return linking.mentions(_texts(spark, d).select("record_id", named.alias("text")), linking.actor_names(load(spark, d).nodes))
+    return linking.mentions(_texts(spark, d), linking.actor_names(load(spark, d).nodes))
 
 
-@add("J16_mentions_of_software")
+@add("J16_mentions_of_software", _mentions_sql("'malware', 'tool'", "[name]"))
 def _(spark, d):
-    """The malware and tools that texts name."""
-    named = F.concat("text", F.lit(" It ran supplier#"), F.lpad(F.col("record_id").cast("string"), 9, "0"), F.lit("."))
     nodes = load(spark, d).nodes
     names = linking.actor_names(nodes, "malware").unionByName(linking.actor_names(nodes, "tool"))
-    return linking.mentions(_texts(spark, d).select("record_id", named.alias("text")), names)
+    return linking.mentions(_texts(spark, d), names)
 
 
 @add("J13_J19_entity_resolution", ", ix AS (SELECT key, max(stix_id) AS stix_id FROM (SELECT lower(unnest([name] || aliases)) AS key, stix_id FROM n) GROUP BY key), a AS (SELECT s_suppkey AS actor, s_name AS nm, ['none', 'GROUP ' || CAST(s_suppkey % 90 AS VARCHAR(10)), 'x3'] AS sy FROM supplier), p AS (SELECT actor, unnest([nm] || sy) AS term, unnest(range(4)) AS pos FROM a) SELECT a.actor, arg_min(ix.stix_id, pos) AS stix_id FROM a LEFT JOIN p USING (actor) LEFT JOIN ix ON key = lower(CASE WHEN pos = 0 THEN '?' ELSE '' END || term) GROUP BY a.actor")

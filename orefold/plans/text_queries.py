@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Window
 
 from orefold.functions import classify, ids
 from orefold.functions import text as tx
@@ -146,31 +146,19 @@ def _(spark, d):
     return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.md5(tx.cut_at_sentence(t).cast("binary")).alias("cut"), F.md5(tx.first_sentence(t).cast("binary")).alias("first"))
 
 
-_RULE = "'title: x' || chr(10) || 'status: ' || CASE WHEN p_size % 5 = 0 THEN 'stable' WHEN p_size % 5 = 1 THEN 'test' WHEN p_size % 5 = 2 THEN 'odd' ELSE 'experimental' END || chr(10) || 'level: ' || CASE WHEN p_size % 3 = 0 THEN 'high' WHEN p_size % 3 = 1 THEN 'low' ELSE 'critical' END || chr(10) || 'tags:' || chr(10) || '  - attack.t' || CAST(1000 + p_partkey AS VARCHAR(10)) || chr(10) || '  - attack.execution' || chr(10) || 'detection: y'"
+_RULE = "'title: x' || chr(10) || 'status: ' || CASE WHEN p_size % 5 = 0 THEN 'stable' WHEN p_size % 5 = 1 THEN 'test' WHEN p_size % 5 = 2 THEN 'odd' ELSE 'experimental' END || chr(10) || 'level: ' || CASE WHEN p_size % 3 = 0 THEN 'high' WHEN p_size % 3 = 1 THEN 'low' ELSE 'critical' END || chr(10) || 'tags:' || chr(10) || '  - attack.t' || CAST(1000 + p_partkey % 9000 AS VARCHAR(10)) || chr(10) || '  - attack.execution' || chr(10) || 'detection: y'"
 
 
-@add("F24_F25_F26_rules", f"SELECT p_partkey, 'T' || regexp_extract(r, 'attack.t(\\d{{4}})', 1) AS technique, regexp_extract(r, 'status: (\\w+)', 1) AS status, regexp_extract(r, 'level: (\\w+)', 1) AS level, CAST(CASE regexp_extract(r, 'status: (\\w+)', 1) WHEN 'stable' THEN 0 WHEN 'test' THEN 1 WHEN 'experimental' THEN 2 ELSE 5 END * 10 + CASE regexp_extract(r, 'level: (\\w+)', 1) WHEN 'critical' THEN 0 WHEN 'high' THEN 1 ELSE 3 END AS INT) AS score FROM (SELECT p_partkey, {_RULE} AS r FROM part WHERE p_partkey < 8000)")
+@add("F24_F25_F26_rules", f"SELECT p_partkey, 'T' || regexp_extract(r, 'attack.t(\\d{{4}})', 1) AS technique, regexp_extract(r, 'status: (\\w+)', 1) AS status, regexp_extract(r, 'level: (\\w+)', 1) AS level, CAST(CASE regexp_extract(r, 'status: (\\w+)', 1) WHEN 'stable' THEN 0 WHEN 'test' THEN 1 WHEN 'experimental' THEN 2 ELSE 5 END * 10 + CASE regexp_extract(r, 'level: (\\w+)', 1) WHEN 'critical' THEN 0 WHEN 'high' THEN 1 ELSE 3 END AS INT) AS score FROM (SELECT p_partkey, {_RULE} AS r FROM part)")
 def _(spark, d):
-    part = spark.read.parquet(f"{d}/part.parquet").where("p_partkey < 8000")
-    return _rules(part, 1000 + F.col("p_partkey"))
-
-
-def _rules(part: DataFrame, number: Column) -> DataFrame:
-    """What is read from a rule made of each part, with number as its technique."""
-    s = F.col("p_size")
+    s, number = F.col("p_size"), 1000 + F.col("p_partkey") % 9000
     rule = F.concat(F.lit("title: x\nstatus: "), F.when(s % 5 == 0, "stable").when(s % 5 == 1, "test").when(s % 5 == 2, "odd").otherwise("experimental"), F.lit("\nlevel: "), F.when(s % 3 == 0, "high").when(s % 3 == 1, "low").otherwise("critical"), F.lit("\ntags:\n  - attack.t"), number.cast("string"), F.lit("\n  - attack.execution\ndetection: y"))
-    df = part.select("p_partkey", rule.alias("r"))
+    df = spark.read.parquet(f"{d}/part.parquet").select("p_partkey", rule.alias("r"))
     r = F.col("r")
     status, level = tx.rule_field(r, "status", "experimental"), tx.rule_field(r, "level", "medium")
     return df.select("p_partkey", tx.rule_techniques(r)[0].alias("technique"), status.alias("status"), level.alias("level"), tx.rule_score(status, level).cast("int").alias("score"))
 
 
-@add("F24_F25_F26_rules_of_all_parts")
-def _(spark, d):
-    """Without the id subset of F24_F25_F26_rules; numbers keep four digits by a remainder."""
-    return _rules(spark.read.parquet(f"{d}/part.parquet"), 1000 + F.col("p_partkey") % 9000)
-
-
 @add("F39_uuid5", "SELECT o_orderkey, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', CAST(CAST('0x' || substr(h, 17, 1) AS INT) % 4 + 1 AS INT), 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS uuid FROM (SELECT o_orderkey, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('CVE-' || CAST(o_orderkey AS VARCHAR(20)))) AS h FROM orders)")
 def _(spark, d):
     return spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", ids.uuid5(F.concat(F.lit("CVE-"), F.col("o_orderkey").cast("string"))).alias("uuid"))
