@@ -246,9 +246,9 @@ def separators(pattern: str) -> np.ndarray:
 
 
 class Words:
-    """Word spans of a slice; word hashes fold A-Z; row i has the words first[i] to first[i + 1]."""
+    """Word spans of a slice and their hashes; row i has the words first[i] to first[i + 1]; base is prefix61 of the codes, where known."""
 
-    def __init__(self, s: Slice, separator: np.ndarray, codes: np.ndarray) -> None:
+    def __init__(self, s: Slice, separator: np.ndarray, codes: np.ndarray, base: np.ndarray | None = None) -> None:
         data, n = s.data, len(s.data)
         inside = ~separator[data]
         edge = np.zeros(n + 1, bool)
@@ -264,7 +264,7 @@ class Words:
             after[:-1] = ~inside[1:]
         self.ends = np.flatnonzero(inside & (after | edge[1:])) + 1
         self.first = np.searchsorted(self.starts, s.offsets)
-        self.hashes = span61(prefix61(codes[data]), self.starts, self.ends)
+        self.hashes = span61(prefix61(codes[data]) if base is None else base, self.starts, self.ends)
 
     def sequence(self) -> np.ndarray:
         """Of which span61 and window61 read the hashes of spans of words."""

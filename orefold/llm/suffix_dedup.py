@@ -6,7 +6,7 @@ at again; suffixes equal to full depth are exactly the repeated windows.
 
 The digits are chosen so that neighbouring suffixes go together.  The first
 digit of a suffix is the least hash among the ANCHOR-byte strings of its window: equal windows
-have equal digits, and runs of suffixes with one digit, about a hundred bytes
+have equal digits, and runs of suffixes with one digit, some dozens of bytes
 long, travel as one segment.  The second digit is the hash of all the text that a segment's
 windows span: segments equal there are repeated throughout.  Only suffixes of segments
 that share the first digit but not the second are sorted one by one, by their
@@ -39,10 +39,12 @@ from orefold.llm.shared import map_arrow, partitions, written
 
 WINDOW = 400
 #: Bytes of a first digit's strings; windows hold WINDOW - ANCHOR + 1 of them.
-ANCHOR = 200
+ANCHOR = 300
 #: Segments of one first digit that a task sends to its bucket; more are sorted one by one at once.
 MOST_IN_TASK = 64
 IDS_BYTES = 64 << 20
+#: Bytes of text that the first pass works on at once, so that most stays in a core's cache.
+SLICE_BYTES = 1 << 16
 #: Segments, or single suffixes, that a task gathers before it settles what meets among them.
 HELD = 300_000
 
@@ -72,11 +74,11 @@ class View:
     window: int
     anchor: int
 
-    def read(self, s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What the hashes of spans are read of, each row's first item, and values for a second hash."""
+    def read(self, s: Slice, base: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What the hashes of spans are read of, each row's first item, and values for a second hash; base is that of the bytes."""
         if not self.number:
-            return prefix61(_CODES[s.data]), s.offsets, _TABLE[s.data]
-        words = Words(s, _SEPARATORS, _CODES)
+            return base, s.offsets, _TABLE[s.data]
+        words = Words(s, _SEPARATORS, _CODES, base)
         return words.sequence(), words.first, words.hashes
 
     @property
@@ -85,6 +87,9 @@ class View:
         return np.uint64(self.number * 0xA24BAED4963EE407)
 
 
+#: The head of packed windows that a task has settled; a number of rows never looks like it.
+_SETTLED = b"settled."
+
 #: The view's place in a span's state and in a segment's mark.
 _VIEW = 4
 
@@ -102,8 +107,8 @@ class Segments:
     view: np.ndarray
 
 
-def segments(s: Slice, view: View) -> Segments:
-    prefix, offsets, _ = view.read(s)
+def segments(s: Slice, view: View, base: np.ndarray) -> Segments:
+    prefix, offsets, _ = view.read(s, base)
     window, anchor = view.window, view.anchor
     begin, end = offsets[:-1], offsets[1:]
     long = end - begin >= window
@@ -113,17 +118,12 @@ def segments(s: Slice, view: View) -> Segments:
     strings = window61(prefix, anchor)
     width = window - anchor + 1
     least = _sliding(strings, width, np.minimum)
-    inside = np.zeros(len(least) + 1, np.int32)
-    np.add.at(inside, begin[long], 1)
-    np.add.at(inside, end[long] - window + 1, -1)
-    at = np.flatnonzero(np.cumsum(inside[:-1]) > 0)
-    opens = np.zeros(len(least), bool)
-    opens[begin[long]] = True
-    fresh = opens[at]
-    fresh[1:] |= (least[at[1:]] != least[at[:-1]]) | (at[1:] != at[:-1] + 1)
-    fresh[0] = True
-    k = np.flatnonzero(fresh)
-    start, last = at[k], at[np.append(k[1:], len(at)) - 1]
+    cuts = np.union1d(np.flatnonzero(least[1:] != least[:-1]) + 1, begin[long])
+    row = np.searchsorted(offsets, cuts, "right") - 1
+    until = end[row] - window  # a row's last window
+    inside = cuts <= until
+    start, row = cuts[inside], row[inside]
+    last = np.minimum(np.append(cuts[1:], len(least))[inside] - 1, until[inside])
     # anchors: strings that are the least of some window; a segment repeats itself where two equal ones follow one another
     padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
     anchors = np.flatnonzero(strings == _sliding(padded, width, np.maximum)[: len(strings)])
@@ -133,7 +133,6 @@ def segments(s: Slice, view: View) -> Segments:
         again = (twice[i] >= start) & (twice[i] <= last + width - 1)
     else:
         again = np.zeros(len(start), bool)
-    row = np.searchsorted(offsets, start, "right") - 1
     return Segments(row, start - offsets[row], last - start + 1, least[start] ^ view.salt, span61(prefix, start, last + window) ^ view.salt, again, np.full(len(start), view.number, np.uint8))
 
 
@@ -142,37 +141,36 @@ def _part(keys: np.ndarray, n: int) -> np.ndarray:
     return ((mix64(keys) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
-def _deal(keys: np.ndarray, uid: np.ndarray, columns: list[np.ndarray], n: int) -> tuple[np.ndarray, list[bytes]]:
-    """Rows by part of their key: part numbers and, for each, numbers of rows and of uids, the uids, and the columns' bytes."""
+def _deal(keys: np.ndarray, columns: list[np.ndarray], n: int) -> tuple[np.ndarray, list[bytes]]:
+    """Rows of columns by part of their key: part numbers and, for each, the columns' bytes behind their number.
+
+    32-bit columns go byte by byte, as their high bytes are much alike and then take little room.
+    """
     parts = _part(keys, n)
     order = np.argsort(parts, kind="stable")
     edges = np.searchsorted(parts[order], np.arange(n + 1).astype(np.uint64))
-    some, packed = np.flatnonzero(np.diff(edges)), []
-    uid, columns = uid[order], [c[order] for c in columns]
-    for i in some:
-        a, b = edges[i], edges[i + 1]
-        names, at = np.unique(uid[a:b], return_inverse=True)
-        packed.append(b"".join([np.array([b - a, len(names)], np.int64).tobytes(), names.tobytes(), at.astype(np.uint32).tobytes(), *(c[a:b].tobytes() for c in columns)]))
-    return some, packed
+    some = np.flatnonzero(np.diff(edges))
+    columns = [c[order] for c in columns]
+    flat = lambda c: c.view(np.uint8).reshape(-1, 4).T.tobytes() if c.itemsize == 4 else c.tobytes()
+    return some, [b"".join([np.int64(edges[i + 1] - edges[i]).tobytes(), *(flat(c[edges[i] : edges[i + 1]]) for c in columns)]) for i in some]
 
 
 def _gather(blobs: list[bytes], kinds: list) -> list[np.ndarray]:
-    """uid and the columns of all blobs."""
     parts = []
     for blob in blobs:
-        n, m = np.frombuffer(blob, np.int64, 2).tolist()
-        o = 16 + 8 * m + 4 * n
-        own = [np.frombuffer(blob, np.int64, m, 16)[np.frombuffer(blob, np.uint32, n, 16 + 8 * m)]]
+        n, o, own = int(np.frombuffer(blob, np.int64, 1)[0]), 8, []
         for kind in kinds:
-            own.append(np.frombuffer(blob, kind, n, o))
-            o += n * np.dtype(kind).itemsize
+            size = np.dtype(kind).itemsize
+            column = np.frombuffer(blob, np.uint8, n * size, o)
+            own.append(np.ascontiguousarray(column.reshape(4, n).T).view(kind).reshape(n) if size == 4 else column.view(kind))
+            o += n * size
         parts.append(own)
-    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, k) for k in (np.int64, *kinds)]
+    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, k) for k in kinds]
 
 
 _ROWS = "part int, told boolean, packed binary"
-_KIND = [np.uint64, np.uint64, np.uint32, np.uint32, np.uint8]
-_SPAN = [np.uint32, np.uint32, np.uint8]
+_KIND = [np.int64, np.uint64, np.uint64, np.uint32, np.uint32, np.uint8]
+_SPAN = [np.int64, np.uint32, np.uint32, np.uint8]
 
 
 def _batch(told: bool, dealt: tuple[np.ndarray, list[bytes]]) -> pa.RecordBatch:
@@ -182,7 +180,7 @@ def _batch(told: bool, dealt: tuple[np.ndarray, list[bytes]]) -> pa.RecordBatch:
 
 def _told(spans: tuple[np.ndarray, ...], n: int) -> pa.RecordBatch:
     """Spans (uid, start, length, state) on their way to the part of their row."""
-    return _batch(True, _deal(spans[0].astype(np.uint64), spans[0], [c.astype(k) for c, k in zip(spans[1:], _SPAN)], n))
+    return _batch(True, _deal(spans[0].astype(np.uint64), [c.astype(k) for c, k in zip(spans, _SPAN)], n))
 
 
 def _sorted_buckets(rows: DataFrame, deal, sort, n: int) -> DataFrame:
@@ -249,16 +247,17 @@ def _first_passes(rows: DataFrame, views: list[View], n_parts: int) -> DataFrame
         _, inverse = np.unique(first, return_inverse=True)
         some_open = np.bincount(inverse, here != _WHOLE)[inverse] > 0
         mark = (n_first > 1) | again | 2 * (n_same > 1) | 4 * done | 8 * some_open | view << _VIEW
-        columns = [first, second, start.astype(np.uint32), length.astype(np.uint32), mark.astype(np.uint8)]
-        yield _batch(False, _deal(first[send], uid[send], [c[send] for c in columns], n_parts))
+        columns = [uid, first, second, start.astype(np.uint32), length.astype(np.uint32), mark.astype(np.uint8)]
+        yield _batch(False, _deal(first[send], [c[send] for c in columns], n_parts))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[Segments, np.ndarray]] = []
         for batch in batches:
             uids = batch.column("uid").to_numpy()
-            for s in slices(batch.column("text")):
+            for s in slices(batch.column("text"), SLICE_BYTES):
+                base = prefix61(_CODES[s.data])
                 for view in views:
-                    g = segments(s, view)
+                    g = segments(s, view, base)
                     if len(g.row):
                         held.append((g, uids[s.first + g.row]))
                 if sum(len(u) for _, u in held) > HELD:
@@ -301,8 +300,7 @@ def _triples(packed: bytes | None) -> np.ndarray:
 
 def _last_pass(rows: DataFrame, spans: DataFrame, views: list[View], n_parts: int) -> DataFrame:
     """uid and packed spans of the open spans' suffixes whose windows are equal to full depth."""
-    kinds = [np.uint64, np.uint32, np.uint32]
-    silent, in_words = 0xFFFFFFFF, 1 << 31
+    asked, in_words = [np.int64, np.uint64, np.uint32, np.uint32], 1 << 31
 
     def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         keys, more, uid, at, known = (np.concatenate(x) for x in zip(*held))
@@ -312,12 +310,11 @@ def _last_pass(rows: DataFrame, spans: DataFrame, views: list[View], n_parts: in
         tell = many & ~known
         if tell.any():
             yield _told(_positions(uid[tell], at[tell]), n_parts)
-        send = ~many | lead
-        # a settled window goes once, twice counted, and wants no answer
-        twice = many & lead
-        k, m, u = (np.concatenate([x[send], x[twice]]) for x in (keys, more, uid))
-        p = np.concatenate([np.where(many[send], silent, at[send]), np.full(twice.sum(), silent)]).astype(np.uint32)
-        yield _batch(False, _deal(k, u, [k, m, p], n_parts))
+        # what is settled goes once for all, without a place, as it wants no answer
+        ask, settled = ~many, many & lead
+        yield _batch(False, _deal(keys[ask], [c[ask].astype(k) for c, k in zip((uid, keys, more, at), asked)], n_parts))
+        part, packed = _deal(keys[settled], [keys[settled], more[settled]], n_parts)
+        yield _batch(False, (part, [_SETTLED + x for x in packed]))
 
     def open_starts(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts in open and given spans, and whether they are given."""
@@ -332,12 +329,12 @@ def _last_pass(rows: DataFrame, spans: DataFrame, views: list[View], n_parts: in
         for batch in batches:
             uids, packed = batch.column("uid").to_numpy(), batch.column("packed")
             for s in slices(batch.column("text")):
-                own = [_triples(packed[s.first + i].as_py()) for i in range(s.n)]
+                own, base = [_triples(packed[s.first + i].as_py()) for i in range(s.n)], prefix61(_CODES[s.data])
                 for view in views:
                     wanted = [x[(x[:, 2] >> _VIEW == view.number) & (x[:, 2] % (1 << _VIEW) != _WHOLE)] for x in own]
                     if not any(map(len, wanted)):
                         continue
-                    prefix, offsets, values = view.read(s)
+                    prefix, offsets, values = view.read(s, base)
                     second = prefix_hash(values)
                     for i, x in enumerate(wanted):
                         if len(x):
@@ -352,10 +349,15 @@ def _last_pass(rows: DataFrame, spans: DataFrame, views: list[View], n_parts: in
             yield from settle(held)
 
     def sort(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        uid, keys, more, at = _gather(blobs, kinds)
+        uid, keys, more, at = _gather([x for x in blobs if not x.startswith(_SETTLED)], asked)
         if not len(keys):
             return
-        tell = (_runs(_kinds(keys, more))[0] > 1) & (at != silent)
+        keys2, more2 = _gather([x[len(_SETTLED) :] for x in blobs if x.startswith(_SETTLED)], [np.uint64, np.uint32])
+        same = _kinds(np.concatenate([keys, keys2]), np.concatenate([more, more2]))
+        one = same[: len(keys)]
+        again = np.bincount(one, minlength=same.max() + 1) > 1
+        again[same[len(keys) :]] = True
+        tell = again[one]
         if tell.any():
             yield _told(_positions(uid[tell], at[tell].astype(np.int64)), n_parts)
 
