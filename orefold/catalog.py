@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orefold.operators import records
-from orefold.plans import graph_queries, metric_queries, report_queries, search_queries, text_queries
+from orefold.plans import graph_queries, metric_queries, report_queries, search_queries, source_queries, store_queries, text_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (text_queries, graph_queries, metric_queries, report_queries, search_queries)
+_MODULES = (text_queries, graph_queries, metric_queries, report_queries, search_queries, source_queries, store_queries)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

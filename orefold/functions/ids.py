@@ -35,3 +35,23 @@ def bucket(key: Column, n: int, seed: int = 42) -> Column:
 def order_key(key: Column, seed: int = 42) -> Column:
     """A seeded order that looks random and does not depend on partitions."""
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+
+
+def insert_at(values: Column, value: Column, key: Column) -> Column:
+    """values with value put at a place chosen by the hash of key, before the first to behind the last."""
+    digest = F.md5(key.cast("binary"))
+    n = (F.size(values) + 1).cast("decimal(20,0)")
+    half = lambda at: F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)") % n
+    shift = F.lit(1 << 64).cast("decimal(20,0)") % n
+    place = ((half(1) * shift + half(17)) % n).cast("int")
+    return F.array_insert(values, place + 1, value)
+
+
+def seeded_choice(key: Column, templates: list[str], seed: int = 42) -> Column:
+    """A template that looks drawn at random, the same for a key and seed."""
+    return F.element_at(F.array(*map(F.lit, templates)), bucket(key, len(templates), seed) + 1)
+
+
+def template_of_context(key: Column, reward: Column, turned: Column, big: list[str], turn: list[str], plain: list[str], seed: int = 42) -> Column:
+    """A template by what happens: a reward over 100, a turn, else a plain step."""
+    return F.when(reward > 100, seeded_choice(key, big, seed)).when(turned, seeded_choice(key, turn, seed)).otherwise(seeded_choice(key, plain, seed))

@@ -189,3 +189,24 @@ def strip_cwe_prefix(text: Column) -> Column:
 def action_id(action: Column, actions: list[str]) -> Column:
     """The place of an action in the list; 0 if it is not there."""
     return F.greatest(F.array_position(F.array(*map(F.lit, actions)), action) - 1, F.lit(0)).cast("int")
+
+
+def date_of(stamp: Column) -> Column:
+    """The date of an ISO time."""
+    return F.substring(stamp, 1, 10)
+
+
+def file_stamp(at: Column) -> Column:
+    """A time as a part of file names."""
+    return F.date_format(at, "yyyyMMdd'T'HHmmss'Z'")
+
+
+def listed_json(cell: Column, kind: str = "array<string>") -> Column:
+    """A JSON list, empty for null and for text that is none."""
+    return F.coalesce(F.from_json(cell, kind), F.array().cast(kind))
+
+
+def text_values(cell: Column) -> Column:
+    """The members of a JSON object as a map; lists, objects and nulls are left out."""
+    members = F.coalesce(F.from_json(cell, "map<string,string>"), F.create_map().cast("map<string,string>"))
+    return F.map_filter(members, lambda k, x: x.isNotNull() & ~x.rlike(r"(?s)^[\[{].*[\]}]$"))

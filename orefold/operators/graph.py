@@ -98,6 +98,11 @@ class Graph:
     def technique_software(self) -> DataFrame:
         return self.neighbours("uses", ("malware", "tool"), incoming=True, source_type="attack-pattern")
 
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str) -> "Graph":
+        """The nodes and edges stored below a folder."""
+        return cls(spark.read.parquet(f"{folder}/nodes"), spark.read.parquet(f"{folder}/edges"))
+
     def path(self, starts: DataFrame, steps: list[tuple[str, str]]) -> DataFrame:
         """start and stix_id of all nodes reached from starts (stix_id) over typed outgoing steps, each once."""
         at = starts.select(F.col("stix_id").alias("start"), "stix_id").distinct()
@@ -259,3 +264,13 @@ def insert_edges(stored: DataFrame | None, new: DataFrame, nodes: DataFrame, ord
     sound = with_ends(new, nodes)
     first = sound.groupBy("relationship_id").agg(F.min_by(F.struct(*sound.columns), F.col(order)).alias("r")).select("r.*")
     return first if stored is None else first.join(stored.select("relationship_id"), "relationship_id", "left_anti")
+
+
+def inverted_index(rows: DataFrame, key: str, value: str, least: int = 1, most: int | None = None) -> DataFrame:
+    """key, n distinct values, and few: the first of them in order; keys with fewer than least values are left out."""
+    once = rows.select(F.col(key).alias("key"), F.col(value).alias("value")).where("key IS NOT NULL AND value IS NOT NULL").distinct()
+    w = Window.partitionBy("key").orderBy("value")
+    ranked = once.select("key", "value", F.row_number().over(w).alias("rank"))
+    kept = F.when(F.col("rank") <= most, F.col("value")) if most else F.col("value")
+    out = ranked.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(kept)).alias("few"))
+    return out.where(F.col("n") >= least)

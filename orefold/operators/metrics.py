@@ -191,3 +191,18 @@ def best_trial(steps: DataFrame, warm_up: int = 2) -> DataFrame:
     w = Window.partitionBy("trial").orderBy("step")
     rows = steps.withColumn("__n", F.row_number().over(w)).where(F.col("__n") > warm_up)
     return rows.groupBy("trial").agg(F.avg("step_s").alias("mean_step_s"), (F.sum("tokens") / F.sum("step_s")).alias("tokens_per_s"), F.count(F.lit(1)).alias("steps"))
+
+
+def checkpoints(df: DataFrame, run: str, order: str, value: str, every: int, last: int = 100, least: int = 10) -> DataFrame:
+    """The events at which a model is kept: each every-th one whose rolling mean beats those of all kept before."""
+    w = Window.partitionBy(run).orderBy(order)
+    rolled = rolling(df, run, order, value, last, least).withColumn("__k", F.row_number().over(w))
+    looked = rolled.where((F.col("__k") % every == 0) & (F.col("__k") >= least))
+    before = F.max("mean_last").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return looked.withColumn("__best", before).where(F.col("__best").isNull() | (F.col("mean_last") > F.col("__best"))).drop("__best", "__k")
+
+
+def first_rows(df: DataFrame, group: str, order: list, most: int) -> DataFrame:
+    """Rows of each group in their order until most are emitted."""
+    w = Window.partitionBy(group).orderBy(*order)
+    return df.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most).drop("__n")

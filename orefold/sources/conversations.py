@@ -104,3 +104,33 @@ def multimodal(prompt: Column, image: Column, answer: Column) -> Column:
     user = F.struct(F.lit("user").alias("role"), F.array(part("image", image, none), part("text", none, prompt)).alias("content"))
     assistant = F.struct(F.lit("assistant").alias("role"), F.array(part("text", none, answer)).alias("content"))
     return F.array(user, assistant)
+
+
+#: Folders that are looked at where no path is given.
+DEFAULT_FOLDERS = ("prepared", "dataset")
+
+
+def read_dataset(spark: SparkSession, path: str | None = None, base: str = ".") -> DataFrame:
+    """messages of a .jsonl file, a dataset folder, or the first default folder below base that is there."""
+    from orefold.sources.landing import exists
+
+    if path is None:
+        path = next((f"{base}/{x}" for x in DEFAULT_FOLDERS if exists(spark, f"{base}/{x}")), None)
+        if path is None:
+            raise FileNotFoundError(f"no dataset below {base}")
+    if path.endswith(".jsonl"):
+        return read_jsonl(spark, path).where("messages IS NOT NULL").select("messages")
+    return spark.read.parquet(path)
+
+
+def read_splits(spark: SparkSession, path: str, share: float = 0.9) -> tuple[DataFrame, DataFrame]:
+    """Training and validation rows of a prepared folder; a folder without splits is split by a seeded order of its rows."""
+    from orefold.functions.ids import bucket
+    from orefold.sources.landing import exists
+
+    if exists(spark, f"{path}/train"):
+        rest = "validation" if exists(spark, f"{path}/validation") else "test"
+        return spark.read.parquet(f"{path}/train"), spark.read.parquet(f"{path}/{rest}")
+    df = spark.read.parquet(path)
+    place = bucket(F.to_json(F.struct(*df.columns)), 1000)
+    return df.where(place < round(1000 * share)), df.where(place >= round(1000 * share))

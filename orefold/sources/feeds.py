@@ -164,9 +164,12 @@ def queries_of_analysis(df: DataFrame) -> DataFrame:
     return each.select("filename", F.when(F.col("kind") == 0, "search").otherwise("tstats").alias("kind"), F.explode(F.from_json(listed, item)).alias("s")).select("filename", "kind", "s.*").where(F.length(F.trim("query")) >= 50)
 
 
-def read_sqlite(spark: SparkSession, url: str, query: str, driver: str = "org.sqlite.JDBC") -> DataFrame:
-    """A query of a foreign relational store, by a JDBC driver on the class path."""
-    return spark.read.format("jdbc").options(url=url, query=query, driver=driver).load()
+def with_frame_files(frames: DataFrame, files: DataFrame) -> DataFrame:
+    """frames with file: the PNG of their frame_path, else the PPM, else null."""
+    kind = F.regexp_extract("file", r"\.(png|ppm)$", 1)
+    there = files.select(F.regexp_replace("file", r"\.(png|ppm)$", "").alias("frame_path"), "file", kind.alias("__kind")).where("__kind <> ''")
+    best = there.groupBy("frame_path").agg(F.min_by("file", "__kind").alias("file"))  # png sorts before ppm
+    return frames.join(best, "frame_path", "left")
 
 
 def without_truth(event: Column, keys: tuple[str, ...]) -> Column:

@@ -61,3 +61,41 @@ def newest(names: list[str], keep: int) -> tuple[list[str], list[str]]:
     """Backup names to keep and to remove, newest first by name."""
     ordered = sorted(names, reverse=True)
     return ordered[:keep], ordered[keep:]
+
+
+def write_json(df: DataFrame, path: str) -> str:
+    """A small result as one JSON file, an object per row."""
+    from orefold.sources.landing import land_file
+
+    return land_file(df.select(F.to_json(F.struct(*df.columns)).alias("value")), path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """A manifest's rows; FileNotFoundError where there is none."""
+    from orefold.sources.landing import exists
+
+    if not exists(spark, path):
+        raise FileNotFoundError(path)
+    return spark.read.json(path)
+
+
+def rotate(spark: SparkSession, folder: str, stamp: str, keep: int, splits: tuple[str, ...] = ("train", "validation", "test")) -> list[str]:
+    """Moves the splits of a folder to backup_<stamp> and keeps the newest backups; the names of those kept."""
+    jvm = spark.sparkContext._jvm
+    path = lambda x: jvm.org.apache.hadoop.fs.Path(x)
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = [s for s in splits if fs.exists(path(f"{folder}/{s}"))]
+    if there:
+        fs.mkdirs(path(f"{folder}/backup_{stamp}"))
+    for s in there:
+        fs.rename(path(f"{folder}/{s}"), path(f"{folder}/backup_{stamp}/{s}"))
+    found = [f.getPath().getName() for f in fs.listStatus(path(folder)) if f.getPath().getName().startswith("backup_")]
+    kept, gone = newest(found, keep)
+    for name in gone:
+        fs.delete(path(f"{folder}/{name}"), True)
+    return kept
+
+
+def newest_file(files: DataFrame, time: str = "modified", name: str = "file") -> DataFrame:
+    """The file that was changed last, ties by name."""
+    return files.agg(F.max_by(name, F.struct(time, name)).alias(name))

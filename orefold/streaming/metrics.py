@@ -145,3 +145,81 @@ def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str) -> D
     query = stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return stream.sparkSession.table(name)
+
+
+def step_event(step: Column, seconds: Column, tokens: Column, memory: Column | None = None) -> Column:
+    """A bench step with its tokens a second and, where sampled, the memory in use."""
+    rate = F.when(seconds > 0, tokens / seconds)
+    return F.struct(F.lit("bench_step").alias("event"), step.alias("step"), rate.alias("tokens_per_s"), (memory if memory is not None else F.lit(None).cast("double")).alias("memory_gb"))
+
+
+def evaluation_event(step: Column, loss: Column) -> Column:
+    return F.struct(F.lit("eval").alias("event"), step.alias("step"), loss.alias("eval_loss"))
+
+
+def lifecycle(events: DataFrame, begin: str = "train_begin", end: str = "train_end") -> DataFrame:
+    """Begin and end of each run with the seconds between them; runs still open have none."""
+    at = lambda name, f: f(F.when(F.col("event") == name, F.col("ts")))
+    out = events.groupBy("run_id").agg(at(begin, F.min).alias("began"), at(end, F.max).alias("ended"))
+    return out.where("began IS NOT NULL").select("run_id", F.when(F.col("ended") >= F.col("began"), F.col("ended").cast("double") - F.col("began").cast("double")).alias("elapsed"))
+
+
+def process_state(lines: DataFrame) -> DataFrame:
+    """Status, first and last time and number of lines of each job of a log (job, seq, ts, line, code); code is that of its exit."""
+    code = F.max_by(F.when(F.col("code").isNotNull(), F.col("code")), F.when(F.col("code").isNotNull(), F.col("seq")))
+    out = lines.groupBy("job").agg(code.alias("code"), F.min("ts").alias("began"), F.max("ts").alias("last"), F.count(F.lit(1)).alias("lines"))
+    return out.withColumn("status", F.when(F.col("code").isNull(), "running").when(F.col("code") == 0, "finished").otherwise("failed"))
+
+
+def replay_then_tail(history: DataFrame, stream: DataFrame, deliver: Callable[[DataFrame, int], None], checkpoint: str, done: str | None = None, keep_alive: Callable[[int], None] | None = None, idle_s: float = 30.0) -> int:
+    """Delivers what was stored and then each batch of the stream, from the offset that checkpoint holds; the last batch number.
+
+    A subscriber that comes again with its checkpoint gets no replay and only
+    what is new.  Ends where a batch has a row for which done holds, or, without
+    done, when the stream has nothing more.  Where nothing came for idle_s, keep_alive
+    is called.  Failures of deliver stop this subscriber alone.
+    """
+    import time
+
+    state = {"batch": -1, "done": False, "last": time.monotonic()}
+
+    def write(batch: DataFrame, number: int) -> None:
+        if state["done"]:
+            return
+        batch.persist()
+        deliver(batch, number)
+        state.update(batch=number, last=time.monotonic())
+        state["done"] = done is not None and not batch.where(done).isEmpty()
+        batch.unpersist()
+
+    from orefold.sources.landing import exists
+
+    if not exists(stream.sparkSession, f"{checkpoint}/offsets"):
+        deliver(history, -1)
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if done is None:
+        writer.trigger(availableNow=True).start().awaitTermination()
+        return state["batch"]
+    query = writer.trigger(processingTime="1 second").start()
+    while query.isActive and not state["done"]:
+        query.awaitTermination(1)
+        if keep_alive is not None and time.monotonic() - state["last"] > idle_s:
+            keep_alive(state["batch"])
+            state["last"] = time.monotonic()
+    if query.exception() is not None:
+        raise query.exception()
+    query.stop()
+    return state["batch"]
+
+
+def quietly(post: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: posts a batch and forgets it; a failing post is logged and ignored."""
+    import logging
+
+    def write(batch: DataFrame, number: int) -> None:
+        try:
+            post(batch, number)
+        except Exception:
+            logging.getLogger(__name__).warning("batch %d was not posted", number, exc_info=True)
+
+    return write
