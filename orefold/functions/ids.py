@@ -42,7 +42,7 @@ def insert_at(values: Column, value: Column, key: Column) -> Column:
     digest = F.md5(key.cast("binary"))
     n = (F.size(values) + 1).cast("decimal(20,0)")
     half = lambda at: F.conv(F.substring(digest, at, 16), 16, 10).cast("decimal(20,0)") % n
-    shift = F.lit(1 << 64).cast("decimal(20,0)") % n
+    shift = F.lit(str(1 << 64)).cast("decimal(20,0)") % n
     place = ((half(1) * shift + half(17)) % n).cast("int")
     return F.array_insert(values, place + 1, value)
 

@@ -101,6 +101,6 @@ def descriptions_of(answer: Column, ids: Column, shortest: int = 50) -> Column:
     """id and text pairs of a batch answer: a JSON array of {id, description}, else the texts behind each id."""
     kind = "array<struct<id:string,description:string>>"
     parsed = F.from_json(tx.strip_fences(answer), kind)
-    split = F.transform(ids, lambda i: F.struct(i.alias("id"), F.trim(F.regexp_replace(F.substring_index(F.substring_index(answer, i, -1), "###", 1), r"^[\s:*#]+|\s+$", "")).alias("description")))
+    split = F.transform(ids, lambda i: F.struct(i.alias("id"), F.trim(F.regexp_replace(F.split_part(F.split_part(answer, i, F.lit(-1)), F.lit("###"), F.lit(1)), r"^[\s:*#]+|\s+$", "")).alias("description")))
     found = F.coalesce(F.when(F.size(parsed) > 0, parsed), F.filter(split, lambda x: F.contains(answer, x["id"])))
     return F.filter(found, lambda x: F.length(x["description"]) > shortest)

@@ -136,10 +136,10 @@ def _objects(spark, d) -> DataFrame:
         F.col("p_type").alias("description"),
         F.when(n % 2 == 0, F.array(ref("mitre-attack", _cat("T", _s(1000 + n % 9000))))).alias("external_references"),
         F.array(phase("other", "none"), phase("mitre-attack", "execution"), phase("mitre-attack", "impact")).alias("kill_chain_phases"),
-        F.array(F.col("p_container")).alias("x_mitre_platforms"),
+        F.array(F.col("p_brand")).alias("x_mitre_platforms"),
     )
     uses = _table(spark, d, "lineitem").join(_table(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey")).where("l_linenumber = 1")
-    edges = uses.select(F.lit("relationship").alias("type"), _cat("relationship--", _s("o_orderkey")).alias("id"), _cat("intrusion-set--", _s("o_custkey")).alias("source_ref"), _cat("attack-pattern--", _s("l_partkey")).alias("target_ref"), F.lit("uses").alias("relationship_type"))
+    edges = uses.select(F.lit("relationship").alias("type"), _cat("relationship--", _s("o_orderkey"), "-", _s("l_partkey")).alias("id"), _cat("intrusion-set--", _s("o_custkey")).alias("source_ref"), _cat("attack-pattern--", _s("l_partkey")).alias("target_ref"), F.lit("uses").alias("relationship_type"))
     return actors.unionByName(techniques, allowMissingColumns=True).unionByName(edges, allowMissingColumns=True)
 
 
@@ -151,7 +151,7 @@ def _bundle(spark, d) -> DataFrame:
 
 
 @add("S09_S11_S12_G22_P05_P06_N02_N03_N04_N05_bundle_nodes", """SELECT 'intrusion-set--' || c_custkey AS stix_id, 'intrusion-set' AS type, c_name AS name, 'Group ' || c_custkey AS aliases, '' AS description, 'G' || c_custkey AS attack_id, 'mitre_attack_id=G' || c_custkey || ';x=' || c_custkey AS external_ids, '' AS platforms, '' AS phases FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey % 11 <> 0
-UNION ALL SELECT 'attack-pattern--' || p_partkey, 'attack-pattern', p_name, '', p_type, CASE WHEN p_partkey % 2 = 0 THEN 'T' || (1000 + p_partkey % 9000) END, CASE WHEN p_partkey % 2 = 0 THEN 'mitre_attack_id=T' || (1000 + p_partkey % 9000) ELSE '' END, p_container, 'execution,impact' FROM part WHERE p_partkey % 13 <> 0""")
+UNION ALL SELECT 'attack-pattern--' || p_partkey, 'attack-pattern', p_name, '', p_type, CASE WHEN p_partkey % 2 = 0 THEN 'T' || (1000 + p_partkey % 9000) END, CASE WHEN p_partkey % 2 = 0 THEN 'mitre_attack_id=T' || (1000 + p_partkey % 9000) ELSE '' END, p_brand, 'execution,impact' FROM part WHERE p_partkey % 13 <> 0""")
 def _(spark, d):
     n = feeds.nodes_of_bundle(_bundle(spark, d))
     entry = lambda e: _cat(e["key"], "=", F.array_join(e["value"], "|"))
@@ -162,7 +162,7 @@ def _(spark, d):
 _LIVE = "c_custkey % 7 <> 0 AND c_custkey % 11 <> 0"
 
 
-@add("J18_K04_A04_A33_bundle_edges", f"WITH e AS (SELECT 'relationship--' || o_orderkey AS relationship_id, 'intrusion-set--' || o_custkey AS src, 'attack-pattern--' || l_partkey AS dst, 'uses' AS rel_type FROM orders JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber = 1 JOIN customer ON c_custkey = o_custkey AND {_LIVE} JOIN part ON p_partkey = l_partkey AND p_partkey % 13 <> 0) SELECT 'edge' AS kind, relationship_id || ' ' || src || ' ' || dst AS name, 1 AS n FROM e UNION ALL SELECT 'type', 'intrusion-set', count(*) FROM customer WHERE {_LIVE} UNION ALL SELECT 'type', 'attack-pattern', count(*) FROM part WHERE p_partkey % 13 <> 0 UNION ALL SELECT 'relation', 'uses', count(*) FROM e")
+@add("J18_K04_A04_A33_bundle_edges", f"WITH e AS (SELECT DISTINCT 'relationship--' || o_orderkey || '-' || l_partkey AS relationship_id, 'intrusion-set--' || o_custkey AS src, 'attack-pattern--' || l_partkey AS dst, 'uses' AS rel_type FROM orders JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber = 1 JOIN customer ON c_custkey = o_custkey AND {_LIVE} JOIN part ON p_partkey = l_partkey AND p_partkey % 13 <> 0) SELECT 'edge' AS kind, relationship_id || ' ' || src || ' ' || dst AS name, 1 AS n FROM e UNION ALL SELECT 'type', 'intrusion-set', count(*) FROM customer WHERE {_LIVE} UNION ALL SELECT 'type', 'attack-pattern', count(*) FROM part WHERE p_partkey % 13 <> 0 UNION ALL SELECT 'relation', 'uses', count(*) FROM e")
 def _(spark, d):
     """Relationships whose ends are both active, wired by the types of their ends, and what the build counts."""
     from orefold.operators import graph
@@ -217,20 +217,20 @@ def _(spark, d):
     return by[0].unionByName(by[1])
 
 
-_KEV = "SELECT 'CVE-2021-' || (1000 + p_partkey) AS cve, p_name AS vul, p_mfgr AS vendor, p_brand AS product, p_type AS short, 'Apply updates.' AS act, p_partkey % 3 = 0 AS ransom, '2021-11-' || lpad(CAST(1 + p_partkey % 28 AS VARCHAR), 2, '0') AS added, '2022-05-03' AS due FROM part"
+_KEV = "SELECT 'CVE-2021-' || (1000 + p_partkey) AS cve, p_name AS vul, p_type AS vendor, p_brand AS product, p_type AS short, 'Apply updates.' AS act, p_partkey % 3 = 0 AS ransom, '2021-11-' || lpad(CAST(1 + p_partkey % 28 AS VARCHAR), 2, '0') AS added, '2022-05-03' AS due FROM part"
 
 
 @add("S14_R20_exploited_answers", f"WITH k AS ({_KEV}) SELECT cve, 'summary' AS kind, 'What is ' || cve || '?' AS user_message, cve || ' (' || vul || ')' || chr(10) || 'Product: ' || vendor || ' ' || product || chr(10) || 'Description: ' || short || CASE WHEN ransom THEN chr(10) || 'Used in ransomware campaigns.' ELSE '' END || chr(10) || 'Added: ' || added || chr(10) || 'Due: ' || due || chr(10) || 'Required action: ' || act AS assistant_message FROM k UNION ALL SELECT cve, 'impact', 'What is the impact of ' || cve || '?', cve || ' affects ' || vendor || ' ' || product || '.' || chr(10) || short || chr(10) || 'It is exploited in the wild.' || CASE WHEN ransom THEN chr(10) || 'Used in ransomware campaigns.' ELSE '' END FROM k UNION ALL SELECT cve, 'mitigation', 'What must be done about ' || cve || '?', 'For ' || cve || ':' || chr(10) || 'Required action: ' || act || chr(10) || 'Due: ' || due FROM k")
 def _(spark, d):
     k = F.col("p_partkey")
-    v = _table(spark, d, "part").select((k % 4).alias("name"), F.struct(_cat("CVE-2021-", _s(1000 + k)).alias("cveID"), F.col("p_brand").alias("product"), F.col("p_mfgr").alias("vendorProject"), F.col("p_name").alias("vulnerabilityName"), F.col("p_type").alias("shortDescription"), F.lit("Apply updates.").alias("requiredAction"), F.lit("2022-05-03").alias("dueDate"), _cat("2021-11-", F.lpad(_s(1 + k % 28), 2, "0")).alias("dateAdded"), F.when(k % 3 == 0, "Known").otherwise("Unknown").alias("knownRansomwareCampaignUse"), F.lit("").alias("notes")).alias("v"))
+    v = _table(spark, d, "part").select((k % 4).alias("name"), F.struct(_cat("CVE-2021-", _s(1000 + k)).alias("cveID"), F.col("p_brand").alias("product"), F.col("p_type").alias("vendorProject"), F.col("p_name").alias("vulnerabilityName"), F.col("p_type").alias("shortDescription"), F.lit("Apply updates.").alias("requiredAction"), F.lit("2022-05-03").alias("dueDate"), _cat("2021-11-", F.lpad(_s(1 + k % 28), 2, "0")).alias("dateAdded"), F.when(k % 3 == 0, "Known").otherwise("Unknown").alias("knownRansomwareCampaignUse"), F.lit("").alias("notes")).alias("v"))
     files = v.groupBy("name").agg(F.to_json(F.struct(F.collect_list("v").alias("vulnerabilities"))).alias("value"))
     return reports.kev_answers(feeds.read_kev(spark, land_each(files, new_folder(spark), "kev")))
 
 
 #: What the vulnerability files hold, by the part's key k: scores of three origins or none, products, fixes and solutions or none.
 _CVE = """SELECT p_partkey AS k, 'CVE-2022-' || (1000 + p_partkey) AS cve, 'A flaw in ' || p_name || ' lets attackers run code of their own.' AS text,
- CASE p_partkey % 4 WHEN 0 THEN CAST(p_partkey % 10 AS DOUBLE) + 0.5 WHEN 1 THEN 9.8 WHEN 2 THEN 4.4 END AS score, CASE p_partkey % 4 WHEN 1 THEN 'CRITICAL' END AS own_severity, p_mfgr || ' ' || p_brand AS product, CAST(p_size AS VARCHAR) || '.1' AS fix,
+ CASE p_partkey % 4 WHEN 0 THEN CAST(p_partkey % 10 AS DOUBLE) + 0.5 WHEN 1 THEN 9.8 WHEN 2 THEN 4.4 END AS score, CASE p_partkey % 4 WHEN 1 THEN 'CRITICAL' END AS own_severity, p_type || ' ' || p_brand AS product, CAST(p_size AS VARCHAR) || '.1' AS fix,
  CASE WHEN p_partkey % 5 = 0 THEN 'Update the package' WHEN p_partkey % 5 = 1 THEN 'Turn it off' END AS solution, 'CWE-' || (p_partkey % 90 + 1) AS cwe, p_partkey % 3 = 0 AS fixed FROM part WHERE p_partkey % 9 <> 0"""
 _CVE_HEAD = f"WITH c0 AS ({_CVE}), c AS (SELECT *, coalesce(own_severity, CASE WHEN score >= 9 THEN 'CRITICAL' WHEN score >= 7 THEN 'HIGH' WHEN score >= 4 THEN 'MEDIUM' WHEN score IS NOT NULL THEN 'LOW' END) AS severity, CASE WHEN fixed THEN '- ' || product || ': ' || fix ELSE '' END AS fixes FROM c0) "
 
@@ -243,7 +243,7 @@ def _cves(spark, d) -> DataFrame:
     metrics = F.when(k % 4 == 0, F.array(F.struct(metric((k % 10).cast("double") + 0.5, none).alias("cvssV3_1"), metric(F.lit(1.0), none).alias("cvssV3_0")))).when(k % 4 == 2, F.array(F.struct(F.lit(None).alias("cvssV3_1"), metric(F.lit(4.4), none).alias("cvssV3_0"))))
     adp = F.when(k % 4 == 1, F.array(F.struct(F.array(F.struct(metric(F.lit(9.8), F.lit("CRITICAL")).alias("cvssV3_1"))).alias("metrics"), F.array(F.struct(F.array(F.struct(_cat("CWE-", _s(k % 90 + 1)).alias("cweId"), _cat("CWE-", _s(k % 90 + 1), " Again").alias("description"))).alias("descriptions"))).alias("problemTypes"))))
     version = lambda kind, less: F.struct(F.lit("affected").alias("status"), F.lit("1.0").alias("version"), F.lit(kind).alias("versionType"), less.alias("lessThan"))
-    affected = F.array(F.struct(F.col("p_mfgr").alias("vendor"), F.col("p_brand").alias("product"), F.array(version("semver", F.when(k % 3 == 0, _cat(_s("p_size"), ".1"))), version("git", F.lit("abc"))).alias("versions")), F.struct(F.lit("n/a").alias("vendor"), F.lit("n/a").alias("product"), F.array(version("semver", F.lit("2"))).alias("versions")))
+    affected = F.array(F.struct(F.col("p_type").alias("vendor"), F.col("p_brand").alias("product"), F.array(version("semver", F.when(k % 3 == 0, _cat(_s("p_size"), ".1"))), version("git", F.lit("abc"))).alias("versions")), F.struct(F.lit("n/a").alias("vendor"), F.lit("n/a").alias("product"), F.array(version("semver", F.lit("2"))).alias("versions")))
     text = _cat("A flaw in <b>", F.col("p_name"), "</b> lets attackers run code of their own.")
     cna = F.struct(
         F.array(F.struct(F.lit("de").alias("lang"), F.lit("Eine Luecke in einem Paket erlaubt es, Code auszufuehren.").alias("value")), F.struct(F.lit("en-US").alias("lang"), F.when(k % 9 == 8, F.lit("too short")).otherwise(text).alias("value"))).alias("descriptions"),

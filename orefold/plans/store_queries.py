@@ -184,11 +184,11 @@ def _(spark, d):
     return pairs.groupBy(domain.alias("domain")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@add("A32_S36_columns_of_tables", "SELECT * FROM (VALUES ('n_comment'), ('n_name'), ('n_nationkey'), ('n_regionkey')) AS t(name)")
+@add("A32_S36_columns_of_tables", "SELECT column_name AS name FROM (DESCRIBE nation)")
 def _(spark, d):
     """The columns of a stored table, as the catalog lists them."""
     _table(spark, d, "nation").createOrReplaceTempView("orefold_nation")
-    return spark.createDataFrame([(c.name,) for c in spark.catalog.listColumns("orefold_nation")], "name string").where("name <> ''")
+    return spark.createDataFrame([(c.name,) for c in spark.catalog.listColumns("orefold_nation")], "name string")
 
 
 @add("J06_J24_technique_keys_and_mentions", _VIEWS + "SELECT attack_id AS tech, max(stix_id) AS stix_id, 'key' AS kind FROM n WHERE attack_id IS NOT NULL GROUP BY 1 UNION ALL SELECT 'CVE-' || (2000 + k % 26) || '-' || (1000 + k % 90), 'attack-pattern--' || k, 'mention' FROM (SELECT CAST(p_partkey AS INT) AS k FROM part)")
@@ -226,9 +226,9 @@ def _bucket_sql(key: str, n: int, seed: int = 42) -> str:
     return f"CAST(('0x' || substr(md5('{seed}:' || {key}), 1, 12))::UBIGINT % {n} AS INT)"
 
 
-@add("U13_U14_U15_U16_U17_template_choices", f"SELECT o_orderkey, {_choice_sql("'CVE-' || o_orderkey", 3)} AS cve, {_choice_sql("'intrusion-set--' || o_custkey", 4)} AS groups, {_choice_sql("o_clerk", 2)} AS galaxy, {_choice_sql("'search ' || o_orderkey", 5)} AS spl, {_choice_sql("'T' || o_orderkey || o_orderstatus", 6)} AS logs FROM orders")
+@add("U13_U14_U15_U16_U17_template_choices", f"SELECT o_orderkey, {_choice_sql("'CVE-' || o_orderkey", 3)} AS cve, {_choice_sql("'intrusion-set--' || o_custkey", 4)} AS groups, {_choice_sql("o_orderpriority", 2)} AS galaxy, {_choice_sql("'search ' || o_orderkey", 5)} AS spl, {_choice_sql("'T' || o_orderkey || o_orderstatus", 6)} AS logs FROM orders")
 def _(spark, d):
-    keys = {"cve": (_cat("CVE-", _s("o_orderkey")), 3), "groups": (_cat("intrusion-set--", _s("o_custkey")), 4), "galaxy": (F.col("o_clerk"), 2), "spl": (_cat("search ", _s("o_orderkey")), 5), "logs": (_cat("T", _s("o_orderkey"), F.col("o_orderstatus")), 6)}
+    keys = {"cve": (_cat("CVE-", _s("o_orderkey")), 3), "groups": (_cat("intrusion-set--", _s("o_custkey")), 4), "galaxy": (F.col("o_orderpriority"), 2), "spl": (_cat("search ", _s("o_orderkey")), 5), "logs": (_cat("T", _s("o_orderkey"), F.col("o_orderstatus")), 6)}
     return _table(spark, d, "orders").select("o_orderkey", *(ids.md5_choice(k, n).alias(name) for name, (k, n) in keys.items()))
 
 
@@ -246,7 +246,7 @@ def _(spark, d):
 
 @add("F13_F22_F23_F41_text_cleanup", "SELECT c_custkey, c_name || ' says' || chr(10) || 'yes' AS response, 'Command And Control ' || c_custkey AS label, '{\"a\": ' || c_custkey || '}' AS bare FROM customer")
 def _(spark, d):
-    raw = _cat("  > ", F.col("c_name"), " says\n** yes\n ")
+    raw = _cat("> ", F.col("c_name"), " says\n** yes\n ")
     return _table(spark, d, "customer").select("c_custkey", tx.postprocess_response(raw).alias("response"), tx.label(_cat("command-and-control ", _s("c_custkey"))).alias("label"), tx.strip_fences(_cat("```json\n{\"a\": ", _s("c_custkey"), "}\n```")).alias("bare"))
 
 
