@@ -48,7 +48,7 @@ def _(spark, d):
     return queries(spark, d).select("p_partkey", search.hint(F.col("title"), F.col("query")).alias("hint"), search.log_source(name).alias("source"))
 
 
-@add("F32_F33_commands", "SELECT p_partkey, ['index=main', 'stats', 'where', 'tool'] AS commands, '1. **Base search:** `index=main x=' || p_name || '`' || chr(10) || '2. **`stats`:** Aggregates events using statistical functions' || chr(10) || '3. **`where`:** Filters results based on a condition' || chr(10) || '4. **`search`:** Further filters events' || chr(10) || '5. **`STATS`:** Processes events with `STATS`' AS breakdown FROM part")
+@add("F32_F33_commands", "SELECT p_partkey, ['index=main', 'stats', 'where', 'tool'] AS commands, '1. **Base search:** `index=main x=' || p_name || '`' || chr(10) || '2. **`stats`:** " + search.COMMANDS["stats"] + "' || chr(10) || '3. **`where`:** " + search.COMMANDS["where"] + "' || chr(10) || '4. **`search`:** " + search.COMMANDS["search"] + "' || chr(10) || '5. **`STATS`:** Processes events with `STATS`' AS breakdown FROM part")
 def _(spark, d):
     q = F.col("query")
     return queries(spark, d).select("p_partkey", search.commands(q).alias("commands"), search.breakdown(q).alias("breakdown"))
