@@ -5,8 +5,10 @@ length and link density alone where stop words cannot tell, on a page of which n
 block reaches the upper density and in blocks of another script than the lists'.
 Pass two gives blocks that are too short to judge the label of their nearest
 decided neighbours.  Page structure narrows what is judged: furniture elements and
-elements whose class, id or role name furniture are left out, and where a page
-marks its article, blocks outside do not count.
+reader comments are left out, and where a page marks its article, blocks outside
+do not count.  An element whose class, id or role names furniture has a vote: it
+goes unless it holds most of what is good on the page, as a page's wrapper does;
+inside a marked article a name only makes its link lists go.
 """
 
 from __future__ import annotations
@@ -35,14 +37,15 @@ RAW = {"script", "style", "title", "textarea", "noscript", "template", "iframe",
 FURNITURE = {"nav", "header", "footer", "aside", "form", "menu", "button", "select", "dialog", "svg", "math", "canvas", "object", "audio", "video", "map", "datalist", "fieldset"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
-#: Names in class, id or role that mark furniture, and those that mark the article.
+#: Words of names in class, id or role that mark furniture; words that may stand beside them; comments and adverts.
 FURNITURE_NAMES = set(
     "ad ads adbox advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar sidebars aside footer header masthead "
     "cookie cookies consent gdpr notice notices notification popup modal overlay dialog alert newsletter subscribe signup login share sharing social related recommended trending popular comment comments commentlist "
     "discussion disqus reply replies respond reader widget pagination pager toolbar skip copyright legal disclaimer complementary contentinfo search form".split()
 )
+BESIDE_NAMES = set("area article articles bar block box button buttons column container entry group inner item items left link links list main outer page post posts primary right row secondary section site slot story top bottom unit wrap wrapper".split())
 COMMENT_NAMES = set("comment comments commentlist discussion disqus reply replies respond".split())
-HEADER_NAMES = {"header", "masthead", "banner", "notice"}
+ADVERT_NAMES = set("ad ads adbox advert adverts advertisement advertising adsense sponsor sponsored".split())
 ARTICLE_NAMES = set("article articlebody content post entry story main maincontent".split())
 
 _STOP = frozenset(w for words in STOP_WORDS.values() for w in words.split())
@@ -74,6 +77,7 @@ class _Block:
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
     label: str = ""
+    named: tuple[int, ...] = ()  # the elements around it that name furniture, by number, outermost first
 
     @functools.cached_property
     def _text(self) -> str:
@@ -95,21 +99,28 @@ class _Block:
         return text.isascii() or not _OTHER.search(text) or 2 * len(_OTHER.findall(text)) <= len(_LETTER.findall(text))
 
 
-def _names(attributes: str) -> set[str]:
-    found = set()
+def _names(attributes: str) -> tuple[set[str], bool]:
+    """The words of names that mean furniture as a whole, and whether a name marks the article."""
+    furniture: set[str] = set()
+    article = False
     for m in _NAMES.finditer(attributes):
-        value = m[2] or m[3] or m[4] or ""
-        found.update(p.lower() for p in _PARTS.findall(value))
-        found.add(re.sub("[^a-z]", "", value.lower()))
-    return found
+        for name in (m[2] or m[3] or m[4] or "").split():
+            words = {p.lower() for p in _PARTS.findall(name)}
+            found = words & FURNITURE_NAMES
+            whole = re.sub("[^a-z]", "", name.lower())
+            if found and not words - found - BESIDE_NAMES:
+                furniture |= found
+            elif not found and (words & ARTICLE_NAMES or whole in ARTICLE_NAMES):
+                article = True
+    return (set() if article else furniture), article
 
 
 def blocks_of(page: str) -> list[_Block]:
-    """The text blocks of a page outside furniture, in page order."""
+    """The text blocks of a page outside furniture elements, in page order."""
     blocks: list[_Block] = []
-    stack: list[tuple[str, int]] = []  # open elements, and the most that they and those around them mean for the article
+    stack: list[tuple[str, int, tuple[int, ...]]] = []  # open elements, what they and those around them mean for the article, and those that name furniture
     skip = None  # the depth at which furniture began
-    links, heading = 0, False
+    links, heading, n_named = 0, False, 0
     block: _Block | None = None
     at, end = 0, len(page)
     while at < end:
@@ -118,7 +129,7 @@ def blocks_of(page: str) -> list[_Block]:
         if stop > at and skip is None:
             text = html.unescape(page[at:stop])
             if block is None:
-                block = _Block(stack[-1][1] if stack else 0, heading)
+                block = _Block(stack[-1][1] if stack else 0, heading, named=stack[-1][2] if stack else ())
                 blocks.append(block)
             block.pieces.append(text)
             if links:
@@ -164,24 +175,22 @@ def blocks_of(page: str) -> list[_Block]:
         if name in ("article", "main") and skip is not None and stack[skip][0] in ("nav", "header"):
             del stack[skip:]  # an element that was never closed
             skip = None
-        names = _names(attributes) if attributes else set()
-        inside = stack[-1][1] if stack else 0
-        rank = 2 if name in ("article", "main") else 1 if names & ARTICLE_NAMES else 0
+        names, marked = _names(attributes) if attributes else (set(), False)
+        inside, named = stack[-1][1:] if stack else (0, ())
+        rank = 2 if name in ("article", "main") else 1 if marked else 0
         if name == "p" and stack and stack[-1][0] == "p":
             stack.pop()
         if skip is None and name not in ("html", "body"):
-            bad = names & FURNITURE_NAMES
-            if name in ("article", "main") or inside == 2 and name in ("header", "h1"):
-                bad = names & COMMENT_NAMES
-            elif name in FURNITURE:
-                bad = {name}
-            elif inside == 2 and bad <= HEADER_NAMES - {"notice", "banner"}:
-                bad = set()
-            if bad or attributes and _HIDDEN.search(attributes):
+            own = name in FURNITURE and not (inside == 2 and name == "header")
+            gone = names & COMMENT_NAMES or name not in ("article", "main") and names & ADVERT_NAMES
+            if own or gone or attributes and _HIDDEN.search(attributes):
                 skip = len(stack)
                 block = None
+            elif names and not re.fullmatch("h[1-6]", name):
+                n_named += 1
+                named = (*named, n_named)
         if name != "p" or skip == len(stack):
-            stack.append((name, inside if skip is not None else max(inside, rank)))
+            stack.append((name, inside if skip is not None else max(inside, rank), named))
     return [b for b in blocks if b.text()]
 
 
@@ -189,7 +198,10 @@ def _judge(block: _Block, rules: Rules, listed: bool) -> str:
     """good, bad, or short where the block cannot tell; listed: stop words tell on this page."""
     text = block.text()
     solid = max(1, len(text.replace(" ", "")))
-    if block.linked > rules.max_links * solid or (("©" in text) and len(text) < rules.long):
+    # a marked article keeps its paragraphs, whatever they link to, but for lists of links that a name calls furniture
+    if (block.article < 2 or block.named) and block.linked > rules.max_links * solid:
+        return "bad"
+    if block.article < 2 and "©" in text and len(text) < rules.long:
         return "bad"
     if len(text) < rules.short:
         return "short"
@@ -201,6 +213,16 @@ def _judge(block: _Block, rules: Rules, listed: bool) -> str:
     return "short" if block.article or density >= rules.stop_low else "bad"
 
 
+def _without_furniture(blocks: list[_Block]) -> list[_Block]:
+    """Blocks outside elements that name furniture; an element with most of what is good on the page is none."""
+    size = lambda bs: sum(len(b.text()) for b in bs if b.label == "good")
+    for k in sorted({k for b in blocks if b.article < 2 for k in b.named}):
+        inner = [b for b in blocks if k in b.named and b.article < 2]
+        if inner and 2 * size(inner) <= size(blocks):
+            blocks = [b for b in blocks if k not in b.named or b.article == 2]
+    return blocks
+
+
 def _inherit(blocks: list[_Block]) -> None:
     """Blocks too short to judge take the label of the nearest decided block; at equal distance one good neighbour is enough inside an article."""
     decided = [i for i, b in enumerate(blocks) if b.label != "short"]
@@ -230,14 +252,15 @@ def main_text(page: str | None, rules: Rules = Rules()) -> str:
     if not page:
         return ""
     blocks = blocks_of(page)
+    listed = any(len(b.text()) >= rules.short and b.density >= rules.stop_high for b in blocks)
+    for b in blocks:
+        b.label = _judge(b, rules, listed)
+    blocks = _without_furniture(blocks)
     best = max((b.article for b in blocks), default=0)
     if best:
         inner = [b for b in blocks if b.article == best]
         if best == 2 or sum(len(b.text()) for b in inner) * 2 > sum(len(b.text()) for b in blocks):
             blocks = inner
-    listed = any(len(b.text()) >= rules.short and b.density >= rules.stop_high for b in blocks)
-    for b in blocks:
-        b.label = _judge(b, rules, listed)
     if not listed and all(b.label != "good" for b in blocks):
         blocks = [b for b in blocks if b.label == "short"]  # nothing good to follow: link lists must not decide
     _inherit(blocks)

@@ -47,3 +47,21 @@ def test_unlisted_languages_and_tables_without_an_article_are_kept():
     # an English notice beside it does not make another script bad
     assert h.main_text(f"<div><p>{LONG}</p><p>{russian}</p></div>") == f"{LONG} {russian}"
     assert h.main_text(f"<div>{links}</div>") == ""
+
+
+def test_names_have_a_vote_only():
+    body = f"<h1>A title</h1><p>{LONG}</p><p>Short one.</p><p>{LONG}</p>"
+    want = f"A title {LONG} Short one. {LONG}"
+    for wrapper in ("class=no-sidebar", 'id="popular-science"', 'class="header"', 'class="site comments-open"', "class=widget", 'class="post legal"'):
+        assert h.main_text(f"<html><body><nav>Home</nav><div {wrapper}>{body}</div><footer>us</footer></body></html>") == want, wrapper
+    # of several elements the one with little goes
+    assert h.main_text(f'<div class="content">{body}</div><div class="sidebar"><p>{LONG}</p></div><div class="cookie-notice">{LONG}</div>') == want
+
+
+def test_nothing_of_an_article_is_lost():
+    links = "".join(f'<a href="{i}">see the chapter {i}</a> ' for i in range(6))
+    plain = " ".join(f"see the chapter {i}" for i in range(6))
+    page = f'<article><h2 class="alert">A warning</h2><p>{LONG}</p><div class="social"><p>{LONG}</p></div><p>{links}</p><section id="popular"><p>{LONG}</p></section></article>'
+    assert h.main_text(page) == f"A warning {LONG} {LONG} {plain} {LONG}"
+    page = f'<article><p>{LONG}</p><div class="share-links"><a href=1>Send this page</a> <a href=2>Print this page</a></div><div class="advert">{LONG}</div><div id="comments"><p>{LONG}</p></div><p>{LONG}</p></article>'
+    assert h.main_text(page) == f"{LONG} {LONG}"
