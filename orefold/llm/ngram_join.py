@@ -14,9 +14,9 @@ one group are never compared, only those between groups are.
 
 Shingles in more sets than HOT are put last in the order; lists of such
 shingles are not paired out but answered through a leading set.  Where that leaves
-several groups in a list, its sets are dealt by size and by their bitmaps' distance
-from the leading set: linked sets differ in both by a bounded amount, so only
-neighbouring cells are compared.
+several groups in a list, its sets are dealt by size, as linked sets lie in one
+size class or in neighbouring ones, and compared across groups where sizes, bitmaps
+and the rare shingles that each has before its hot ones allow a link.
 """
 
 from __future__ import annotations
@@ -350,29 +350,21 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> Data
     return rows.join(own, node, "left").withColumn(label, F.coalesce("__label", F.col(node))).drop("__label")
 
 
-def _width(t: Threshold, grade: Column) -> Column:
-    """At least as wide as distances differ of linked sets of which the larger is of that size class.
+def _between(still: DataFrame, t: Threshold) -> DataFrame:
+    """Pairs of nodes of one open list and of different groups that may be linked.
 
-    Distances of bitmaps obey the triangle inequality, and linked sets of n and m
-    members differ in (100 - percent) / (100 + percent) * (n + m) members at most.
+    If their first shared shingle is hot, neither has the other's rare ones, so
+    those count for no overlap.
     """
-    return F.lit(2 * (100 - t.percent) / (100 + t.percent)) * F.pow(F.lit(100 / t.percent), grade + 1) + 1
-
-
-def _between(still: DataFrame, leads: DataFrame, t: Threshold) -> DataFrame:
-    """Pairs of nodes of one open list and of different groups that sizes and bitmaps allow."""
-    far = still.alias("l").join(leads.alias("r"), F.col("l.token") == F.col("r.token")).select("l.*", _differing("l", "r").alias("far"))
     grade = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / t.percent)) + F.lit(1e-9)).cast("int")
-    graded = written(far.withColumn("grade", grade))
-    own = graded.withColumn("cell_grade", F.col("grade")).withColumn("cell", F.floor(F.col("far") / _width(t, F.col("grade"))).cast("int"))
-    up = graded.withColumn("cell_grade", F.explode(F.array(F.col("grade"), F.col("grade") + 1)))
-    near = F.floor(F.col("far") / _width(t, F.col("cell_grade"))).cast("int")
-    up = up.withColumn("cell", F.explode(F.array(near - 1, near, near + 1)))
-    l, r = own.alias("l"), up.alias("r")
-    once = (F.col("l.grade") > F.col("r.grade")) | ((F.col("l.grade") == F.col("r.grade")) & (F.col("l.node") < F.col("r.node")))
+    graded = written(still.withColumn("own", grade))
+    l, r = graded.withColumn("grade", F.col("own")).alias("l"), graded.withColumn("grade", F.explode(F.array("own", F.col("own") + 1))).alias("r")
+    n, m = F.col("l.n"), F.col("r.n")
+    rest = (100 + t.percent) * F.least(n - F.col("l.cold"), m - F.col("r.cold")) >= t.percent * (n + m)
+    once = (F.col("l.own") > F.col("r.own")) | ((F.col("l.own") == F.col("r.own")) & (F.col("l.node") < F.col("r.node")))
     # a pair that shares several open lists is met in the first of them only
     first_met = ~F.arrays_overlap("l.before", "r.before")
-    met = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.cell_grade") == F.col("r.cell_grade")) & (F.col("l.cell") == F.col("r.cell")) & once & (F.col("l.label") != F.col("r.label")) & _may_link("l", "r", t) & first_met)
+    met = l.join(r, (F.col("l.token") == F.col("r.token")) & (F.col("l.grade") == F.col("r.grade")) & once & (F.col("l.label") != F.col("r.label")) & rest & _may_link("l", "r", t) & first_met)
     return met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
 
 
@@ -392,7 +384,7 @@ def _grouped(docs: DataFrame, key: str, text: str, t: Threshold) -> DataFrame:
     # hot lists: the sets with the fewest rare shingles and with the least name lead
     leads = hot.groupBy("token").agg(F.min(F.struct("cold", "node")).alias("x"), F.min("node").alias("y"))
     # written, so that both sides of the joins on hot shingles can be split
-    leads = written(leads.select("token", F.explode(F.array_distinct(F.array("x.node", "y"))).alias("node"), (F.col("node") == F.col("y")).alias("main")).join(shape, "node"))
+    leads = written(leads.select("token", F.explode(F.array_distinct(F.array("x.node", "y"))).alias("node")).join(shape, "node"))
     gap = _differing("l", "r").alias("gap")
     ends = (F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"), gap)
     led = hot.alias("l").join(leads.alias("r"), F.col("l.token") == F.col("r.token")).filter(F.col("l.node") != F.col("r.node")).filter(_may_link("l", "r", t)).select(*ends)
@@ -410,7 +402,7 @@ def _grouped(docs: DataFrame, key: str, text: str, t: Threshold) -> DataFrame:
     held = still.groupBy("node").agg(F.collect_set("token").alias("tokens"))
     before = F.filter("tokens", lambda x: x < F.col("token"))
     wide = still.join(held, "node").withColumn("before", before).drop("tokens")
-    rest = written(rest.unionByName(_between(wide, leads.filter("main"), t)).distinct().join(first, ["a", "b"], "left_anti"))
+    rest = written(rest.unionByName(_between(wide, t)).distinct().join(first, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = written(links.unionByName(_verified(source, full, rest, t)))
         labels = written(components(links))
