@@ -1,13 +1,18 @@
 """Toxicity: votes of the nearest labelled examples by exact TF-IDF cosine.
 
-Examples are a bounded sample of the labelled rows (MAX_EXAMPLES of each class);
-terms are whole words and word beginnings, the MAX_TERMS that tell the classes
-apart best in the sample and the best one of each example that has none of them,
-and weighted by their document frequency in all documents.  The examples are held
-in an inverted index whose lists have block maxima: after the blocks with the
-largest upper bounds, all others that can still reach the k nearest are scored, so
-the neighbours are exact over these terms.  Votes weighted by closeness
-are calibrated on leave-one-out votes; neighbours are given as evidence.
+Examples are a bounded sample of the labelled rows (MAX_EXAMPLES of each class).
+Terms are all whole words and word beginnings of the examples' whole texts.  A
+term's weight is its frequency in the text times its inverse document frequency
+over all documents times its standing: FLOOR for every term, and more by how far the
+term tells the classes apart in the sample, as a few words make a long text toxic.
+No term is left out.
+
+The examples are held in an inverted index.  The lists of common terms are cut into
+blocks of examples with the largest weight of each: rare terms' lists, which are
+short, are read in full; the common ones' blocks are read where the bound from
+their maxima can still reach the k nearest, so the neighbours are exact.  Votes weighted by
+closeness and by what an example stands for are calibrated on leave-one-out votes;
+neighbours are given as evidence.
 """
 
 from __future__ import annotations
@@ -24,13 +29,18 @@ from pyspark.sql import types as T
 from orefold.llm._vec import Slice, Words, byte_codes, prefix61, separators, slices, span61
 from orefold.llm.shared import map_arrow
 
-#: Bounds of what is learned from: examples of each class, and terms (more only so that each example has one).
+#: Bound of what is learned from: examples of each class.
 MAX_EXAMPLES = 1500
-MAX_TERMS = 4096
 NEIGHBOURS = 15
+#: The standing of a term that does not tell the classes apart, where that of the best term is 1 more.
+FLOOR = 0.02
+#: Terms whose lists are kept in blocks, the most common ones; examples of a block.
+COMMON = 512
 BLOCK = 64
 #: Blocks that are scored before the others are held against the nearest so far.
 LEAD = 4
+#: Texts that are scored at once.
+CHUNK = 128
 #: Bytes of the word beginnings that are terms beside the words.
 BEGINNINGS = (4, 5, 6)
 #: Weight of the vote of documents without evidence.
@@ -46,8 +56,8 @@ def fold(key: Column) -> Column:
 
 def terms_of(s: Slice) -> tuple[np.ndarray, np.ndarray]:
     """Term hashes of a slice's words and their rows."""
-    w = Words(s, _SEPARATORS, _CODES)
     prefix = prefix61(_CODES[s.data])
+    w = Words(s, _SEPARATORS, _CODES, prefix)
     row = np.repeat(np.arange(s.n), np.diff(w.first))
     hashes, rows = [w.hashes], [row]
     for n in BEGINNINGS:
@@ -57,102 +67,143 @@ def terms_of(s: Slice) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(rows)
 
 
-def known_terms(s: Slice, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, term number and count of each known term of each row, in row order."""
-    none = np.zeros(0, np.int64)
-    if not len(terms):
-        return none, none, none
-    hashes, rows = terms_of(s)
-    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
-    hit = terms[at] == hashes
-    pairs, counts = np.unique(rows[hit] * len(terms) + at[hit], return_counts=True)
-    return pairs // len(terms), pairs % len(terms), counts
+class Vocabulary:
+    """Sorted term hashes, found through a table of their high bits."""
+
+    BITS = 20
+
+    def __init__(self, terms: np.ndarray) -> None:
+        self.terms = terms
+        high = (terms >> np.uint64(64 - self.BITS)).astype(np.int64)
+        self.first = np.searchsorted(high, np.arange((1 << self.BITS) + 1)).astype(np.int32)
+        self.depth = int(np.diff(self.first).max(initial=0))
+
+    def __len__(self) -> int:
+        return len(self.terms)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 if it is no term."""
+        out = np.full(len(hashes), -1, np.int32)
+        if not len(self.terms):
+            return out
+        at = self.first[(hashes >> np.uint64(64 - self.BITS)).astype(np.int64)]
+        for j in range(self.depth):
+            spot = np.minimum(at + j, len(self.terms) - 1)
+            out = np.where(self.terms[spot] == hashes, spot, out)
+        return out
+
+    def known(self, s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, term number and count of each known term of each row, in row order."""
+        hashes, rows = terms_of(s)
+        at = self.find(hashes)
+        hit = at >= 0
+        pairs, counts = np.unique(rows[hit] * len(self.terms) + at[hit], return_counts=True)
+        return pairs // max(1, len(self.terms)), pairs % max(1, len(self.terms)), counts
 
 
 @dataclass
 class Index:
-    """Inverted lists over examples, cut into blocks of BLOCK examples with the largest weight of each."""
+    """Inverted lists over examples; those of common terms in blocks of BLOCK examples, dense, with the largest weight of each."""
 
-    example_ids: list
-    labels: np.ndarray
-    start: np.ndarray  # (term, block) -> where its postings begin; one more column for the end
+    size: int
+    first: np.ndarray  # of each term's list
     posting: np.ndarray
     weight: np.ndarray
-    block_max: np.ndarray
+    common: np.ndarray  # a term's place among the common ones, or -1
+    dense: np.ndarray  # (common term, example, filled up to whole blocks)
+    block_max: np.ndarray  # (common term, block)
 
     @classmethod
-    def build(cls, ids: list, labels: np.ndarray, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int) -> "Index":
-        n_blocks = max(1, -(-len(ids) // BLOCK))
+    def build(cls, size: int, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, n_terms: int, most_common: int = COMMON) -> "Index":
+        n_blocks = max(1, -(-size // BLOCK))
+        held = np.bincount(terms, minlength=n_terms)
+        top = np.argsort(-held, kind="stable")[:most_common]
+        common = np.full(n_terms, -1, np.int32)
+        common[top] = np.arange(len(top))
+        dense = np.zeros((len(top), n_blocks * BLOCK), np.float32)
+        often = common[terms] >= 0
+        dense[common[terms[often]], rows[often]] = weights[often]
+        rows, terms, weights = rows[~often], terms[~often], weights[~often]
         order = np.lexsort((rows, terms))
-        rows, terms, weights = rows[order], terms[order], weights[order]
-        cell = terms * n_blocks + rows // BLOCK
-        edges = np.searchsorted(cell, np.arange(n_terms * n_blocks + 1))
-        start = np.empty((n_terms, n_blocks + 1), np.int64)
-        start[:, :-1] = edges[:-1].reshape(n_terms, n_blocks)
-        start[:, -1] = edges[n_blocks::n_blocks]
-        block_max = np.zeros((n_terms, n_blocks), np.float32)
-        np.maximum.at(block_max.reshape(-1), cell, weights)
-        return cls(ids, labels, start, rows, weights, block_max)
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples with the largest positive cosines, ties by position."""
-        bounds = weights @ self.block_max[terms]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        best = np.zeros(0, np.float64)
-        where = np.zeros(0, np.int64)
-        for blocks in (order[:LEAD], order[LEAD:]):
-            if len(best) == k:
-                blocks = blocks[bounds[blocks] >= best[-1] - 1e-6]
-            if not len(blocks):
-                break
-            scores = self._scores(terms, weights, blocks)
-            found = np.flatnonzero(scores > 0)
-            found = found[found != without]
-            best, where = np.concatenate([best, scores[found]]), np.concatenate([where, found])
-            keep = np.lexsort((where, -best))[:k]
-            best, where = best[keep], where[keep]
-        return where, best
-
-    def _scores(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-        """The cosines of all examples in the blocks, 0 elsewhere."""
-        lists = self.start[terms]
-        first = lists[:, blocks].ravel()
-        n = lists[:, blocks + 1].ravel() - first
-        weights = np.repeat(weights, len(blocks))
-        some = n > 0
-        first, n, weights = first[some], n[some], weights[some]
-        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-        return np.bincount(self.posting[at], np.repeat(weights, n) * self.weight[at], len(self.labels))
+        first = np.searchsorted(terms[order], np.arange(n_terms + 1)).astype(np.int32)
+        return cls(size, first, rows[order].astype(np.int32), weights[order].astype(np.float32), common, dense, dense.reshape(len(top), n_blocks, BLOCK).max(2))
+
+    def nearest(self, row: np.ndarray, terms: np.ndarray, weights: np.ndarray, n: int, k: int, without: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each of n texts the k examples with the largest positive cosines, ties by position; without leaves one out."""
+        width = self.dense.shape[1]
+        n_blocks = width // BLOCK
+        often = self.common[terms] >= 0
+        query = np.zeros((n, len(self.dense)), np.float32)
+        query[row[often], self.common[terms[often]]] = weights[often]
+        row, terms, weights = row[~often], terms[~often], weights[~often]
+        begin = self.first[terms]
+        m = (self.first[terms + 1] - begin).astype(np.int64)
+        at = np.repeat(begin - np.cumsum(m) + m, m) + np.arange(m.sum())
+        cells = np.repeat(row * width, m) + self.posting[at]
+        rare = np.bincount(cells, np.repeat(weights, m) * self.weight[at], n * width).astype(np.float32).reshape(n, n_blocks, BLOCK)
+        bound = rare.max(2) + query @ self.block_max
+        scores = np.full((n, n_blocks, BLOCK), -1, np.float32)
+        lead = min(LEAD, n_blocks)
+        todo = np.zeros((n, n_blocks), bool)
+        np.put_along_axis(todo, np.argpartition(-bound, lead - 1, axis=1)[:, :lead], True, axis=1)
+        done = np.zeros_like(todo)
+        flat = scores.reshape(n, width)
+        for _ in range(2):
+            for b in np.flatnonzero(todo.any(0)):
+                some = np.flatnonzero(todo[:, b])
+                scores[some, b] = rare[some, b] + query[some] @ self.dense[:, b * BLOCK : (b + 1) * BLOCK]
+            if without is not None:
+                flat[np.arange(n), without] = -1
+            done |= todo
+            least = np.partition(flat, width - k, axis=1)[:, width - k] if k < width else np.full(n, -1, np.float32)
+            todo = ~done & (bound > 0) & (bound >= least[:, None] - 1e-5)
+        out = []
+        for i in range(n):
+            where = np.flatnonzero((flat[i, : self.size] > 1e-7) & (flat[i, : self.size] >= least[i]))
+            where = where[np.lexsort((where, -flat[i, where]))][:k]
+            out.append((where, flat[i, where].astype(np.float64)))
+        return out
 
 
 @dataclass
 class Model:
-    terms: np.ndarray
-    idf: np.ndarray
+    vocabulary: Vocabulary
+    weight: np.ndarray  # of each term: inverse document frequency times standing
     index: Index | None
-    silent: float  # the share of label 1 among documents without known terms
+    silent: float  # the share of label 1
+    example_ids: list
+    labels: np.ndarray
+    stands_for: np.ndarray  # labelled rows for each example
     slope: float = 1.0
     shift: float = 0.0
 
-    def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        weights = (1 + np.log(counts)) * self.idf[terms]
-        return weights / max(1e-12, float(np.sqrt((weights * weights).sum())))
+    def vectors(self, row: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+        """Weights of the texts' terms, each text's of length 1."""
+        x = (1 + np.log(counts)) * self.weight[terms]
+        return x / np.maximum(1e-12, np.sqrt(np.bincount(row, x * x, n)))[row]
 
     def vote(self, where: np.ndarray, cosines: np.ndarray) -> float:
         """The log odds of the neighbours' labels, weighted by closeness, with the silent share as a weak vote."""
-        closeness = cosines * cosines
-        share = (float((closeness * self.index.labels[where]).sum()) + PRIOR_WEIGHT * self.silent) / (float(closeness.sum()) + PRIOR_WEIGHT)
+        closeness = cosines * cosines * self.stands_for[where]
+        share = (float((closeness * self.labels[where]).sum()) + PRIOR_WEIGHT * self.silent) / (float(closeness.sum()) + PRIOR_WEIGHT)
         share = min(max(share, 1e-4), 1 - 1e-4)
         return float(np.log(share / (1 - share)))
 
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        if self.index is None or not len(terms):
-            return self.silent, np.zeros(0, np.int64), np.zeros(0)
-        where, cosines = self.index.nearest(terms, self.vector(terms, counts), NEIGHBOURS)
+    def score(self, where: np.ndarray, cosines: np.ndarray) -> float:
         if not len(where):
-            return self.silent, where, cosines
-        return float(1 / (1 + np.exp(-(self.slope * self.vote(where, cosines) + self.shift)))), where, cosines
+            return self.silent
+        return float(1 / (1 + np.exp(-(self.slope * self.vote(where, cosines) + self.shift))))
+
+    def neighbours(self, row: np.ndarray, terms: np.ndarray, counts: np.ndarray, n: int, without: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Examples and cosines of each of n texts, given by row, term and count in row order."""
+        x = self.vectors(row, terms, counts, n) if n else None
+        for first in range(0, n, CHUNK):
+            m = min(CHUNK, n - first)
+            a, b = np.searchsorted(row, [first, first + m])
+            if self.index is None:
+                yield from [(np.zeros(0, np.int64), np.zeros(0))] * m
+            else:
+                yield from self.index.nearest(row[a:b] - first, terms[a:b], x[a:b], m, NEIGHBOURS, None if without is None else without[first : first + m])
 
 
 def _calibrate(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
@@ -188,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(totals.get(y, 0) for y in (0, 1))
     share = totals.get(1, 0) / total if total else 0.0
-    empty = Model(np.zeros(0, np.uint64), np.zeros(0), None, share)
+    empty = Model(Vocabulary(np.zeros(0, np.uint64)), np.zeros(0), None, share, [], np.zeros(0), np.zeros(0))
     if not totals.get(0) or not totals.get(1):
         return empty
 
@@ -225,62 +276,46 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     n = n_pos + n_neg
     a, b, c, d = pos, neg, n_pos - pos, n_neg - neg
     chi2 = n * (a * d - b * c) ** 2 / np.maximum(1e-9, (a + b) * (c + d) * n_pos * n_neg)
-    taken = np.zeros(len(names), bool)
-    taken[np.argsort(-chi2, kind="stable")[:MAX_TERMS]] = True
+    if not len(names):
+        return empty
+    vocabulary = Vocabulary(names)
+    standing = FLOOR + np.sqrt(chi2 / max(1e-9, float(chi2.max())))
+    weight_of = np.array([totals[0] / n_neg, totals[1] / n_pos])
+    model = Model(vocabulary, _idf(docs, text, vocabulary) * standing, None, share, [], np.zeros(0), np.zeros(0))
+    # examples with the same strongest term stand together, so block maxima are sharp; those without terms have no place
     edges = np.concatenate([[0], np.cumsum([len(x) for x in own])])
-    for a, b in zip(edges, edges[1:]):
-        at = inverse[a:b]
-        if len(at) and not taken[at].any():
-            taken[at[np.argmax(chi2[at])]] = True
-    terms = names[taken]
-    model = Model(terms, np.zeros(len(terms)), None, share)
-    if not len(terms):
-        return model
-    model.idf = _idf(docs, text, terms)
-    weight_of = np.array([totals[0] / n_neg, totals[1] / n_pos])  # of an example, in labelled rows
-    vectors, silent = [], []
-    for i, (u, m) in enumerate(zip(own, counts)):
-        at = np.minimum(np.searchsorted(terms, u), len(terms) - 1)
-        hit = terms[at] == u
-        if hit.any():
-            vectors.append((i, at[hit], model.vector(at[hit], m[hit])))
-        else:
-            silent.append(i)
-    mass = weight_of[y[silent]] if silent else np.zeros(0)
-    model.silent = float((mass * y[silent]).sum() + share) / float(mass.sum() + 1) if silent else share
-    # examples with the same strongest term stand together, so block maxima are sharp
-    vectors.sort(key=lambda v: (int(v[1][np.argmax(v[2])]), v[0]))
-    if not vectors:
-        return model
-    ids = [rows[v[0]]["k"] for v in vectors]
-    labels_of = y[[v[0] for v in vectors]].astype(np.float64)
-    where = np.repeat(np.arange(len(vectors)), [len(v[1]) for v in vectors])
-    model.index = Index.build(ids, labels_of, where, np.concatenate([v[1] for v in vectors]), np.concatenate([v[2] for v in vectors]), len(terms))
-    votes = []
-    for i, (_, t, w) in enumerate(vectors):
-        votes.append(model.vote(*model.index.nearest(t, w, NEIGHBOURS, without=i)))
-    model.slope, model.shift = _calibrate(np.array(votes), labels_of, weight_of[labels_of.astype(int)])
+    spoken = [i for i in range(len(rows)) if len(own[i])]
+    strongest = {i: int(inverse[edges[i] + np.argmax((1 + np.log(counts[i])) * model.weight[inverse[edges[i] : edges[i + 1]]])]) for i in spoken}
+    spoken.sort(key=lambda i: (strongest[i], i))
+    model.example_ids, model.labels = [rows[i]["k"] for i in spoken], y[spoken].astype(np.float64)
+    model.stands_for = weight_of[y[spoken]]
+    sizes = [len(own[i]) for i in spoken]
+    row, terms, m = np.repeat(np.arange(len(spoken)), sizes), np.concatenate([inverse[edges[i] : edges[i + 1]] for i in spoken]), np.concatenate([counts[i] for i in spoken])
+    model.index = Index.build(len(spoken), row, terms, model.vectors(row, terms, m, len(spoken)), len(names))
+    votes = [model.vote(*found) for found in model.neighbours(row, terms, m, len(spoken), without=np.arange(len(spoken)))]
+    model.slope, model.shift = _calibrate(np.array(votes), model.labels, model.stands_for)
     return model
 
 
-def _idf(docs: DataFrame, text: str, terms: np.ndarray) -> np.ndarray:
+def _idf(docs: DataFrame, text: str, vocabulary: Vocabulary) -> np.ndarray:
     """Inverse document frequencies of the terms over all documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, n = np.zeros(len(terms) + 1, np.int64), 0
+        words = shared.value
+        found, n = np.zeros(len(words) + 1, np.int64), 0
         for batch in batches:
             for s in slices(batch.column(0)):
-                found[:-1] += np.bincount(known_terms(s, terms)[1], minlength=len(terms))
+                found[:-1] += np.bincount(words.known(s)[1], minlength=len(words))
                 n += s.n
         found[-1] = n
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(found[some], pa.int64())], names=["term", "n"])
 
     # as many rows to the driver as there are terms
-    rows = map_arrow(docs.select(text), count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    df = np.zeros(len(terms) + 1)
-    for r in rows:
-        df[r["term"]] = r["n"]
+    found = map_arrow(docs.select(text), count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(len(vocabulary) + 1)
+    df[found["term"].to_numpy()] = found["n"].to_numpy()
     return np.log((1 + df[-1]) / (1 + df[:-1])) + 1
 
 
@@ -294,20 +329,21 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     label 1 among such examples, and no evidence.
     """
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("evidence", EVIDENCE)])
-    names = [str(x) for x in model.index.example_ids] if model.index else []
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("example", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        names = pa.array([str(x) for x in model.example_ids], pa.string())
+        labels = pa.array(model.labels.astype(np.int32))
         for batch in batches:
             for s in slices(batch.column(text)):
-                rows, terms, counts = known_terms(s, model.terms)
-                edges = np.searchsorted(rows, np.arange(s.n + 1))
-                scores, evidence = [], []
-                for a, b in zip(edges.tolist(), edges[1:].tolist()):
-                    value, where, cosines = model.score(terms[a:b], counts[a:b])
-                    scores.append(min(max(value, 0.0), 1.0))
-                    evidence.append([{"example": names[i], "cosine": float(c), "label": int(model.index.labels[i])} for i, c in zip(where.tolist(), cosines)])
-                scores = np.array(scores)
-                yield pa.RecordBatch.from_arrays([batch.column(key).slice(s.first, s.n), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)), pa.array(evidence, kind)], names=schema.names)
+                found = list(model.neighbours(*model.vocabulary.known(s), s.n))
+                scores = np.array([min(max(model.score(*x), 0.0), 1.0) for x in found])
+                where = np.concatenate([x[0] for x in found]) if found else np.zeros(0, np.int64)
+                offsets = np.concatenate([[0], np.cumsum([len(x[0]) for x in found])]).astype(np.int32)
+                cosines = np.concatenate([x[1] for x in found]) if found else np.zeros(0)
+                each = pa.StructArray.from_arrays([names.take(pa.array(where)), pa.array(cosines, pa.float64()), labels.take(pa.array(where))], fields=list(kind.value_type))
+                yield pa.RecordBatch.from_arrays([batch.column(key).slice(s.first, s.n), pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), each)], names=schema.names)
 
     return map_arrow(docs.select(key, text), run, schema)
