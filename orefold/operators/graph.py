@@ -16,6 +16,15 @@ KILL_CHAIN = ("reconnaissance", "resource-development", "initial-access", "execu
 INDEXED_TYPES = ("intrusion-set", "attack-pattern", "malware", "tool", "campaign", "course-of-action", "x-mitre-data-source", "x-mitre-data-component")
 
 
+#: Ids that a join may broadcast; more are shuffled.
+FEW_IDS = 200_000
+
+
+def sized(ids: DataFrame, most: int = FEW_IDS) -> DataFrame:
+    """ids, to be broadcast if they are counted to be few."""
+    return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids
+
+
 def phase_order(phase: Column) -> Column:
     """The place of a phase in the chain; 99 for any other."""
     at = F.array_position(F.array(*map(F.lit, KILL_CHAIN)), phase)
@@ -111,34 +120,37 @@ class Graph:
             at = at.join(hop, "stix_id").select("start", F.col("other_id").alias("stix_id")).distinct()
         return at
 
-    def _undirected(self) -> DataFrame:
-        """a, b for both directions of each edge, vulnerabilities not entered."""
-        e = self.edges.select(F.col("src").alias("a"), F.col("dst").alias("b"))
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        return both.join(self.of_type("vulnerability").select(F.col("stix_id").alias("b")), "b", "left_anti").select("a", "b")
+    def stored(self, folder: str) -> "Graph":
+        """The graph written below a folder and loaded again, for several passes over it."""
+        spark = self.nodes.sparkSession
+        self.nodes.write.parquet(f"{folder}/nodes")
+        self.edges.write.parquet(f"{folder}/edges")
+        return type(self).load(spark, folder)
 
     def reach(self, start: str, depth: int) -> DataFrame:
-        """stix_id and depth of the nodes within depth undirected hops, depth the least over all paths.
+        """stix_id and depth of the nodes within depth undirected hops, depth the least over all paths; vulnerabilities are not entered.
 
-        Each hop joins the frontier with the edges and drops what was seen.
+        Each hop reads the edges that touch the frontier, from either end, and drops what was seen.
         """
-        hop = self._undirected().distinct().persist()
+        closed = self.of_type("vulnerability").select("stix_id")
         seen = self.nodes.where(F.col("stix_id") == start).select("stix_id", F.lit(0).alias("depth"))
         frontier = seen
         for d in range(1, depth + 1):
-            step = frontier.select(F.col("stix_id").alias("a")).join(hop, "a").select(F.col("b").alias("stix_id")).distinct()
+            at = sized(frontier.select("stix_id"))
+            ends = [self.edges.join(at, F.col(own) == F.col("stix_id"), "left_semi").select(F.col(other).alias("stix_id")) for own, other in (("src", "dst"), ("dst", "src"))]
+            step = ends[0].unionByName(ends[1]).distinct().join(closed, "stix_id", "left_anti")
             frontier = step.join(seen, "stix_id", "left_anti").withColumn("depth", F.lit(d)).persist()
             seen = seen.unionByName(frontier)
-        return seen.join(self.nodes.select("stix_id"), "stix_id", "left_semi").persist()
+        return seen.join(self.nodes.select("stix_id"), "stix_id", "left_semi")
 
     def subgraph(self, start: str, depth: int = 2, parity: bool = False) -> tuple[DataFrame, DataFrame]:
         """Nodes with depth, and the edges met on the way; with parity an edge counts once for each of its ends that was expanded."""
-        near = self.reach(start, depth)
-        expanded = near.where(F.col("depth") < depth).select("stix_id")
-        no_vulnerability = self.of_type("vulnerability").select("stix_id")
+        near = self.reach(start, depth).persist()
+        expanded = sized(near.where(F.col("depth") < depth).select("stix_id"))
+        closed = self.of_type("vulnerability").select("stix_id")
         ends = []
         for own, other in (("src", "dst"), ("dst", "src")):
-            e = self.edges.join(expanded, F.col(own) == F.col("stix_id"), "left_semi").join(no_vulnerability, F.col(other) == F.col("stix_id"), "left_anti")
+            e = self.edges.join(expanded, F.col(own) == F.col("stix_id"), "left_semi").join(closed, F.col(other) == F.col("stix_id"), "left_anti")
             ends.append(e.select("src", "dst", "rel_type"))
         edges = ends[0].unionByName(ends[1])
         if not parity:
@@ -158,7 +170,7 @@ class Graph:
         edges = edges.persist()
         ranked = nodes.join(self.degrees(edges), "stix_id", "left").fillna(0, ["degree"])
         order = [(F.col("stix_id") == start).desc(), F.col("depth"), F.col("degree").desc(), F.col("stix_id")]
-        kept = ranked.orderBy(*order).limit(most).drop("degree")
+        kept = ranked.orderBy(*order).limit(most).drop("degree").persist()
         ids = kept.select("stix_id")
         inner = edges.join(F.broadcast(ids), F.col("src") == F.col("stix_id"), "left_semi").join(F.broadcast(ids), F.col("dst") == F.col("stix_id"), "left_semi")
         return kept.join(self.degrees(inner), "stix_id", "left").fillna(0, ["degree"]), inner

@@ -9,6 +9,7 @@ from orefold.operators import graph, linking
 from orefold.operators.graph import KILL_CHAIN, Graph
 from orefold.plans.text_queries import META_SQL, meta
 from orefold.plans.views import VIEWS, view
+from orefold.sources.landing import new_folder
 
 Q, SQL = {}, {}
 _CHAIN = "[" + ", ".join(f"'{p}'" for p in KILL_CHAIN) + "]"
@@ -47,13 +48,21 @@ def records_with_ids(spark: SparkSession, d: str) -> DataFrame:
     return meta(spark, d)
 
 
-def all_nodes(spark: SparkSession, d: str) -> DataFrame:
+def all_nodes(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
     """Graph nodes and the vulnerabilities that records name."""
     g = load(spark, d)
-    v = linking.vulnerability_nodes(records_with_ids(spark, d).withColumn("quality_score", F.lit(None).cast("double")))
+    rows = records_with_ids(spark, d) if rows is None else rows
+    v = linking.vulnerability_nodes(rows.withColumn("quality_score", F.lit(None).cast("double")))
     return g.nodes.unionByName(v.select("stix_id", "type", "name"), allowMissingColumns=True)
 
 
+def linked(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Records, nodes and links; records' metadata and nodes are made once."""
+    rows = records_with_ids(spark, d).persist()
+    nodes = all_nodes(spark, d, rows).persist()
+    return rows, nodes, linking.link(rows, nodes)
+
+
 @add("G01_name_index", "SELECT key, max(stix_id) AS stix_id FROM (SELECT lower(unnest([name] || aliases)) AS key, stix_id FROM n) GROUP BY key")
 def _(spark, d):
     return load(spark, d).name_index()
@@ -119,12 +128,12 @@ r AS (SELECT stix_id, min(depth) AS depth FROM (SELECT stix_id, 0 AS depth FROM
 
 @add("G06_reach", ", " + _REACH + "SELECT stix_id, depth FROM r")
 def _(spark, d):
-    return load(spark, d).reach(START, 2)
+    return load(spark, d).stored(new_folder(spark)).reach(START, 2)
 
 
 @add("G06_subgraph_edges", ", " + _REACH + "SELECT DISTINCT src, dst, rel_type FROM e WHERE src IN (SELECT stix_id FROM r WHERE depth < 2) OR dst IN (SELECT stix_id FROM r WHERE depth < 2)")
 def _(spark, d):
-    return load(spark, d).subgraph(START, 2)[1]
+    return load(spark, d).stored(new_folder(spark)).subgraph(START, 2)[1]
 
 
 _PRUNED = _REACH + ", se AS (SELECT DISTINCT src, dst, rel_type FROM e WHERE src IN (SELECT stix_id FROM r WHERE depth < 2) OR dst IN (SELECT stix_id FROM r WHERE depth < 2)), dg AS (SELECT stix_id, count(*) AS degree FROM (SELECT src AS stix_id FROM se UNION ALL SELECT dst FROM se) GROUP BY 1), k AS (SELECT r.stix_id, depth FROM r LEFT JOIN dg USING (stix_id) ORDER BY r.stix_id = '" + START + "' DESC, depth, coalesce(degree, 0) DESC, r.stix_id LIMIT 50), ke AS (SELECT * FROM se WHERE src IN (SELECT stix_id FROM k) AND dst IN (SELECT stix_id FROM k)), kd AS (SELECT stix_id, count(*) AS degree FROM (SELECT src AS stix_id FROM ke UNION ALL SELECT dst FROM ke) GROUP BY 1) "
@@ -132,12 +141,12 @@ _PRUNED = _REACH + ", se AS (SELECT DISTINCT src, dst, rel_type FROM e WHERE src
 
 @add("G07_W11_A16_pruned_subgraph", ", " + _PRUNED + "SELECT k.stix_id, depth, coalesce(degree, 0) AS degree FROM k LEFT JOIN kd USING (stix_id)")
 def _(spark, d):
-    return load(spark, d).pruned_subgraph(START, 2, 50)[0].select("stix_id", "depth", "degree")
+    return load(spark, d).stored(new_folder(spark)).pruned_subgraph(START, 2, 50)[0].select("stix_id", "depth", "degree")
 
 
 @add("A35_subgraph_histogram", ", " + _REACH + "SELECT type, count(*) AS n FROM r JOIN n USING (stix_id) GROUP BY type")
 def _(spark, d):
-    return load(spark, d).subgraph(START, 2)[0].groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+    return load(spark, d).stored(new_folder(spark)).subgraph(START, 2)[0].groupBy("type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @add("G09_F47_O07_search", "SELECT stix_id, type, name, score FROM (SELECT stix_id, CASE WHEN max(CAST(key = 'group 1' AS INT)) = 1 THEN 100 ELSE max(CASE WHEN starts_with(key, 'group 1') THEN 80 ELSE 50 END + greatest(0, 30 - length(key))) END AS score FROM (SELECT key, max(stix_id) AS stix_id FROM (SELECT lower(unnest([name] || aliases)) AS key, stix_id FROM n) GROUP BY key) WHERE contains(key, 'group 1') GROUP BY stix_id) JOIN n USING (stix_id) ORDER BY score DESC, stix_id LIMIT 20")
@@ -255,27 +264,25 @@ def _(spark, d):
 
 @add("J05_J07_J10_J11_J12_K05_links", "SELECT stix_id, record_id, link_type, CAST(confidence AS DOUBLE) AS confidence, strategy FROM ln", _LINK_HEAD)
 def _(spark, d):
-    return linking.link(records_with_ids(spark, d), all_nodes(spark, d))
+    return linked(spark, d)[2]
 
 
 @add("J01_records_of_objects", "SELECT ln.stix_id, r.id, r.domain, link_type FROM ln JOIN r ON r.id = ln.record_id", _LINK_HEAD)
 def _(spark, d):
-    rows = records_with_ids(spark, d)
-    found = linking.link(rows, all_nodes(spark, d))
+    rows, _, found = linked(spark, d)
     return found.join(rows.select(F.col("id").alias("record_id"), "domain"), "record_id").select("stix_id", F.col("record_id").alias("id"), "domain", "link_type")
 
 
 @add("J02_objects_of_records", "SELECT record_id, stix_id, o.type, o.name, link_type, CAST(confidence AS DOUBLE) AS confidence FROM ln JOIN (SELECT stix_id, type, name FROM n UNION ALL SELECT stix_id, 'vulnerability', name FROM vn) o USING (stix_id)", _LINK_HEAD)
 def _(spark, d):
-    nodes = all_nodes(spark, d)
-    found = linking.link(records_with_ids(spark, d), nodes)
+    _, nodes, found = linked(spark, d)
     return found.join(nodes.select("stix_id", "type", "name"), "stix_id").select("record_id", "stix_id", "type", "name", "link_type", "confidence")
 
 
 @add("J03_A03_U03_merged_stats", "SELECT name, coalesce(max(n) FILTER (WHERE k = 'o'), 0) AS object_count, coalesce(max(n) FILTER (WHERE k = 'r'), 0) AS relationship_count, coalesce(max(n) FILTER (WHERE k = 'l'), 0) AS link_count FROM (SELECT 'o' AS k, type AS name, count(*) AS n FROM (SELECT type FROM n UNION ALL SELECT 'vulnerability' FROM vn) GROUP BY 2 UNION ALL SELECT 'r', rel_type, count(*) FROM e GROUP BY 2 UNION ALL SELECT 'l', CASE WHEN stix_id LIKE 'vuln%' THEN 'vulnerability' ELSE split_part(stix_id, '--', 1) END, count(*) FROM ln GROUP BY 2) GROUP BY name", _LINK_HEAD)
 def _(spark, d):
-    nodes = all_nodes(spark, d)
-    return Graph(nodes, load(spark, d).edges).merged_stats(linking.link(records_with_ids(spark, d), nodes))
+    _, nodes, found = linked(spark, d)
+    return Graph(nodes, load(spark, d).edges).merged_stats(found)
 
 
 _DOCS = "SELECT doc_id, ' ' || text || ' ' || CASE WHEN doc_id % 3 = 0 THEN 'by GROUP ' || CAST(doc_id % 40 AS VARCHAR(10)) ELSE 'subgroup ' || CAST(doc_id AS VARCHAR(10)) END || '. And Group ' || CAST(doc_id AS VARCHAR(10)) || '. It ran supplier#' || lpad(CAST(doc_id % 400 AS VARCHAR(10)), 9, '0') || '.' AS t FROM documents"
@@ -327,7 +334,7 @@ def _(spark, d):
 
 @add("J29_three_hops", ", c AS (SELECT DISTINCT ln.stix_id AS cve, l2.stix_id AS tech FROM ln JOIN ln l2 USING (record_id) WHERE ln.stix_id LIKE 'vuln%' AND l2.stix_id LIKE 'attack%') SELECT DISTINCT cve, actor FROM c JOIN ut USING (tech)", _LINK_HEAD)
 def _(spark, d):
-    found = linking.link(records_with_ids(spark, d), all_nodes(spark, d))
+    found = linked(spark, d)[2].persist()
     cves = found.where("stix_id LIKE 'vuln%'").select("record_id", F.col("stix_id").alias("cve"))
     techs = found.where("stix_id LIKE 'attack%'").select("record_id", F.col("stix_id").alias("tech"))
     actors = load(spark, d).technique_actors().select(F.col("stix_id").alias("tech"), F.col("other_id").alias("actor"))
