@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm.shared import written
+from orefold.llm.shared import dropped, written
 
 
 def _large(e: DataFrame) -> DataFrame:
@@ -35,6 +35,7 @@ def components(links: DataFrame) -> DataFrame:
     """node and label, the least node of its component, for all nodes of links (a, b); both long."""
     e = written(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while not _is_star(e):
-        e = written(_small(_large(e)))
+        before, e = e, written(_small(_large(e)))
+        dropped(before)
     labels = e.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())

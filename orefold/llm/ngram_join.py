@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from orefold.llm._vec import Slice, Words, byte_codes, gram_hashes, mix64, separators, slices, span61
 from orefold.llm.components import components
-from orefold.llm.shared import map_arrow, partitions, written
+from orefold.llm.shared import dropped, map_arrow, partitions, written
 
 WIDTH = 5
 PERCENT = 75
@@ -317,7 +317,7 @@ def _may_link(left: str, right: str, t: Threshold) -> Column:
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
-    """The pairs (a, b) whose sets are linked; sets are read from one document of each node."""
+    """The pairs (a, b) whose sets are linked, written; sets are read from one document of each node."""
     needed = written(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
     keys = written(nodes.join(needed, "node").groupBy("node").agg(F.min("key").alias("key")).select("key"))
     small = keys.count() * 16 <= IDS_BYTES
@@ -342,7 +342,9 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, t: Threshold)
 
     members = map_arrow(chosen, read, "node long, members binary")
     joined = pairs.join(members.select(F.col("node").alias("a"), F.col("members").alias("x")), "a").join(members.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
-    return map_arrow(joined.select("a", "b", "x", "y"), compare, "a long, b long").distinct()
+    out = written(map_arrow(joined.select("a", "b", "x", "y"), compare, "a long, b long").distinct())
+    dropped(needed, keys)
+    return out
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> DataFrame:
@@ -350,14 +352,12 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, label: str) -> Data
     return rows.join(own, node, "left").withColumn(label, F.coalesce("__label", F.col(node))).drop("__label")
 
 
-def _between(still: DataFrame, t: Threshold) -> DataFrame:
+def _between(graded: DataFrame, t: Threshold) -> DataFrame:
     """Pairs of nodes of one open list and of different groups that may be linked.
 
     If their first shared shingle is hot, neither has the other's rare ones, so
     those count for no overlap.
     """
-    grade = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / t.percent)) + F.lit(1e-9)).cast("int")
-    graded = written(still.withColumn("own", grade))
     l, r = graded.withColumn("grade", F.col("own")).alias("l"), graded.withColumn("grade", F.explode(F.array("own", F.col("own") + 1))).alias("r")
     n, m = F.col("l.n"), F.col("r.n")
     rest = (100 + t.percent) * F.least(n - F.col("l.cold"), m - F.col("r.cold")) >= t.percent * (n + m)
@@ -391,9 +391,10 @@ def _grouped(docs: DataFrame, key: str, text: str, t: Threshold) -> DataFrame:
     cold = _cold_pairs(entries, t, n_parts).distinct()
     cold = cold.join(shape.alias("l"), F.col("a") == F.col("l.node")).join(shape.alias("r"), F.col("b") == F.col("r.node")).filter(_may_link("l", "r", t)).select(*ends)
     pairs = written(cold.unionByName(led).distinct())
+    dropped(entries, leads)
     # first each set with the most similar partner of those named before it, then whatever lies between the groups found
     first = written(pairs.groupBy("b").agg(F.min(F.struct("gap", "a")).alias("best")).select("best.a", "b"))
-    links = written(_verified(source, full, first, t))
+    links = _verified(source, full, first, t)
     labels = written(components(links))
     rest = _labelled(_labelled(pairs.select("a", "b"), labels, "a", "la"), labels, "b", "lb").filter("la <> lb").select("a", "b")
     split = _labelled(hot, labels, "node", "label")
@@ -401,11 +402,12 @@ def _grouped(docs: DataFrame, key: str, text: str, t: Threshold) -> DataFrame:
     still = written(split.join(open_lists, "token"))
     held = still.groupBy("node").agg(F.collect_set("token").alias("tokens"))
     before = F.filter("tokens", lambda x: x < F.col("token"))
-    wide = still.join(held, "node").withColumn("before", before).drop("tokens")
+    grade = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / t.percent)) + F.lit(1e-9)).cast("int")
+    wide = written(still.join(held, "node").withColumn("before", before).withColumn("own", grade).drop("tokens"))
     rest = written(rest.unionByName(_between(wide, t)).distinct().join(first, ["a", "b"], "left_anti"))
+    dropped(hot, open_lists, still, wide, pairs, first)
     if not rest.isEmpty():
-        links = written(links.unionByName(_verified(source, full, rest, t)))
-        labels = written(components(links))
+        labels = written(components(links.unionByName(_verified(source, full, rest, t))))
     named = _labelled(least.select("node", "key"), labels, "node", "label")
     best = named.groupBy("label").agg(F.min("key").alias("component_id"))
     of_node = written(named.join(best, "label").select("node", "component_id"))

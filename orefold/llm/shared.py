@@ -35,6 +35,11 @@ BATCH_ROWS = 2000
 
 
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """df.mapInArrow in batches that a worker can hold.
+
+    The batch size is a setting of the session, read when the plan runs; where
+    the session still has the default, it is set for good, as there is none for one query.
+    """
     ship(df.sparkSession)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if df.sparkSession.conf.get(name) == "10000":
@@ -72,7 +77,17 @@ def written(df: DataFrame) -> DataFrame:
     """df written as Parquet to the shared folder and read back: cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/orefold-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes written tables; all that was made of them must be written itself, as it could not be made again."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
