@@ -35,12 +35,12 @@ NEIGHBOURS = 15
 #: The standing of a term that does not tell the classes apart, where that of the best term is 1 more.
 FLOOR = 0.02
 #: Terms whose lists are kept in blocks, the most common ones; examples of a block.
-COMMON = 512
+COMMON = 1024
 BLOCK = 64
 #: Blocks that are scored before the others are held against the nearest so far.
 LEAD = 4
 #: Texts that are scored at once.
-CHUNK = 128
+CHUNK = 16
 #: Bytes of the word beginnings that are terms beside the words.
 BEGINNINGS = (4, 5, 6)
 #: Weight of the vote of documents without evidence.
@@ -70,7 +70,7 @@ def terms_of(s: Slice) -> tuple[np.ndarray, np.ndarray]:
 class Vocabulary:
     """Sorted term hashes, found through a table of their high bits."""
 
-    BITS = 20
+    BITS = 21
 
     def __init__(self, terms: np.ndarray) -> None:
         self.terms = terms
