@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orefold.llm.shared import map_arrow
+from orefold.llm.shared import free, map_arrow
 
 #: Bound of what is learned from: texts of each language.
 MAX_TEXTS = 800
@@ -136,15 +136,26 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     # a hash threshold for each language keeps about most rows of it, wherever they are
     share = docs.sparkSession.createDataFrame([(r["l"], min(1.0, 1.2 * most / r["n"])) for r in totals], "l string, share double")
     drawn = (F.shiftrightunsigned("h", 11).cast("double") / float(1 << 53)) < F.col("share")
-    rows = known.join(F.broadcast(share), "l").filter(drawn).select("l", "t", "h").orderBy("h", "t").limit(2 * most * len(languages)).collect()
+    drawn_rows = known.join(F.broadcast(share), "l").filter(drawn).select("l", "t", "h").orderBy("h", "t").limit(2 * most * len(languages))
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [counts_of(x.as_py()) for x in batch.column("t")]
+            kept = pa.array([x is not None for x in own])
+            own = [x for x in own if x is not None]
+            part = batch.select(["l", "h"]).filter(kept)
+            packed = [pa.array([np.asarray(x[j], np.int32).tobytes() for x in own], pa.binary()) for j in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *packed], names=["l", "h", "found", "counts"])
+
+    # features come to the driver, not texts; equal hashes are ordered by what was found
+    rows = map_arrow(drawn_rows, features, "l string, h long, found binary, counts binary").collect()
     number = {x: i for i, x in enumerate(languages)}
     taken: dict[str, int] = {}
     raw = []
-    for r in rows:
-        features = counts_of(r["t"])
-        if features is not None and taken.setdefault(r["l"], 0) < most:
+    for r in sorted(rows, key=lambda r: (r["h"], bytes(r["found"]), bytes(r["counts"]))):
+        if taken.setdefault(r["l"], 0) < most:
             taken[r["l"]] += 1
-            raw.append((*features, number[r["l"]]))
+            raw.append((np.frombuffer(r["found"], np.int32).astype(np.int64), np.frombuffer(r["counts"], np.int32).astype(np.int64), number[r["l"]]))
     if not raw:
         return empty
     model = Model(languages, _idf(docs, text), np.zeros((ORDERS * BUCKETS, len(languages))), np.zeros(len(languages)))
@@ -206,7 +217,13 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 
 
 def keep_known(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", least: float = 0.5) -> DataFrame:
-    """The rows of docs, with their columns, whose language is told with a probability of least or more."""
-    columns = docs.columns
-    judged = predict(docs, fit(docs, key, text, lang), key, text, "__lang_pred", "__score")
-    return judged.filter((F.col("__lang_pred") != UNKNOWN) & (F.col("__score") >= least)).select(*columns)
+    """The rows of docs, with their columns, whose language is told with a probability of least or more.
+
+    Where no row has a language to learn from, none can be told, and all rows with a letter stay.
+    """
+    columns, model = docs.columns, fit(docs, key, text, lang)
+    if not model.languages:
+        return docs.filter(F.col(text).rlike(r"\p{L}"))
+    found, score = free(docs, "__lang_pred"), free(docs, "__score")
+    judged = predict(docs, model, key, text, found, score)
+    return judged.filter((F.col(found) != UNKNOWN) & (F.col(score) >= least)).select(*columns)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm.shared import written
+from orefold.llm.shared import free, written
 
 MIN_SITES = 5
 #: log2 of a sketch's registers; the relative standard error is about 1.04 / 2**(k / 2).
@@ -59,29 +59,30 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", site:
     they may repeat.  Columns of docs other than text stay as they are; n_lines
     and n_removed replace columns of these names.
     """
-    lines = lines_of(docs, key, text, site)
+    lines = written(lines_of(docs, key, text, site))  # read four times
     spread = written(spread_lines(lines, min_sites).select("line_key"))
     hits = lines.join(spread, "line_key").select("line_key", "key", "line_no")
     firsts = hits.groupBy("line_key").agg(F.min(F.struct("key", "line_no")).alias("first"))
+    own, listed, kept = (free(docs, x) for x in ("__key", "__drops", "__kept"))
     drops = (
         hits.select("line_key", "key")
         .distinct()
         .join(firsts, "line_key")
         .withColumn("stays", F.when(F.col("first.key") == F.col("key"), F.col("first.line_no")).otherwise(-1))
         .groupBy("key")
-        .agg(F.collect_list(F.struct("line_key", "stays")).alias("__drops"))
-        .select(F.col("key").alias("__key"), "__drops")
+        .agg(F.collect_list(F.struct("line_key", "stays")).alias(listed))
+        .select(F.col("key").alias(own), listed)
     )
     numbered = F.transform(F.split(F.col(text), "\n"), lambda x, i: F.struct(x.alias("line"), i.alias("no"), line_key(x).alias("k")))
-    gone = lambda x: F.exists(F.col("__drops"), lambda d: (d["line_key"] == x["k"]) & (d["stays"] != x["no"]))
-    kept = F.filter(numbered, lambda x: x["k"].isNull() | ~gone(x))
+    gone = lambda x: F.exists(F.col(listed), lambda d: (d["line_key"] == x["k"]) & (d["stays"] != x["no"]))
+    rest = F.filter(numbered, lambda x: x["k"].isNull() | ~gone(x))
     n_lines = F.coalesce(F.size(F.split(F.col(text), "\n")), F.lit(0))
-    joined = docs.join(drops, F.col(key).eqNullSafe(F.col("__key")), "left")
-    judged = joined.withColumn("__kept", F.when(F.col("__drops").isNotNull(), kept))
+    joined = docs.join(drops, F.col(key).eqNullSafe(F.col(own)), "left")
+    judged = joined.withColumn(kept, F.when(F.col(listed).isNotNull(), rest))
     return judged.withColumns(
         {
             "n_lines": n_lines,
-            "n_removed": F.when(F.col("__kept").isNull(), 0).otherwise(n_lines - F.size("__kept")),
-            text: F.when(F.col("__kept").isNull(), F.col(text)).otherwise(F.array_join(F.transform("__kept", lambda x: x["line"]), "\n")),
+            "n_removed": F.when(F.col(kept).isNull(), 0).otherwise(n_lines - F.size(kept)),
+            text: F.when(F.col(kept).isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda x: x["line"]), "\n")),
         }
-    ).drop("__key", "__drops", "__kept")
+    ).drop(own, listed, kept)

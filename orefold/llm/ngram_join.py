@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from orefold.llm._vec import Slice, Words, byte_codes, gram_hashes, mix64, separators, slices, span61
 from orefold.llm.components import components
-from orefold.llm.shared import dropped, map_arrow, partitions, written
+from orefold.llm.shared import dropped, free, map_arrow, partitions, written
 
 WIDTH = 5
 PERCENT = 75
@@ -432,5 +432,6 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold
     Rows are told apart by key and text: of rows with one key, those go whose
     own set is linked to a smaller key.  Rows that agree in both stay or go together.
     """
-    gone = _grouped(docs, key, text, threshold).filter(F.col("component_id") != F.col("key")).select(F.col("uid").alias("__uid")).distinct()
-    return docs.join(gone, F.xxhash64(F.col(key), F.col(text)) == F.col("__uid"), "left_anti")
+    uid = free(docs, "__uid")
+    gone = _grouped(docs, key, text, threshold).filter(F.col("component_id") != F.col("key")).select(F.col("uid").alias(uid)).distinct()
+    return docs.join(gone, F.xxhash64(F.col(key), F.col(text)) == F.col(uid), "left_anti")

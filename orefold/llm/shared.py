@@ -92,3 +92,11 @@ def dropped(*tables: DataFrame) -> None:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free(df: DataFrame, name: str) -> str:
+    """name, or one like it that df has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

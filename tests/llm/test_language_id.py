@@ -46,3 +46,17 @@ def test_document_frequencies_come_from_all_documents(spark):
     found = [language_id.counts_of(t)[0] for _, t, _ in rows[:100]]
     df = np.bincount(np.concatenate(found), minlength=language_id.ORDERS * language_id.BUCKETS)
     assert np.allclose(language_id.fit(docs).idf, np.log(101 / (1 + df)) + 1)
+
+
+def test_without_languages_texts_with_a_letter_stay(spark):
+    docs = spark.createDataFrame([(1, "words", None, 1), (2, "12", None, 2), (3, None, None, 3), (4, "слово", None, 4)], "doc_id long, text string, lang string, score int")
+    kept = language_id.keep_known(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
+def test_long_texts_ties_and_repeated_rows(spark):
+    rows = [(i, "der die das und" if i % 2 else "the of and to", "de" if i % 2 else "en") for i in range(60)]
+    docs = spark.createDataFrame([*rows, rows[0], rows[0], (100, "der die das und " * 100_000, None), (101, "the of and to der die das und", "en"), (101, "the of and to der die das und", "de")], "doc_id long, text string, lang string")
+    out = language_id.predict(docs, language_id.fit(docs)).collect()
+    assert len(out) == docs.count() and {r.lang_pred for r in out if r.doc_id == 100} == {"de"}
+    assert len({(r.lang_pred, r.score) for r in out if r.doc_id == 0}) == 1 and len({(r.lang_pred, r.score) for r in out if r.doc_id == 101}) == 1

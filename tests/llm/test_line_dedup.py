@@ -41,3 +41,10 @@ def test_many_sites_near_the_threshold(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     for least in (39, 40, 41):
         assert {r.doc_id: r.text for r in line_dedup.dedup_lines(df, min_sites=least).collect()} == brute(rows, least)
+
+
+def test_a_very_long_text(spark):
+    long = "\n".join([*(f"own line {i}" for i in range(60_000)), "shared", *(f"later line {i}" for i in range(60_000)), "shared"])
+    rows = [(1, long, "s1"), *((i, f"shared\nx {i}", f"s{i}") for i in range(2, 9))]
+    out = {r.doc_id: (r.text, r.n_lines, r.n_removed) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert {d: x[0] for d, x in out.items()} == brute(rows) and out[1][1:] == (120_002, 1)

@@ -33,3 +33,24 @@ def test_stages_against_brute_force(spark):
     for d in sorted(want)[:50]:
         ids = library.encode(texts[d], add_special_tokens=False).ids
         assert got[d].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_odd_tables_through_all_stages(spark, tmp_path):
+    """Null and empty texts, whole repeats, and columns of names that stages use; an empty table gives no rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").limit(60)
+    odd = spark.createDataFrame([(9001, None, "en", None, None), (9002, "", None, "s", 0), (9003, "!! 12", "en", "s", 5), (None, "A text of some words without any key to it at all", "en", "s", 49)], docs.schema)
+    clash = ("n_words long, n_removed long, row long, uid long, key string, packed string, __key string, __lang_pred string").split(", ")
+    both = docs.unionByName(odd).unionByName(docs.limit(3))
+    for c in clash:
+        both = both.selectExpr("*", f"CAST(NULL AS {c.split()[1]}) AS {c.split()[0]}")
+    current = both
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        current = stage(spark, current, SF)
+        assert current.columns == both.columns, name
+    last = corpus_pipeline.STAGES[-1][1](spark, current, SF).collect()
+    kept = [r.doc_id for r in last]
+    assert 0 < len(kept) <= both.count() and not {9001, 9002, 9003} & set(kept) and None in kept
+    empty = both.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, empty, SF)
+    assert empty.count() == 0
