@@ -53,24 +53,28 @@ def _phrases(words: Column, n: int) -> Column:
 def mentions(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """record_id and stix_id where a term stands in the text as a word, case aside.
 
-    Instead of testing every pair, texts and terms meet on words: a term that
-    begins and ends in word characters is found by its first words, PHRASE at
-    most, so terms that share their first word do not meet every text with it;
-    the exact pattern then decides.  Terms with other edges, few in practice, are
-    tested against all texts in the same way as a nested loop.
+    Instead of testing every pair, texts and terms meet on words: the words of a
+    term stand in a text that holds it as whole words one after another, whatever is
+    at the term's edges, so a term is found by its first words, PHRASE at most, and
+    terms that share their first word do not meet every text with it; the exact
+    pattern then decides.  Terms without a word, FEW_TERMS at most, are tested
+    against all texts.
     """
-    plain = terms.where(F.col("term").rlike(rf"^\w") & F.col("term").rlike(r"\w$"))
-    odd = terms.join(plain.select("term").distinct(), "term", "left_anti")
     first = F.slice(_words(F.col("term")), 1, PHRASE)
-    keyed = plain.select("stix_id", "term", F.concat_ws(" ", first).alias("word"), F.size(first).alias("n"))
-    sizes = {r["n"]: r["count"] for r in keyed.groupBy("n").count().collect()}
+    all_keyed = terms.select("stix_id", "term", F.concat_ws(" ", first).alias("word"), F.size(first).alias("n"))
+    sizes = {r["n"]: r["count"] for r in all_keyed.groupBy("n").count().collect()}
+    wordless = sizes.pop(0, 0)
+    if wordless > FEW_TERMS:
+        raise ValueError(f"{wordless} terms hold no word")
     lengths = sorted(sizes) or [1]
     each = texts.select("record_id", _words(F.col("text")).alias("words"))
     words = each.select("record_id", F.explode(F.array_distinct(F.flatten(F.array(*(_phrases(F.col("words"), n) for n in lengths))))).alias("word"))
-    keyed = keyed.drop("n")
+    keyed, odd = all_keyed.where("n > 0").drop("n"), all_keyed.where("n = 0").select("stix_id", "term")
     # few terms go to the texts, so the phrases of all texts need not be shuffled
     candidates = words.join(F.broadcast(keyed) if sum(sizes.values()) <= FEW_TERMS else keyed, "word").select("record_id", "stix_id", "term").distinct()
     found = candidates.join(texts, "record_id").where(F.rlike(F.col("text"), _pattern(F.col("term"))))
+    if not wordless:
+        return found.select("record_id", "stix_id").distinct()
     other = texts.join(F.broadcast(odd), F.rlike(F.col("text"), _pattern(F.col("term"))))
     return found.select("record_id", "stix_id").unionByName(other.select("record_id", "stix_id")).distinct()
 

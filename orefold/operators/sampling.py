@@ -12,7 +12,7 @@ from orefold.operators.records import quality_order
 def _ranked(df: DataFrame, group: str, order: list[Column], rank: str = "__rank", size: str = "__size") -> DataFrame:
     """df with each row's rank in its group and the group's size; sizes come from a small aggregate."""
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias(size))
-    return df.join(F.broadcast(sizes), group).withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    return df.join(sizes, group).withColumn(rank, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
 
 
 def domain_weights(records: DataFrame, weights: dict[str, float], seed: int = 42) -> DataFrame:
@@ -102,7 +102,11 @@ def episode_split(frames: DataFrame, test_share: float = 0.1, seed: int = 42) ->
     """frames with split: whole episodes, in a seeded order, go to test until it holds the share of all frames."""
     sizes = frames.groupBy("episode_id").agg(F.count(F.lit(1)).alias("n"))
     total = frames.agg(F.count(F.lit(1)).alias("total"))
-    w = Window.orderBy("h", "episode_id").rowsBetween(Window.unboundedPreceding, -1)  # over episodes, not frames
-    taken = sizes.withColumn("h", ids.order_key(F.col("episode_id"), seed)).withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    # running sums inside hash buckets, which lie in order, plus the sums of the 256 buckets before: no task orders all episodes
+    keyed = sizes.withColumn("h", ids.order_key(F.col("episode_id"), seed)).withColumn("bucket", F.substring("h", 1, 2))
+    buckets = keyed.groupBy("bucket").agg(F.sum("n").alias("m")).withColumn("base", F.coalesce(F.sum("m").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    w = Window.partitionBy("bucket").orderBy("h", "episode_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = keyed.withColumn("inside", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    taken = inside.join(F.broadcast(buckets.select("bucket", "base")), "bucket").withColumn("before", F.col("base") + F.col("inside"))
     names = taken.crossJoin(F.broadcast(total)).select("episode_id", F.when(F.col("before") < F.col("total") * test_share, "test").otherwise("train").alias("split"))
     return frames.join(names, "episode_id")

@@ -43,9 +43,17 @@ def _pairs(df: DataFrame, q: Column, a: Column) -> DataFrame:
     return df.select(q.alias("user_message"), a.alias("assistant_message"))
 
 
+def few_names(df: DataFrame, keys: list[str], column: str, most: int, name: str) -> DataFrame:
+    """keys and the first distinct names of each, comma-joined; no more than these are ever gathered."""
+    w = Window.partitionBy(*keys).orderBy(column)
+    first = df.select(*keys, column).where(F.col(column).isNotNull()).distinct().withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= most)
+    return first.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(column)), ", ").alias(name))
+
+
 def _near(g: Graph, df: DataFrame, column: str, most: int = 8) -> DataFrame:
     """stix_id with how many neighbours there are and their first names."""
-    return df.groupBy("stix_id").agg(F.count(F.lit(1)).alias(f"n_{column}"), names("other_name", most).alias(column))
+    n = df.groupBy("stix_id").agg(F.count(F.lit(1)).alias(f"n_{column}"))
+    return n.join(few_names(df, ["stix_id"], "other_name", most, column), "stix_id", "left").fillna("", [column])
 
 
 def actor_techniques(g: Graph) -> DataFrame:
@@ -69,10 +77,10 @@ def actor_arsenal(g: Graph) -> DataFrame:
 def attribution(g: Graph) -> DataFrame:
     """Who uses a technique or program, who stands behind a campaign."""
     kinds = ("attack-pattern", "malware", "tool")
-    users = g.neighbours("uses", "intrusion-set", incoming=True).join(g.of_type(*kinds).select("stix_id", "name"), "stix_id").groupBy("stix_id", "name").agg(F.count(F.lit(1)).alias("n"), names("other_name", 10).alias("who"))
-    camps = g.neighbours("attributed-to", "intrusion-set", source_type="campaign").join(g.of_type("campaign").select("stix_id", "name"), "stix_id").groupBy("stix_id", "name").agg(F.count(F.lit(1)).alias("n"), names("other_name", 10).alias("who"))
+    users = _near(g, g.neighbours("uses", "intrusion-set", incoming=True), "who", 10).join(g.of_type(*kinds).select("stix_id", "name"), "stix_id")
+    camps = _near(g, g.neighbours("attributed-to", "intrusion-set", source_type="campaign"), "who", 10).join(g.of_type("campaign").select("stix_id", "name"), "stix_id")
     q = lambda verb: F.concat(F.lit(f"Which threat actors {verb} "), "name", F.lit("?"))
-    a = lines(F.format_string("%d known actors.", "n"), F.col("who"))
+    a = lines(F.format_string("%d known actors.", "n_who"), F.col("who"))
     return _pairs(users, q("use"), a).unionByName(_pairs(camps, q("are behind"), a))
 
 
@@ -100,7 +108,9 @@ def detection_attribution(g: Graph) -> DataFrame:
     next_ = g.of_type("attack-pattern").select("stix_id", "name").withColumn("k", F.substring_index("stix_id", "--", -1).try_cast("bigint"))
     pairs = next_.alias("x").join(next_.alias("y"), F.col("y.k") == F.col("x.k") + 1).select(F.col("x.stix_id").alias("a"), F.col("y.stix_id").alias("b"), F.col("x.name").alias("na"), F.col("y.name").alias("nb"))
     use = g.technique_actors().select("stix_id", "other_id", "other_name").distinct()
-    both = pairs.join(use.select(F.col("stix_id").alias("a"), "other_id", "other_name"), "a").join(use.select(F.col("stix_id").alias("b"), "other_id"), ["b", "other_id"]).groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("n"), names("other_name", 10).alias("who"))
+    both = pairs.join(use.select(F.col("stix_id").alias("a"), "other_id", "other_name"), "a").join(use.select(F.col("stix_id").alias("b"), "other_id"), ["b", "other_id"])
+    pair = ["a", "b", "na", "nb"]
+    both = both.groupBy(*pair).agg(F.count(F.lit(1)).alias("n")).join(few_names(both, pair, "other_name", 10, "who"), pair)
     return single.unionByName(_pairs(both, F.concat(F.lit("We detected "), "na", F.lit(" and "), "nb", F.lit(". Who could it be?")), lines(F.format_string("%d actors use both.", "n"), F.col("who"))))
 
 
