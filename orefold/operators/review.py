@@ -104,3 +104,20 @@ def descriptions_of(answer: Column, ids: Column, shortest: int = 50) -> Column:
     split = F.transform(ids, lambda i: F.struct(i.alias("id"), F.trim(F.regexp_replace(F.split_part(F.split_part(answer, i, F.lit(-1)), F.lit("###"), F.lit(1)), r"^[\s:*#]+|\s+$", "")).alias("description")))
     found = F.coalesce(F.when(F.size(parsed) > 0, parsed), F.filter(split, lambda x: F.contains(answer, x["id"])))
     return F.filter(found, lambda x: F.length(x["description"]) > shortest)
+
+
+def routed(records: DataFrame, by: str, reviewers: dict[str, Reviewer], default: Reviewer | None = None, batch: int = 5) -> DataFrame:
+    """id, provider and quality_scores: each record goes to the client that its column names.
+
+    Clients are the caller's; a name without a client goes to the default, or is an error without one.
+    """
+    named = [r[by] for r in records.select(by).distinct().collect()]
+    unknown = [n for n in named if n not in reviewers]
+    if unknown and default is None:
+        raise KeyError(f"no client for {unknown}")
+    out = None
+    for name, client in {**reviewers, **({None: default} if default is not None else {})}.items():
+        part = records.where(F.col(by) == name) if name is not None else records.where(F.col(by).isNull() | ~F.col(by).isin(list(reviewers)))
+        scored = review(part, client, batch).withColumn("provider", F.lit(name or "default"))
+        out = scored if out is None else out.unionByName(scored)
+    return out

@@ -391,3 +391,34 @@ def _(spark, d):
     _landed(spark, d, folder)
     live.read_events(spark, f"{folder}/in", per_trigger=1).writeStream.format("json").option("path", f"{folder}/log").option("checkpointLocation", f"{folder}/ck").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(live.EVENTS).json(f"{folder}/log").select("seq", "event")
+
+
+@add("F37_F38_frame_images", "SELECT s_suppkey, array_to_string(list_transform(range(16), lambda j: substr('0123456789ABCDEF', 1 + CAST(CASE WHEN (s_suppkey * 7 + (4 * j + 0) * 13) % 5 > 2 THEN 8 ELSE 0 END + CASE WHEN (s_suppkey * 7 + (4 * j + 1) * 13) % 5 > 2 THEN 4 ELSE 0 END + CASE WHEN (s_suppkey * 7 + (4 * j + 2) * 13) % 5 > 2 THEN 2 ELSE 0 END + CASE WHEN (s_suppkey * 7 + (4 * j + 3) * 13) % 5 > 2 THEN 1 ELSE 0 END AS INT), 1)), '') AS frame_hash, 'true' AS same FROM supplier")
+def _(spark, d):
+    """Frames of 16 x 16 cells in two shades: their hashes, and their PNG chunks' sizes against the pixels."""
+    from orefold.functions import images
+
+    bit = lambda i: F.when((F.col("s_suppkey") * 7 + i * 13) % 5 > 2, 250).otherwise(5)
+    gray = F.transform(F.sequence(F.lit(0), F.lit(255)), lambda p: bit(F.floor(p / 32) * 8 + F.floor((p % 16) / 2)))
+    frames = _table(spark, d, "supplier").select("s_suppkey", images.pixmap(gray, 16, 16).alias("content"))
+    out = images.as_png(images.hashed(frames))
+    same = F.substring("png", 2, 3).cast("string") == "PNG"
+    return out.select("s_suppkey", F.upper("frame_hash").alias("frame_hash"), same.cast("string").alias("same"))
+
+
+@add("X04_X05_X11_X13_routed_reviews", META + "SELECT id, CASE WHEN domain = 'cve' THEN 'a' WHEN domain = 'sigma_rules' THEN 'b' ELSE 'default' END AS provider, CAST(CASE WHEN domain = 'cve' THEN 5 WHEN domain = 'sigma_rules' THEN 2 ELSE least(5, 1 + length(assistant_message) // 50) END AS DOUBLE) AS score FROM r")
+def _(spark, d):
+    """Records of two domains go to clients of their own, the others to the stub."""
+    import json
+
+    fixed = lambda n: lambda pairs: json.dumps([{x: n for x in review.DIMENSIONS}] * len(pairs))
+    rows = meta(spark, d).withColumn("provider", F.when(F.col("domain") == "cve", "a").when(F.col("domain") == "sigma_rules", "b"))
+    out = review.routed(rows, "provider", {"a": fixed(5), "b": fixed(2)}, review.stub)
+    return out.select("id", "provider", records.mean_review_score(F.col("quality_scores")).alias("score"))
+
+
+@add("J28_lookup_map", "SELECT s_suppkey, n_name AS nation FROM supplier JOIN nation ON n_nationkey = s_nationkey")
+def _(spark, d):
+    """Names looked up in one map of a small table."""
+    n = _table(spark, d, "nation").agg(F.map_from_entries(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("names"))
+    return _table(spark, d, "supplier").crossJoin(F.broadcast(n)).select("s_suppkey", F.try_element_at("names", F.col("s_nationkey")).alias("nation"))
