@@ -245,13 +245,23 @@ def _(spark, d):
     return graph.insert_edges(None, new, g.nodes).select("seq", "relationship_id")
 
 
+def _keys_sql(key: str, text: str, table: str) -> str:
+    """Texts with each of their words and pairs of neighbouring words, lower case."""
+    return f"SELECT {key}, t, unnest(list_distinct(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS key FROM (SELECT {key}, t, regexp_extract_all(lower(t), '[a-z0-9_]+') AS w FROM (SELECT {key}, {text} AS t FROM {table}))"
+
+
+def _terms_sql(types: str, names: str) -> str:
+    """Names of four characters or more with their first two words, or the only one."""
+    return f"SELECT stix_id, term, w[1] || coalesce(' ' || w[2], '') AS key FROM (SELECT stix_id, term, regexp_extract_all(lower(term), '[a-z0-9_]+') AS w FROM (SELECT stix_id, unnest({names}) AS term FROM n WHERE type IN ({types})) WHERE length(term) >= 4)"
+
+
 _UUID = "'vulnerability--' || substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab', CAST(CAST('0x' || substr(h, 17, 1) AS INT) % 4 + 1 AS INT), 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
 _LINK_HEAD = f"WITH v_records AS ({VIEWS['v_records']}), " + _VIEWS.removeprefix("WITH ").rstrip() + ", " + META_SQL + f""", cv AS (SELECT id, trim(unnest(string_split(cve_ids, ','))) AS name FROM r WHERE cve_ids IS NOT NULL),
 vn AS (SELECT {_UUID} AS stix_id, name, first_id FROM (SELECT name, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(name)) AS h, min(id) AS first_id FROM cv GROUP BY name)), tk AS (SELECT id, domain, trim(unnest(string_split(mitre_techniques, ','))) AS tech FROM r WHERE mitre_techniques IS NOT NULL), tn AS (SELECT attack_id, max(stix_id) AS stix_id FROM n WHERE attack_id IS NOT NULL GROUP BY 1),
 ln AS (SELECT stix_id, record_id, arg_min(link_type, strategy) AS link_type, arg_min(confidence, strategy) AS confidence, min(strategy) AS strategy FROM (
 SELECT vn.stix_id, cv.id AS record_id, 'about' AS link_type, 1.0 AS confidence, 1 AS strategy FROM cv JOIN vn USING (name)
 UNION ALL SELECT tn.stix_id, tk.id, 'about', 1.0, 2 FROM tk JOIN tn ON tech = attack_id WHERE domain NOT IN ('siem_queries', 'sigma_rules', 'log_analysis')
-UNION ALL SELECT DISTINCT t.stix_id, r.id, 'about', 0.8, 3 FROM r JOIN (SELECT stix_id, unnest([name] || aliases) AS term FROM n WHERE type = 'intrusion-set') t ON length(term) >= 4 AND regexp_matches(user_message || ' ' || assistant_message, '(?i)\\b' || regexp_escape(term) || '\\b') WHERE domain = 'apt_intel'
+UNION ALL SELECT DISTINCT t.stix_id, x.id, 'about', 0.8, 3 FROM ({_keys_sql('id', "user_message || ' ' || assistant_message", "r WHERE domain = 'apt_intel'")}) x JOIN ({_terms_sql("'intrusion-set'", '[name] || aliases')}) t USING (key) WHERE regexp_matches(t, '(?i)\\b' || regexp_escape(term) || '\\b')
 UNION ALL SELECT tn.stix_id, tk.id, 'detects', 1.0, 4 FROM tk JOIN tn ON tech = attack_id WHERE domain IN ('siem_queries', 'sigma_rules')
 UNION ALL SELECT tn.stix_id, tk.id, 'analyzes', 1.0, 5 FROM tk JOIN tn ON tech = attack_id WHERE domain = 'log_analysis') GROUP BY stix_id, record_id) """
 
@@ -289,8 +299,7 @@ _DOCS = "SELECT doc_id, ' ' || text || ' ' || CASE WHEN doc_id % 3 = 0 THEN 'by
 
 
 def _mentions_sql(types: str, names: str) -> str:
-    """Texts and names by a nested loop of patterns."""
-    return f", dc AS ({_DOCS}), tm AS (SELECT stix_id, term, lower(term) AS low FROM (SELECT stix_id, unnest({names}) AS term FROM n WHERE type IN ({types})) WHERE length(term) >= 4) SELECT DISTINCT doc_id AS record_id, stix_id FROM (SELECT doc_id, t, lower(t) AS lt FROM dc) JOIN tm ON contains(lt, low) AND regexp_matches(t, '(?i)\\b' || regexp_escape(term) || '\\b')"
+    return f"SELECT DISTINCT x.doc_id AS record_id, m.stix_id FROM ({_keys_sql('doc_id', 't', f'({_DOCS})')}) x JOIN ({_terms_sql(types, names)}) m USING (key) WHERE regexp_matches(x.t, '(?i)\\b' || regexp_escape(term) || '\\b')"
 
 
 def _texts(spark, d) -> DataFrame:
