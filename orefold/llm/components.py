@@ -1,6 +1,6 @@
 """Connected components of a link table, by alternating large-star and small-star steps.
 
-Every step is a grouped minimum and a join; no component meets in one task.
+Every step is a grouped minimum and a join; no component, and no node's edges, meet in one task.
 """
 
 from __future__ import annotations
@@ -11,17 +11,35 @@ from pyspark.sql import functions as F
 from orefold.llm.shared import dropped, written
 
 
-def _large(e: DataFrame) -> DataFrame:
+#: Most nodes of high degree that a step broadcasts.
+HUBS = 100_000
+#: Edges that make a node one of high degree, at least.
+DEGREE = 1000
+
+
+def _with_least(e: DataFrame, n: int) -> DataFrame:
+    """a, b and m, the least b of its a, for n edges.
+
+    Edges of a node of high degree stay where they are: the nodes with more than n /
+    HUBS edges are at most HUBS, so what they need is broadcast.  The others' edges are joined.
+    """
+    most = max(DEGREE, -(-n // HUBS))
+    per = e.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+    met = e.join(F.broadcast(per.filter(F.col("n") > most).select("a", "m")), "a", "left")
+    rest = met.filter("m IS NULL").select("a", "b").join(per.filter(F.col("n") <= most).select("a", "m"), "a")
+    return met.filter("m IS NOT NULL").unionByName(rest)
+
+
+def _large(e: DataFrame, n: int) -> DataFrame:
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+    least = _with_least(both, 2 * n).select("a", "b", F.least("a", "m").alias("m"))
+    return least.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
 
-def _small(e: DataFrame) -> DataFrame:
-    down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+def _small(e: DataFrame, n: int) -> DataFrame:
+    down = _with_least(e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), n)
+    moved = down.filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.unionByName(down.select("a", F.col("m").alias("b"))).distinct()
 
 
 def _is_star(e: DataFrame) -> bool:
@@ -35,7 +53,9 @@ def components(links: DataFrame) -> DataFrame:
     """node and label, the least node of its component, for all nodes of links (a, b); both long."""
     e = written(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while not _is_star(e):
-        before, e = e, written(_small(_large(e)))
-        dropped(before)
+        large = written(_large(e, e.count()))
+        dropped(e)
+        e = written(_small(large, large.count()))
+        dropped(large)
     labels = e.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())

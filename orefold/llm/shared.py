@@ -3,32 +3,13 @@
 from __future__ import annotations
 
 import ctypes
-import os
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Gives the executors this package, so their workers import what they run."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    root = Path(__file__).resolve().parent.parent
-    target = os.path.join(tempfile.mkdtemp(prefix="orefold-"), "orefold.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    context.addPyFile(target)
-    _SHIPPED.add(context.applicationId)
-
+from orefold.sources.landing import shared_dir, ship
 
 #: Rows of a batch that goes to a Python worker, where the session does not set it; bounds the worker's memory.
 BATCH_ROWS = 2000
@@ -64,15 +45,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one of its own where that is unset, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='orefold-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def written(df: DataFrame) -> DataFrame:
     """df written as Parquet to the shared folder and read back: cuts the lineage and survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/orefold-{uuid.uuid4().hex}"
