@@ -14,7 +14,7 @@ from orefold.llm.shared import dropped, written
 #: Most nodes of high degree that a step broadcasts.
 HUBS = 100_000
 #: Edges that make a node one of high degree, at least.
-DEGREE = 1000
+DEGREE = 64
 
 
 def _with_least(e: DataFrame, n: int) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orefold.sources.landing import shared_dir, ship
 
 #: Rows of a batch that goes to a Python worker, where the session does not set it; bounds the worker's memory.
-BATCH_ROWS = 2000
+BATCH_ROWS = 500
 
 
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
