@@ -193,13 +193,36 @@ def best_trial(steps: DataFrame, warm_up: int = 2) -> DataFrame:
     return rows.groupBy("trial").agg(F.avg("step_s").alias("mean_step_s"), (F.sum("tokens") / F.sum("step_s")).alias("tokens_per_s"), F.count(F.lit(1)).alias("steps"))
 
 
+def rounded_once(values: Column) -> Column:
+    """The mean of an array of doubles, rounded once: equal for equal values in any order. NaN where it is not finite, or near the largest double."""
+
+    def add(a: Column, x: Column) -> Column:
+        s = a["s"] + x
+        t = s - a["s"]
+        return F.struct(s.alias("s"), (a["c"] + ((a["s"] - (s - t)) + (x - t))).alias("c"))
+
+    def divide(a: Column) -> Column:
+        n = F.nullif(F.size(values), F.lit(0)).cast("double")
+        q = a["s"] / n
+        high = q * 134217729.0 - (q * 134217729.0 - q)
+        return q + (((a["s"] - high * n) - (q - high) * n) + a["c"]) / n
+
+    return F.aggregate(F.sort_array(values), F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("c")), add, divide)
+
+
 def checkpoints(df: DataFrame, run: str, order: str, value: str, every: int, last: int = 100, least: int = 10) -> DataFrame:
-    """The events at which a model is kept: each every-th one whose rolling mean beats those of all kept before."""
-    w = Window.partitionBy(run).orderBy(order)
-    rolled = rolling(df, run, order, value, last, least).withColumn("__k", F.row_number().over(w))
-    looked = rolled.where((F.col("__k") % every == 0) & (F.col("__k") >= least))
-    before = F.max("mean_last").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return looked.withColumn("__best", before).where(F.col("__best").isNull() | (F.col("mean_last") > F.col("__best"))).drop("__best", "__k")
+    """The events at which a model is kept: each every-th one whose rolling mean beats those of all kept before. Equal means are ties, however their values are ordered."""
+    w, v = Window.partitionBy(run).orderBy(order), F.col(value).cast("double")
+    near, before = w.rowsBetween(-(last - 1), 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    rolled = rolling(df, run, order, value, last, least).withColumns({"__k": F.row_number().over(w), "mean_last": F.avg(v).over(near), "__size": F.avg(F.abs(v)).over(near)})
+    looked = (F.col("__k") % every == 0) & (F.col("__k") >= least)
+    # Plain means are at most slip off: what stays below an earlier one by more than both slips is not summed again.
+    slip = (last + 1) * 2.0**-52 * F.col("__size") + 1e-323
+    beaten = F.max(F.when(looked, F.col("mean_last") - slip)).over(before)
+    open_ = rolled.withColumn("__beaten", beaten).withColumn("__open", looked & (F.col("__beaten").isNull() | (F.col("mean_last") + slip >= F.col("__beaten"))))
+    means = open_.withColumn("__near", F.collect_list(v).over(near)).where("__open").withColumn("mean_last", F.nanvl(rounded_once(F.col("__near")), F.col("mean_last"))).drop("__near")
+    better = means.withColumn("__best", F.max("mean_last").over(before)).where(F.col("__best").isNull() | (F.col("mean_last") > F.col("__best")))
+    return better.drop("__best", "__k", "__size", "__beaten", "__open")
 
 
 def first_rows(df: DataFrame, group: str, order: list, most: int) -> DataFrame:

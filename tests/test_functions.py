@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+from fractions import Fraction
+
 import pytest
 from orefold.functions import classify, ids
 from orefold.functions import text as tx
@@ -145,3 +148,22 @@ def test_reach_takes_the_shortest_path_and_counts_edges_per_end(spark):
     assert {r.stix_id: r.depth for r in g.reach("A", 2).collect()} == {"A": 0, "B": 1, "C": 2}
     assert g.subgraph("A", 2, parity=True)[1].where("src = 'A' AND dst = 'B'").count() == 2
     assert g.subgraph("A", 2)[1].where("src = 'A' AND dst = 'B'").count() == 1
+
+
+def test_checkpoints_of_equal_means(spark):
+    """The same values in another order, or several times, are no better; a mean that is better by one bit is."""
+    runs = {"order": [0.2, 0.3, 0.1] * 5, "bit": [0.2, 0.3, 0.1, 0.2, 0.3, 0.10000000000000042, 0.2], "gaps": [None, 0.1, 0.2, 0.3, None, 0.1], "all": [0.7, 0.1, float("inf"), 0.1, 0.1, 0.1]}
+    df = spark.createDataFrame([(r, i, v) for r, values in runs.items() for i, v in enumerate(values)], "run string, seq int, v double")
+    got = metrics.checkpoints(df, "run", "seq", "v", 1, last=3, least=3)
+    assert sorted((r.run, r.seq) for r in got.collect()) == [("all", 2), ("bit", 2), ("bit", 5), ("gaps", 2), ("gaps", 3), ("gaps", 4), ("order", 2)]
+    assert got.columns == ["run", "seq", "v", "mean_last", "max_last", "best_mean"]
+    got = metrics.checkpoints(df.where("run = 'order'"), "run", "seq", "v", 3, last=9, least=3)
+    assert [(r.seq, r.mean_last) for r in got.collect()] == [(2, 0.2)]
+
+
+def test_means_rounded_once(spark):
+    r = random.Random(3)
+    rows = [(i, [r.choice([0.1, -0.3, r.uniform(-1, 1) * 10.0 ** r.randint(-9, 9)]) for _ in range(r.randint(1, 100))]) for i in range(200)]
+    df = spark.createDataFrame([*rows, (200, [])], "i int, v array<double>")
+    got = {x.i: x.m for x in df.select("i", metrics.rounded_once(F.col("v")).alias("m")).collect()}
+    assert got == {i: float(sum(map(Fraction, v)) / len(v)) for i, v in rows} | {200: None}
